@@ -7,16 +7,13 @@ are months, whatever the number of raw rows behind it. All frames share one
 window specification and become one Window node.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from uptake.functions import scoring
 from uptake.operators.staging import SKU, SKU_MONTH
 from uptake.params import DEFAULTS, ScoreParams
 
-HISTORY = Window.partitionBy(*SKU).orderBy("month")
-WHOLE = HISTORY.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
 COMPONENT_COLUMNS = [
     *SKU_MONTH,
     "consumed_units",
@@ -30,6 +27,11 @@ COMPONENT_COLUMNS = [
 ]
 
 
+def sku_history() -> WindowSpec:
+    """The rows of one SKU in month order."""
+    return Window.partitionBy(*SKU).orderBy("month")
+
+
 def with_history(stg_sku_month: DataFrame, fa: DataFrame, p: ScoreParams = DEFAULTS) -> DataFrame:
     """Components plus ``first_value_month``; extra columns of the input pass through.
 
@@ -41,14 +43,16 @@ def with_history(stg_sku_month: DataFrame, fa: DataFrame, p: ScoreParams = DEFAU
         .withColumn("util_health", scoring.utilization_health(F.col("lur"), p))
         .withColumn("active", scoring.in_use(F.col("lur"), p))
     )
-    before = HISTORY.rowsBetween(Window.unboundedPreceding, -1)
+    history = sku_history()
+    before = history.rowsBetween(Window.unboundedPreceding, -1)
+    whole = history.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     seen = base.select(
         "*",
-        F.lag("active", 1).over(HISTORY).alias("back1"),
-        F.lag("active", 2).over(HISTORY).alias("back2"),
-        F.avg("lur").over(HISTORY.rowsBetween(-3, -1)).alias("prior_lur"),
+        F.lag("active", 1).over(history).alias("back1"),
+        F.lag("active", 2).over(history).alias("back2"),
+        F.avg("lur").over(history.rowsBetween(-3, -1)).alias("prior_lur"),
         F.coalesce(F.max("active").over(before), F.lit(0)).alias("ever_active_before"),
-        F.min(F.when(F.col("active") == 1, F.col("month"))).over(WHOLE).alias("first_value_month"),
+        F.min(F.when(F.col("active") == 1, F.col("month"))).over(whole).alias("first_value_month"),
     )
     return seen.withColumn(
         "sustained_usage", scoring.sustained_usage(F.col("active"), F.col("back1"), F.col("back2"), p)

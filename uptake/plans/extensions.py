@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from uptake import vocabulary as v
 from uptake.functions import labels, scoring
 from uptake.functions.numeric import headline_score, ratio, rnd
-from uptake.operators.components import HISTORY
+from uptake.operators.components import sku_history
 from uptake.operators.contracts import contract_features
 from uptake.operators.staging import SKU, SKU_MONTH, sku_month
 from uptake.params import HARSH_OVERAGE, SMOOTH_ACTIVATION, Override
@@ -45,7 +45,7 @@ def _rank(state: Column) -> Column:
 
 
 def _moves(sku_month_mart: DataFrame) -> DataFrame:
-    before = F.lag("state").over(HISTORY)
+    before = F.lag("state").over(sku_history())
     return (
         sku_month_mart.select("month", F.col("state").alias("to_state"), before.alias("from_state"))
         .where(F.col("from_state").isNotNull())
@@ -137,7 +137,7 @@ def ttv_first_signal(raw: Raw) -> DataFrame:
 
 def naive_utilization(consumption: DataFrame) -> DataFrame:
     """Cumulative consumed / licensed per SKU: the single ratio the score replaces."""
-    so_far = HISTORY.rowsBetween(Window.unboundedPreceding, 0)
+    so_far = sku_history().rowsBetween(Window.unboundedPreceding, 0)
     consumed = F.sum(F.col("consumed_units").cast("decimal(18,2)")).over(so_far)
     licensed = F.sum("licensed_amount").over(so_far)
     return sku_month(consumption).select(*SKU_MONTH, rnd(ratio(consumed, licensed), 6).alias("naive_utilization"))
