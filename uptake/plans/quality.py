@@ -20,6 +20,7 @@ from uptake.functions.calendar import day
 from uptake.operators.contracts import licensed_by_month, overlap_pairs
 from uptake.operators.staging import SKU_MONTH, sku_month
 
+OVERAGE = 1.2
 RISK_STATES = (v.CHURN, v.SHELFWARE, v.LAPSED, v.STALL)
 
 
@@ -104,6 +105,12 @@ def _unpivot(row: DataFrame, numbers: Mapping[int, str]) -> DataFrame:
     return row.select(F.inline(F.array(*structs)))
 
 
+def _measured(df: DataFrame, measures: Mapping[int, Column]) -> DataFrame:
+    """Several measurements in one aggregate over ``df``."""
+    row = df.agg(*[m.alias(f"q{number}") for number, m in measures.items()])
+    return _unpivot(row, {number: f"q{number}" for number in measures})
+
+
 def _one(row: DataFrame, number: int, value: Column) -> DataFrame:
     return row.agg(value.alias("val")).select(
         F.lit(number).alias("ord"), F.coalesce(F.col("val").cast("long"), F.lit(0)).alias("val")
@@ -111,21 +118,14 @@ def _one(row: DataFrame, number: int, value: Column) -> DataFrame:
 
 
 def orphans(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Keys of ``facts`` missing from ``dimension``, with their number of rows."""
+    """Keys of ``facts`` missing from ``dimension``, with their number of rows.
+
+    ``facts`` may be folded already, with its row counts in ``rows``.
+    """
     weight = F.sum("rows") if "rows" in facts.columns else F.count("*")
     return facts.groupBy(key).agg(weight.alias("rows")).join(dimension.select(key), key, "left_anti")
 
 
-def zero_use_accounts(consumption: DataFrame) -> DataFrame:
-    used = F.sum(F.col("consumed_units").cast("decimal(18,2)"))
-    return consumption.groupBy("cust_id").agg(used.alias("used")).where(F.col("used") == 0).select("cust_id")
-
-
-def overage_accounts(stg_sku_month: DataFrame, above: float = 1.2) -> DataFrame:
-    """Accounts whose plain mean utilization over SKU-months exceeds ``above``."""
-    return stg_sku_month.groupBy("cust_id").agg(F.avg("lur").alias("m")).where(F.col("m") > above).select("cust_id")
-
-
 def schema_matches(df: DataFrame, expected: StructType) -> int:
     """Number of expected columns that are present with the expected type."""
     present = {f.name: f.dataType for f in df.schema}
@@ -134,55 +134,73 @@ def schema_matches(df: DataFrame, expected: StructType) -> int:
 
 def _consumption_checks(raw: Mapping[str, DataFrame]) -> list[DataFrame]:
     use = raw["consumption"]
-    # Fold to contracts once; the three orphan look-ups reuse this exchange.
+    # Fold to contracts once; the three look-ups below reuse this exchange.
     by_contract = use.groupBy("cust_id", "product_id", "entitlement_id").agg(F.count("*").alias("rows"))
+    used = by_contract.groupBy("entitlement_id").agg(F.sum("rows").alias("rows"))
+    known = raw["entitlements"].select("entitlement_id", F.lit(True).alias("known"))
+    both = used.join(known, "entitlement_id", "full")
+    contracts = both.agg(
+        F.sum(F.when(F.col("known").isNull(), F.col("rows"))).alias("orphans"),
+        F.count_if(F.col("rows").isNull()).alias("idle"),
+    )
     bad = (F.col("consumed_units") < 0) | (F.col("licensed_amount") <= 0)
-    whole = use.groupBy("month").agg(F.count_if(bad).alias("bad"))
-    idle = raw["entitlements"].join(by_contract, "entitlement_id", "left_anti")
+    monthly = use.groupBy("month").agg(F.count_if(bad).alias("bad"))
     return [
         _one(orphans(by_contract, raw["customers"], "cust_id"), 1, F.sum("rows")),
         _one(orphans(by_contract, raw["products"], "product_id"), 2, F.sum("rows")),
-        _one(orphans(by_contract, raw["entitlements"], "entitlement_id"), 3, F.sum("rows")),
+        _unpivot(contracts, {3: "orphans", 10: "idle"}),
         _one(orphans(raw["feature_adoption"], raw["features"], "feature_id"), 4, F.sum("rows")),
-        _unpivot(whole.agg(F.sum("bad").alias("bad"), F.count("month").alias("months")), {8: "bad", 9: "months"}),
-        _one(idle, 10, F.count("*")),
+        _unpivot(monthly.agg(F.sum("bad").alias("bad"), F.count("month").alias("months")), {8: "bad", 9: "months"}),
     ]
 
 
-def _overlap_checks(raw: Mapping[str, DataFrame], stg: DataFrame, e: Expectations) -> list[DataFrame]:
-    pairs = overlap_pairs(raw["entitlements"])
+def _account_checks(raw: Mapping[str, DataFrame], mart: DataFrame, e: Expectations) -> list[DataFrame]:
+    """Everything asked about accounts, from one row per account.
+
+    Usage, mart and labels are each folded to accounts in one pass and meet in
+    one join; the licence of the active contracts is compared on the way.
+    """
     active = licensed_by_month(raw["entitlements"], e.first_month, e.latest_month)
     off = F.abs(F.col("licensed_amount") - F.col("lic")) > 0.5
-    return [
-        _one(pairs, 11, F.least(F.coalesce(F.sum("pairs"), F.lit(0)), F.lit(e.overlap_pairs))),
-        _one(stg.join(active, SKU_MONTH), 12, F.count_if(off)),
-    ]
-
-
-def _account_checks(raw: Mapping[str, DataFrame], stg: DataFrame, mart: DataFrame) -> list[DataFrame]:
-    silent = zero_use_accounts(raw["consumption"])
-    heavy = overage_accounts(stg)
-    # One row per account with everything the account-level assertions ask.
-    accounts = mart.groupBy("cust_id").agg(
+    use = (
+        sku_month(raw["consumption"])
+        .join(active, SKU_MONTH, "left")
+        .groupBy("cust_id")
+        .agg(
+            F.sum(F.col("consumed_units").cast("decimal(18,2)")).alias("used"),
+            F.avg("lur").alias("mean_lur"),
+            F.count_if(off).alias("off"),
+        )
+    )
+    growing = F.coalesce("flag_expansion", F.lit(False))
+    scored = mart.groupBy("cust_id").agg(
         F.count_if(~F.col("state").isin(v.SHELFWARE, v.GRACE)).alias("other_states"),
-        F.bool_or(F.coalesce("flag_expansion", F.lit(False))).alias("expanding"),
+        F.bool_or(growing).alias("expanding"),
         F.bool_or(F.col("state") == v.STALL).alias("stalled"),
         F.bool_or(F.col("state") == v.CHURN).alias("churning"),
-        F.count_if(F.col("state").isin(*RISK_STATES) | F.coalesce("flag_expansion", F.lit(False))).alias("risk_rows"),
+        F.count_if(F.col("state").isin(*RISK_STATES) | growing).alias("risk_rows"),
     )
     people = raw["customers"].select("cust_id", "behavior_profile")
-    slow = people.where(F.col("behavior_profile") == "slow_onboarder")
-    normal = people.where(F.col("behavior_profile") == "normal")
-    return [
-        _one(silent, 13, F.count("*")),
-        _one(accounts.join(silent, "cust_id", "left_semi"), 14, F.sum("other_states")),
-        _one(heavy, 15, F.count("*")),
-        _one(heavy.join(accounts.where("expanding"), "cust_id", "left_anti"), 16, F.count("*")),
-        _one(accounts, 17, F.count_if("churning")),
-        _one(slow, 18, F.count("*")),
-        _one(slow.join(accounts.where("stalled"), "cust_id", "left_anti"), 19, F.count("*")),
-        _one(accounts.join(normal, "cust_id"), 21, F.sum("risk_rows")),
-    ]
+    accounts = use.join(scored, "cust_id", "full").join(people, "cust_id", "full")
+
+    def holds(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit(False))
+
+    silent, heavy = F.col("used") == 0, F.col("mean_lur") > OVERAGE
+    slow, normal = (F.col("behavior_profile") == label for label in ("slow_onboarder", "normal"))
+    measures = {
+        12: F.sum("off"),
+        13: F.count_if(silent),
+        14: F.sum(F.when(silent, F.col("other_states"))),
+        15: F.count_if(heavy),
+        16: F.count_if(heavy & ~holds("expanding")),
+        17: F.count_if("churning"),
+        18: F.count_if(slow),
+        19: F.count_if(slow & ~holds("stalled")),
+        21: F.sum(F.when(normal, F.col("risk_rows"))),
+    }
+    pairs = F.least(F.coalesce(F.sum("pairs"), F.lit(0)), F.lit(e.overlap_pairs))
+    return [_measured(accounts, measures), _one(overlap_pairs(raw["entitlements"]), 11, pairs)]
 
 
 def _mart_checks(mart: DataFrame, e: Expectations) -> list[DataFrame]:
@@ -212,9 +230,8 @@ def _mart_checks(mart: DataFrame, e: Expectations) -> list[DataFrame]:
         35: _off(F.sum(F.when(latest, arr)), e.latest_arr_sum, e.arr_tolerance),
         36: F.when(F.max("month") == day(e.latest_month), 0).otherwise(1),
     }
-    row = mart.agg(*[m.alias(f"q{number}") for number, m in measures.items()])
     repeated = mart.groupBy(*SKU_MONTH).count().where(F.col("count") > 1)
-    return [_unpivot(row, {number: f"q{number}" for number in measures}), _one(repeated, 5, F.count("*"))]
+    return [_measured(mart, measures), _one(repeated, 5, F.count("*"))]
 
 
 def _off(measured: Column, expected: float, tolerance: float) -> Column:
@@ -234,15 +251,13 @@ def schema_checks(raw: Mapping[str, DataFrame], mart: DataFrame) -> dict[int, in
 
 def report(raw: Mapping[str, DataFrame], mart: DataFrame, e: Expectations = Expectations()) -> DataFrame:
     """One row per assertion: cat, test, val, expect, result, in a fixed order."""
-    stg = sku_month(raw["consumption"])
     matches = [
         F.struct(F.lit(number).alias("ord"), F.lit(n).cast("long").alias("val"))
         for number, n in schema_checks(raw, mart).items()
     ]
     measured = [
         *_consumption_checks(raw),
-        *_overlap_checks(raw, stg, e),
-        *_account_checks(raw, stg, mart),
+        *_account_checks(raw, mart, e),
         *_mart_checks(mart, e),
         mart.sparkSession.range(1).select(F.inline(F.array(*matches))),
     ]
@@ -328,23 +343,41 @@ def source_profile(raw: Mapping[str, DataFrame]) -> DataFrame:
             name.alias("metric"), F.coalesce(F.col("value").cast("long"), F.lit(0)).alias("value")
         )
 
-    rows = [metric(df, F.lit(f"rows {name}"), F.count("*")) for name, df in raw.items()]
+    counted = {name: df for name, df in raw.items() if name != "consumption"}
+    rows = [metric(df, F.lit(f"rows {name}"), F.count("*")) for name, df in counted.items()]
     label_counts = (
         raw["customers"]
         .groupBy("behavior_profile")
         .agg(F.count("*").alias("value"))
         .select(F.concat(F.lit("label "), "behavior_profile").alias("metric"), "value")
     )
-    use = raw["consumption"]
-    mean_use = F.avg(F.try_divide("consumed_units", F.col("licensed_amount").cast("double")))
-    heavy = use.groupBy("cust_id").agg(mean_use.alias("m")).where(F.col("m") > 1.2)
-    return reduce(
-        DataFrame.unionByName,
-        [
-            *rows,
-            label_counts,
-            metric(zero_use_accounts(use), F.lit("accounts without use"), F.count("*")),
-            metric(heavy, F.lit("accounts above 1.2 on average"), F.count("*")),
-            metric(overlap_pairs(raw["entitlements"]), F.lit("overlapping contract pairs"), F.sum("pairs")),
-        ],
+    ratio = F.try_divide("consumed_units", F.col("licensed_amount").cast("double"))
+    accounts = (
+        raw["consumption"]
+        .groupBy("cust_id")
+        .agg(
+            F.count("*").alias("rows"),
+            F.sum(F.col("consumed_units").cast("decimal(18,2)")).alias("used"),
+            F.avg(ratio).alias("mean_lur"),
+        )
+    )
+    usage = accounts.agg(
+        F.sum("rows").alias("rows"),
+        F.count_if(F.col("used") == 0).alias("silent"),
+        F.count_if(F.col("mean_lur") > OVERAGE).alias("heavy"),
+    ).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(text).alias("metric"), F.coalesce(F.col(c), F.lit(0)).alias("value"))
+                    for text, c in (
+                        ("rows consumption", "rows"),
+                        ("accounts without use", "silent"),
+                        ("accounts above 1.2 on average", "heavy"),
+                    )
+                ]
+            )
+        )
     )
+    pairs = metric(overlap_pairs(raw["entitlements"]), F.lit("overlapping contract pairs"), F.sum("pairs"))
+    return reduce(DataFrame.unionByName, [*rows, label_counts, usage, pairs])

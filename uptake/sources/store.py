@@ -19,19 +19,19 @@ class Store:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self._paths: dict[str, str] = {}
+        self._written: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
 
     def table(
         self, name: str, make: Callable[[], DataFrame], schema: StructType, by_month: bool = False
     ) -> DataFrame:
         with self._lock:
-            if name not in self._paths:
+            if name not in self._written:
                 path = fresh_folder(self.spark, name)
                 df = conform(make(), schema)
                 if by_month:
                     write_by_month(df, path)
                 else:
                     write_table(df, path)
-                self._paths[name] = path
-        return read_parquet(self.spark, self._paths[name], schema)
+                self._written[name] = read_parquet(self.spark, path, schema)
+            return self._written[name]
