@@ -24,28 +24,33 @@ def portable_bucket(seed: Column, n: int) -> Column:
     return F.pmod(portable_hash(seed), F.lit(n)).cast("int")
 
 
-def dense_rank_rows(df: DataFrame, order: list[str | Column], name: str, partitions: int | None = None) -> DataFrame:
-    """Adds 1..n in the order of ``order``, without a single-task window.
+def positions(df: DataFrame, order: list[str | Column], tasks: int) -> DataFrame:
+    """Rows sorted by range, with partition number and position packed into ``_at``.
 
-    One range shuffle sorts the rows; within a sorted partition
-    ``monotonically_increasing_id`` is the partition number and the position.
-    That result is written once to the shared folder, because range bounds are
-    sampled and must not be drawn twice. What is joined back are one row counts
-    per partition. Copies of a row are kept apart by a random last key, so a
-    large group of them still spreads over partitions.
+    Copies of a row are kept apart by a random last key, so even a large group
+    of them spreads over partitions.
     """
-    spark = df.sparkSession
-    keyed = df.withColumn("_tie", F.rand(11))
     keys = [*order, F.col("_tie")]
-    tasks = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = fresh_folder(spark, "ranked")
-    (
-        keyed.repartitionByRange(tasks, *keys)
+    return (
+        df.withColumn("_tie", F.rand(11))
+        .repartitionByRange(tasks, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_at", F.monotonically_increasing_id())
         .drop("_tie")
-        .write.parquet(path)
     )
+
+
+def dense_rank_rows(df: DataFrame, order: list[str | Column], name: str, partitions: int | None = None) -> DataFrame:
+    """Adds 1..n in the order of ``order``, without a single-task window.
+
+    One range shuffle sorts the rows. The sorted rows are written once to the
+    shared folder, because range bounds are sampled and must not be drawn
+    twice; what is joined back are one row count per partition.
+    """
+    spark = df.sparkSession
+    path = fresh_folder(spark, "ranked")
+    tasks = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    positions(df, order, tasks).write.parquet(path)
     placed = spark.read.parquet(path).withColumn("_part", F.shiftrightunsigned("_at", _ROW_BITS))
     sizes = placed.groupBy("_part").count()
     # One row per partition of the shuffle above, so this window is small.
