@@ -246,28 +246,40 @@ relation(
 
 
 def components(p: dict[str, str], source: str) -> str:
-    """SQL of the components; ``p`` maps parameter names to SQL expressions."""
-    return f"""SELECT *,
-       ({p["recency_0"]} * active + {p["recency_1"]} * coalesce(a1, 0) + {p["recency_2"]} * coalesce(a2, 0))
-       / ({p["recency_0"]} + CASE WHEN a1 IS NULL THEN 0e0 ELSE {p["recency_1"]} END
-          + CASE WHEN a2 IS NULL THEN 0e0 ELSE {p["recency_2"]} END) AS sustained_usage,
-       (coalesce(l3, 0e0) + coalesce(l2, 0e0) + coalesce(l1, 0e0))
-       / nullif((l1 IS NOT NULL)::INT + (l2 IS NOT NULL)::INT + (l3 IS NOT NULL)::INT, 0) AS prior_lur
-FROM (
-  SELECT *, lag(active, 1) OVER w AS a1, lag(active, 2) OVER w AS a2,
-         lag(lur, 1) OVER w AS l1, lag(lur, 2) OVER w AS l2, lag(lur, 3) OVER w AS l3,
-         coalesce(max(active) OVER (PARTITION BY cust_id, product_id ORDER BY month
-           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INTEGER AS ever_active_before
-  FROM (
-    SELECT s.*, coalesce(b.feature_adoption, 0e0) AS feature_adoption,
-           (lur >= {p["use_floor"]})::INTEGER AS active,
-           CASE WHEN lur < {p["use_floor"]} THEN 0e0
-                WHEN lur < {p["healthy_from"]} THEN {p["ramp_base"]} + (lur - {p["use_floor"]}) * {p["ramp_slope"]}
-                WHEN lur < {p["full_from"]}
-                THEN {p["healthy_base"]} + (lur - {p["healthy_from"]}) * {p["healthy_slope"]}
-                WHEN lur <= {p["overage_above"]} THEN 1e0 ELSE {p["overage_score"]} END AS util_health
-    FROM {source} s LEFT JOIN m_breadth b USING (cust_id, product_id, month))
-  WINDOW w AS (PARTITION BY cust_id, product_id ORDER BY month))"""
+    """SQL of the components; ``p`` maps parameter names to SQL expressions.
+
+    Rows of a SKU are numbered and earlier rows are found by number, where the
+    Spark code uses window frames.
+    """
+    now, back1, back2 = (p[f"recency_{i}"] for i in range(3))
+
+    def known(alias: str, weight: str) -> str:
+        return f"CASE WHEN {alias}.active IS NULL THEN 0e0 ELSE {weight} END"
+
+    def earlier(alias: str, steps: int) -> str:
+        return (
+            f"LEFT JOIN numbered {alias} ON {alias}.cust_id = t.cust_id AND {alias}.product_id = t.product_id "
+            f"AND {alias}.n = t.n - {steps}"
+        )
+
+    return f"""WITH numbered AS (
+  SELECT s.*, coalesce(b.feature_adoption, 0e0) AS feature_adoption,
+         row_number() OVER (PARTITION BY s.cust_id, s.product_id ORDER BY s.month) AS n,
+         (lur >= {p["use_floor"]})::INTEGER AS active,
+         CASE WHEN lur < {p["use_floor"]} THEN 0e0
+              WHEN lur < {p["healthy_from"]} THEN {p["ramp_base"]} + (lur - {p["use_floor"]}) * {p["ramp_slope"]}
+              WHEN lur < {p["full_from"]}
+              THEN {p["healthy_base"]} + (lur - {p["healthy_from"]}) * {p["healthy_slope"]}
+              WHEN lur <= {p["overage_above"]} THEN 1e0 ELSE {p["overage_score"]} END AS util_health
+  FROM {source} s LEFT JOIN m_breadth b USING (cust_id, product_id, month))
+SELECT t.* EXCLUDE (n, active),
+       ({now} * t.active + {back1} * coalesce(x.active, 0) + {back2} * coalesce(y.active, 0))
+       / ({now} + {known("x", back1)} + {known("y", back2)}) AS sustained_usage,
+       (coalesce(z.lur, 0e0) + coalesce(y.lur, 0e0) + coalesce(x.lur, 0e0))
+       / nullif((x.lur IS NOT NULL)::INT + (y.lur IS NOT NULL)::INT + (z.lur IS NOT NULL)::INT, 0) AS prior_lur,
+       EXISTS (SELECT 1 FROM numbered o WHERE o.cust_id = t.cust_id AND o.product_id = t.product_id
+               AND o.n < t.n AND o.active = 1)::INTEGER AS ever_active_before
+FROM numbered t {earlier("x", 1)} {earlier("y", 2)} {earlier("z", 3)}"""
 
 
 def parameters(p: ScoreParams = DEFAULTS, **overrides: str) -> dict[str, str]:

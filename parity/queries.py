@@ -129,7 +129,8 @@ DQ = [
     ("integrity", "twelve_months_present", 12, "(SELECT count(DISTINCT month) FROM src_consumption)"),
     ("integrity", "every_entitlement_has_consumption", 0, _ORPHANS.format(facts="src_entitlements", dim="src_consumption", key="entitlement_id")),
     ("overlap", "overlap_pairs_exist_ge6", 6, """(SELECT least(count(*), 6) FROM src_entitlements a JOIN src_entitlements b USING (cust_id, product_id)
-       WHERE a.entitlement_id < b.entitlement_id AND a.start_date < b.end_date AND b.start_date < a.end_date)"""),
+       WHERE a.entitlement_id < b.entitlement_id
+       AND greatest(a.start_date, b.start_date) < least(a.end_date, b.end_date))"""),
     ("overlap", "licensed_equals_sum_active_entitlements", 0, """(SELECT count(*) FROM m_sku JOIN
        (SELECT cust_id, product_id, month, sum(units) AS lic FROM star_spine GROUP BY ALL) USING (cust_id, product_id, month)
        WHERE abs(licensed_amount - lic) > 0.5)"""),
@@ -325,11 +326,11 @@ FROM (SELECT count(*)::DOUBLE AS n, sum(vrs::DECIMAL(5,1))::DOUBLE AS v, sum(arr
                HAVING avg(consumed_units / licensed_amount) > 1.2e0)""",
             """SELECT 'overlapping contract pairs', count(*) FROM src_entitlements a JOIN src_entitlements b
                USING (cust_id, product_id) WHERE a.entitlement_id < b.entitlement_id
-               AND a.start_date < b.end_date AND b.start_date < a.end_date""",
+               AND greatest(a.start_date, b.start_date) < least(a.end_date, b.end_date)""",
         ]
     ),
     "overlap_pairs": """SELECT a.cust_id, a.product_id, count(*) FILTER (a.entitlement_id < b.entitlement_id
-       AND a.start_date < b.end_date AND b.start_date < a.end_date) AS pairs
+       AND greatest(a.start_date, b.start_date) < least(a.end_date, b.end_date)) AS pairs
 FROM src_entitlements a JOIN src_entitlements b USING (cust_id, product_id) GROUP BY ALL""",
     "month_spine": "SELECT entitlement_id, month, idx::INTEGER AS month_idx FROM star_spine",
     "hash_bucket": f"""SELECT entitlement_id, ({_MD5.format(k="'bucket-' || entitlement_id")} % 16)::INTEGER AS bucket

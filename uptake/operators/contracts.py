@@ -16,11 +16,12 @@ from uptake.operators.staging import SKU
 TERM_MONTHS = 12
 
 
-def ent_start(entitlements: DataFrame) -> DataFrame:
+def ent_start(entitlements: DataFrame, *more: Column) -> DataFrame:
     """First start date and revenue per SKU, over all its contracts."""
     return entitlements.groupBy(*SKU).agg(
         F.min("start_date").alias("start_date"),
         exact_sum(F.col("arr")).cast("double").alias("arr"),
+        *more,
     )
 
 

@@ -46,16 +46,16 @@ def scored_sku_months(
     """Every score input and the unrounded composite, one row per SKU and month.
 
     The per-SKU side (start, revenue, has_features) is finished before it meets
-    the monthly rows, so a join that has to shuffle moves SKUs, not SKU-months.
+    the monthly rows, so a look-up that has to shuffle moves contracts, not
+    SKU-months.
     The first month of value comes from the window the components need anyway.
     ``with_attributes`` adds segment and platform for parameters that depend on
     them; ``from_features`` lets a feature event count as first value, too.
     """
     bearing = raw["features"].select("product_id").distinct().withColumn("has_features", F.lit(True))
-    skus = (
-        contracts.ent_start(raw["entitlements"])
-        .join(bearing, "product_id", "left")
-        .withColumn("has_features", F.coalesce("has_features", F.lit(False)))
+    skus = contracts.ent_start(
+        raw["entitlements"].join(bearing, "product_id", "left"),
+        F.bool_or(F.coalesce("has_features", F.lit(False))).alias("has_features"),
     )
     stg = staging.sku_month(raw["consumption"])
     if with_attributes:

@@ -20,11 +20,15 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFram
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with a header line; malformed rows fail the read instead of turning to NULL."""
+    """CSV with a header line; malformed rows fail the read instead of turning to NULL.
+
+    A bare empty field is NULL, a quoted one is the empty text.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("dateFormat", "yyyy-MM-dd")
+        .option("nullValue", r"\N")
         .option("mode", "FAILFAST")
         .csv(path)
     )
