@@ -184,3 +184,19 @@ def test_first_signal_may_be_a_feature_event(spark):
     book = one_sku(spark, [0, 0, 0, 1.0], events=[0, 5, 0, 0])
     late, early = (mart_rows(spark, book, from_features=x)[-1] for x in (False, True))
     assert (late["ttv_days"], early["ttv_days"]) == ((dt.date(2025, 10, 1) - dt.date(2025, 7, 1)).days, 31)
+
+
+def test_parameters_reach_every_component(spark):
+    from uptake.params import DEFAULTS, Override
+
+    def book():
+        return one_sku(spark, [1.0], events=[10])
+
+    plain, = mart_rows(spark, book())
+    generous, = mart_rows(spark, book(), p=DEFAULTS.with_values(feature_idle=0.5))
+    assert (plain["feature_adoption"], generous["feature_adoption"]) == (0.3, 0.5)
+    rules = [Override({"feature_idle": 0.4, "weight_speed": 0.0}, segment="Enterprise"), Override({"feature_idle": 0.9})]
+    varied, = marts.customer_sku_month_overridden(book().raw(), rules).collect()
+    assert varied["feature_adoption"] == 0.4
+    # (0.35 + 0.25 * 0.4 + 0.25) / 0.85
+    assert varied["vrs"] == 82.4

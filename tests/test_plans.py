@@ -61,6 +61,29 @@ def test_movers_shuffle_once(space):
     assert "TakeOrderedAndProject" in plan
 
 
+def test_movers_read_two_months(space):
+    """The previous month comes from a sub-query, and still prunes partitions."""
+    df = QUERIES["top_movers"](space)
+    df.collect()
+    assert [partitions for _, partitions in scans(df._jdf.queryExecution().executedPlan())] == [2]
+
+
+def scans(node):
+    """Columns and partitions read of every file scan, inside query stages too."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return scans(node.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return scans(node.plan())
+    found = []
+    if name.startswith("FileSourceScan"):
+        found.append((node.requiredSchema().simpleString(), node.metrics().apply("numPartitions").value()))
+    children = node.children()
+    for i in range(children.size()):
+        found += scans(children.apply(i))
+    return found
+
+
 def test_anomaly_counts_do_not_expand_rows(space):
     assert "Expand" not in plan_of(QUERIES["product_model_table"](space))
     assert "Expand" not in plan_of(QUERIES["customer_kpis"](space))

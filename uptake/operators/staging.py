@@ -28,15 +28,18 @@ def sku_month(consumption: DataFrame) -> DataFrame:
     )
 
 
-def feature_month(feature_adoption: DataFrame, features: DataFrame, p: ScoreParams = DEFAULTS) -> DataFrame:
+def feature_month(
+    feature_adoption: DataFrame, features: DataFrame, p: ScoreParams = DEFAULTS, attributes: tuple[str, ...] = ()
+) -> DataFrame:
     """Events summed over concurrent contracts, then graded by the feature's own thresholds.
 
+    ``attributes`` are columns of the SKU that the parameters depend on.
     The feature table carries no broadcast hint: Catalyst and AQE broadcast it
     when its measured size allows, else they sort-merge and split hot features.
     """
     thresholds = features.select("feature_id", "feature_name", "meaningful_floor_events", "deep_threshold_events")
     return (
-        feature_adoption.groupBy(*SKU, "feature_id", "month")
+        feature_adoption.groupBy(*SKU, "feature_id", "month", *attributes)
         .agg(F.sum("usage_events").alias("usage_events"))
         .join(thresholds, "feature_id")
         .select(

@@ -40,7 +40,7 @@ class ScoreParams:
     fast_days: float | Column = 30.0
     slow_days: float | Column = 90.0
 
-    # graded feature levels
+    # graded feature levels, at most three decimals
     feature_idle: float | Column = 0.3
     feature_active: float | Column = 0.7
     feature_deep: float | Column = 1.0
@@ -58,6 +58,10 @@ class ScoreParams:
     band_middle: float | Column = 50.0
     band_low: float | Column = 30.0
 
+    def grades_vary(self) -> bool:
+        """Whether the feature levels depend on columns."""
+        return any(isinstance(x, Column) for x in (self.feature_idle, self.feature_active, self.feature_deep))
+
     def with_values(self, **values: float) -> ScoreParams:
         return replace(self, **values)
 

@@ -57,21 +57,21 @@ def scored_sku_months(
         raw["entitlements"].join(bearing, "product_id", "left"),
         F.bool_or(F.coalesce("has_features", F.lit(False))).alias("has_features"),
     )
-    stg = staging.sku_month(raw["consumption"])
+    stg, events, attributes = staging.sku_month(raw["consumption"]), raw["feature_adoption"], ()
     if with_attributes:
         skus = skus.join(raw["customers"].select("cust_id", "segment"), "cust_id", "left").join(
             raw["products"].select("product_id", "product_platform"), "product_id", "left"
         )
-        stg = stg.join(skus.select(*SKU, "segment", "product_platform"), SKU, "left")
-        skus = skus.drop("segment", "product_platform")
-    graded = staging.feature_month(raw["feature_adoption"], raw["features"])
+        traits = skus.select(*SKU, "segment", "product_platform")
+        stg, skus = stg.join(traits, SKU, "left"), skus.drop("segment", "product_platform")
+        if p.grades_vary():
+            events, attributes = events.join(traits, SKU, "left"), ("segment", "product_platform")
+    graded = staging.feature_month(events, raw["features"], p, attributes)
     rows = components.with_history(stg, staging.feature_adoption_avg(graded), p).join(skus, SKU)
     first = F.col("first_value_month")
     if from_features:
-        events = (
-            raw["feature_adoption"].where(F.col("usage_events") > 0).groupBy(*SKU).agg(F.min("month").alias("first_event"))
-        )
-        rows = rows.join(events, SKU, "left")
+        seen = events.where(F.col("usage_events") > 0).groupBy(*SKU).agg(F.min("month").alias("first_event"))
+        rows = rows.join(seen, SKU, "left")
         first = F.least("first_value_month", "first_event")
     rows = rows.withColumn("ttv_days", F.datediff(first, "start_date"))
     rows = rows.withColumns(

@@ -88,15 +88,16 @@ def write_by_month(df: DataFrame, path: str, months: list[str] | None = None) ->
 
 
 def write_table(df: DataFrame, path: str) -> None:
-    """Plain parquet with files of the advisory size."""
-    df.hint("rebalance").write.mode("overwrite").parquet(path)
+    """Plain parquet, one file per task; AQE has already sized the tasks."""
+    df.write.mode("overwrite").parquet(path)
 
 
 def save_as_table(df: DataFrame, name: str, by_month: bool = True) -> None:
     """A catalog table, created or replaced."""
-    writer = df.hint("rebalance", "month") if by_month else df.hint("rebalance")
-    out = writer.write.mode("overwrite").format("parquet")
-    (out.partitionBy("month") if by_month else out).saveAsTable(name)
+    if by_month:
+        df.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").saveAsTable(name, format="parquet")
+    else:
+        df.write.mode("overwrite").saveAsTable(name, format="parquet")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
