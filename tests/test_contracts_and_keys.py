@@ -109,10 +109,17 @@ def test_copies_of_a_row_get_distinct_ids_and_spread(spark):
     ranked = keys.dense_rank_rows(df.select("k"), ["k"], "n", partitions=8)
     stats = ranked.agg(F.count("*").alias("c"), F.countDistinct("n").alias("u"), F.max("n").alias("m")).first()
     assert (stats.c, stats.u, stats.m) == (20000, 20000, 20000)
-    placed = keys.positions(df.select("k"), ["k"], 8).where("k = 0")
+    numbered = df.select("k", F.monotonically_increasing_id().alias("row"))
+    placed = keys.positions(numbered, ["k", "row"], 8).where("k = 0")
     assert placed.select(F.shiftrightunsigned("_at", 33)).distinct().count() > 1
 
 
+def test_ties_are_broken_by_the_other_columns(spark):
+    df = spark.createDataFrame([(1, x) for x in range(500)], "a long, b long")
+    first, again = ({r.b: r.n for r in keys.dense_rank_rows(d, ["a"], "n", 3).collect()} for d in (df, df.repartition(9)))
+    assert first == again == {x: x + 1 for x in range(500)}
+
+
 def test_surrogate_key_text(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",)], "k string")
     rows = keys.surrogate_key(df, ["k"], "id", "E%05d").collect()

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uptake import schemas
+from uptake.functions.numeric import rnd
 from uptake.operators import components, contracts, keys, staging, volumes
 from uptake.operators.filters import Filters
 from uptake.params import Override
@@ -47,7 +49,9 @@ class Workspace:
 
     @property
     def raw(self) -> dict[str, DataFrame]:
-        return {name: self.source(name) for name in schemas.RAW}
+        # The tables are independent jobs; small ones run beside the large ones.
+        with ThreadPoolExecutor(len(schemas.RAW)) as pool:
+            return dict(zip(schemas.RAW, pool.map(self.source, schemas.RAW), strict=True))
 
     @property
     def sku(self) -> DataFrame:
@@ -96,7 +100,7 @@ def _components(w: Workspace) -> DataFrame:
         staging.sku_month(w.source("consumption")), staging.feature_adoption_avg(_stg_feature(w))
     )
     places = ("lur", "util_health", "feature_adoption", "sustained_usage", "prior_lur")
-    return rows.withColumns({c: marts.rnd(F.col(c), 6) for c in places})
+    return rows.withColumns({c: rnd(F.col(c), 6) for c in places})
 
 
 def _hash_bucket(w: Workspace) -> DataFrame:
@@ -235,4 +239,4 @@ QUERIES: dict[str, Query] = {
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: marts.rnd(F.col(n), 6) for n in names})
+    return df.withColumns({n: rnd(F.col(n), 6) for n in names})

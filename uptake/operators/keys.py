@@ -4,6 +4,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from uptake.sources.shared import fresh_folder
 
@@ -24,34 +25,37 @@ def portable_bucket(seed: Column, n: int) -> Column:
     return F.pmod(portable_hash(seed), F.lit(n)).cast("int")
 
 
-def positions(df: DataFrame, order: list[str | Column], tasks: int) -> DataFrame:
-    """Rows sorted by range, with partition number and position packed into ``_at``.
-
-    Copies of a row are kept apart by a random last key, so even a large group
-    of them spreads over partitions.
-    """
-    keys = [*order, F.col("_tie")]
+def positions(rows: DataFrame, keys: list[str | Column], tasks: int) -> DataFrame:
+    """Rows sorted by range, with partition number and position packed into ``_at``."""
     return (
-        df.withColumn("_tie", F.rand(11))
-        .repartitionByRange(tasks, *keys)
+        rows.repartitionByRange(tasks, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_at", F.monotonically_increasing_id())
-        .drop("_tie")
     )
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = fresh_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def dense_rank_rows(df: DataFrame, order: list[str | Column], name: str, partitions: int | None = None) -> DataFrame:
     """Adds 1..n in the order of ``order``, without a single-task window.
 
-    One range shuffle sorts the rows. The sorted rows are written once to the
-    shared folder, because range bounds are sampled and must not be drawn
-    twice; what is joined back are one row count per partition.
+    Ties are broken by the remaining columns, copies of a row by a stored row
+    number. The sort key is therefore unique: a large group of ties or copies
+    spreads over partitions, and a task that is run again after a lost executor
+    repeats its part exactly. The numbered rows are written before the sort and
+    the sorted rows after it, because range bounds are sampled and must not be
+    drawn twice; what is joined back are one row count per partition.
     """
-    spark = df.sparkSession
-    path = fresh_folder(spark, "ranked")
-    tasks = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    positions(df, order, tasks).write.parquet(path)
-    placed = spark.read.parquet(path).withColumn("_part", F.shiftrightunsigned("_at", _ROW_BITS))
+    tasks = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = {o for o in order if isinstance(o, str)}
+    others = [f.name for f in df.schema if isinstance(f.dataType, AtomicType) and f.name not in named]
+    rows = _stored(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    placed = _stored(positions(rows, [*order, *others, "_row"], tasks).drop("_row"), "ranked")
+    placed = placed.withColumn("_part", F.shiftrightunsigned("_at", _ROW_BITS))
     sizes = placed.groupBy("_part").count()
     # One row per partition of the shuffle above, so this window is small.
     running = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

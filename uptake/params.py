@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class ScoreParams:
-    """Defaults of the score. A field may also hold a Column, see ``resolve``."""
+    """Fixed values of the metric as defaults. A field may also hold a Column, see ``resolve``."""
 
     # weights of the four components
     weight_utilization: float | Column = 0.35

@@ -26,7 +26,7 @@ RISK_STATES = (v.CHURN, v.SHELFWARE, v.LAPSED, v.STALL)
 
 @dataclass(frozen=True)
 class Expectations:
-    """What a data set is known to contain. The defaults are one pinned data set's."""
+    """What a data set is known to contain. The defaults are the fixed values of one pinned data set."""
 
     first_month: str = "2025-07-01"
     latest_month: str = "2026-06-01"

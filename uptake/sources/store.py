@@ -20,12 +20,16 @@ class Store:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self._written: dict[str, DataFrame] = {}
-        self._lock = threading.RLock()
+        self._locks: dict[str, threading.RLock] = {}
+        self._guard = threading.Lock()
 
     def table(
         self, name: str, make: Callable[[], DataFrame], schema: StructType, by_month: bool = False
     ) -> DataFrame:
-        with self._lock:
+        """The table ``name``, written now if this is its first use. Safe to call from several threads."""
+        with self._guard:
+            lock = self._locks.setdefault(name, threading.RLock())
+        with lock:
             if name not in self._written:
                 path = fresh_folder(self.spark, name)
                 df = conform(make(), schema)
