@@ -200,3 +200,9 @@ def test_parameters_reach_every_component(spark):
     assert varied["feature_adoption"] == 0.4
     # (0.35 + 0.25 * 0.4 + 0.25) / 0.85
     assert varied["vrs"] == 82.4
+
+
+def test_units_keep_six_decimals(spark):
+    book = one_sku(spark, [])
+    book.use("E00001", "C1", "P1", CALENDAR[:1] * 2, [0.123456, 0.000004])
+    assert staging.sku_month(book.raw()["consumption"]).first().consumed_units == 0.12346

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+UNITS = "decimal(18,6)"
 SCORE = "decimal(5,1)"
 SIGNAL = "decimal(6,3)"
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from uptake.functions import scoring
-from uptake.functions.numeric import exact_sum, ratio
+from uptake.functions.numeric import UNITS, exact_sum, ratio
 from uptake.params import DEFAULTS, ScoreParams
 
 SKU = ["cust_id", "product_id"]
@@ -21,7 +21,7 @@ def sku_month(consumption: DataFrame) -> DataFrame:
     return (
         consumption.groupBy(*SKU_MONTH)
         .agg(
-            exact_sum(F.col("consumed_units")).cast("double").alias("consumed_units"),
+            exact_sum(F.col("consumed_units"), UNITS).cast("double").alias("consumed_units"),
             F.sum("licensed_amount").alias("licensed_amount"),
         )
         .withColumn("lur", ratio(F.col("consumed_units"), F.col("licensed_amount")))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from uptake import vocabulary as v
 from uptake.functions import labels, scoring
-from uptake.functions.numeric import headline_score, signal, total, total_where
+from uptake.functions.numeric import MONEY, headline_score, signal, total, total_where
 from uptake.operators.filters import EVERYTHING, Filters, as_of
 
 SIGNALS = ["util_health", "feature_adoption", "sustained_usage", "ttv_score"]
@@ -62,7 +62,7 @@ def play_catalog(full: DataFrame, month: str, filters: Filters = EVERYTHING) ->
         "Win back": F.col("state").isin(v.CHURN, v.LAPSED),
         "Upsell": F.coalesce("flag_expansion", F.lit(False)),
     }
-    arr = F.col("arr").cast("decimal(18,2)")
+    arr = F.col("arr").cast(MONEY)
     accounts = (
         filters.apply(as_of(full, month))
         .groupBy("cust_id")
@@ -111,7 +111,7 @@ def customer_kpis(full: DataFrame, month: str, filters: Filters = EVERYTHING) ->
     """
     risky = F.coalesce(scoring.at_risk(F.col("vrs")), F.lit(False))
     growing = F.coalesce("flag_expansion", F.lit(False))
-    arr = F.col("arr").cast("decimal(18,2)")
+    arr = F.col("arr").cast(MONEY)
     accounts = (
         filters.apply(as_of(full, month))
         .groupBy("cust_id")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from uptake import vocabulary as v
 from uptake.functions import labels, scoring
-from uptake.functions.numeric import headline_score, ratio, rnd
+from uptake.functions.numeric import UNITS, exact_sum, headline_score, ratio, rnd
 from uptake.operators.components import sku_history
 from uptake.operators.contracts import contract_features
 from uptake.operators.staging import SKU, SKU_MONTH, sku_month
@@ -138,7 +138,7 @@ def ttv_first_signal(raw: Raw) -> DataFrame:
 def naive_utilization(consumption: DataFrame) -> DataFrame:
     """Cumulative consumed / licensed per SKU: the single ratio the score replaces."""
     so_far = sku_history().rowsBetween(Window.unboundedPreceding, 0)
-    consumed = F.sum(F.col("consumed_units").cast("decimal(18,2)")).over(so_far)
+    consumed = exact_sum(F.col("consumed_units"), UNITS).over(so_far)
     licensed = F.sum("licensed_amount").over(so_far)
     return sku_month(consumption).select(*SKU_MONTH, rnd(ratio(consumed, licensed), 6).alias("naive_utilization"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from uptake import vocabulary as v
 from uptake.functions import labels, scoring
 from uptake.functions.calendar import day, month_text
-from uptake.functions.numeric import headline_score, ratio, rnd, rnd_signed, total, total_where, weighted_mean
+from uptake.functions.numeric import MONEY, SCORE, headline_score, ratio, rnd, rnd_signed, total, total_where, weighted_mean
 from uptake.operators.filters import EVERYTHING, Filters, as_of
 
 SNAPSHOT_COLUMNS = [
@@ -106,7 +106,7 @@ def kpis_by_month(full: DataFrame, filters: Filters = EVERYTHING) -> DataFrame:
 
     Sums stay decimal between the two levels, so the detour changes no digit.
     """
-    vrs, arr = F.col("vrs").cast("decimal(5,1)"), F.col("arr").cast("decimal(18,2)")
+    vrs, arr = F.col("vrs").cast(SCORE), F.col("arr").cast(MONEY)
     risky = scoring.at_risk(F.col("vrs"))
     expanding = F.coalesce(F.col("flag_expansion"), F.lit(False))
     accounts = (

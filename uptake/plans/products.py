@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uptake.functions import labels, scoring
-from uptake.functions.numeric import headline_score, ratio, rnd, total
+from uptake.functions.numeric import MONEY, SCORE, SIGNAL, headline_score, ratio, rnd, total
 from uptake.operators.filters import EVERYTHING, Filters, as_of
 from uptake.plans.customers import SIGNALS, account_facts, at_risk_revenue, signals
 
@@ -43,14 +43,14 @@ def product_model_table(
     rows = filters.apply(as_of(full, month)).withColumn("model", labels.model_name(F.col("product_name")))
     if platform is not None:
         rows = rows.where(F.col("product_platform") == platform)
-    arr = F.col("arr").cast("decimal(18,2)")
+    arr = F.col("arr").cast(MONEY)
     sums = {
-        "points": F.sum(F.col("vrs").cast("decimal(5,1)") * arr),
+        "points": F.sum(F.col("vrs").cast(SCORE) * arr),
         "arr": F.sum(arr),
         "risk_arr": F.sum(F.when(scoring.at_risk(F.col("vrs")), arr)),
     }
     for name in SIGNALS:
-        sums[f"{name}_points"] = F.sum(F.col(name).cast("decimal(6,3)") * arr)
+        sums[f"{name}_points"] = F.sum(F.col(name).cast(SIGNAL) * arr)
         sums[f"{name}_arr"] = F.sum(F.when(F.col(name).isNotNull(), arr))
     per_customer = rows.groupBy("product_platform", "model", "cust_id").agg(
         *[expr.alias(name) for name, expr in sums.items()], *account_facts()

@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from uptake import schemas
 from uptake import vocabulary as v
 from uptake.functions.calendar import day
+from uptake.functions.numeric import MONEY, SCORE, UNITS, exact_sum
 from uptake.operators.contracts import licensed_by_month, overlap_pairs
 from uptake.operators.staging import SKU_MONTH, sku_month
 
@@ -167,7 +168,7 @@ def _account_checks(raw: Mapping[str, DataFrame], mart: DataFrame, e: Expectatio
         .join(active, SKU_MONTH, "left")
         .groupBy("cust_id")
         .agg(
-            F.sum(F.col("consumed_units").cast("decimal(18,2)")).alias("used"),
+            exact_sum(F.col("consumed_units"), UNITS).alias("used"),
             F.avg("lur").alias("mean_lur"),
             F.count_if(off).alias("off"),
         )
@@ -216,7 +217,7 @@ def _mart_checks(mart: DataFrame, e: Expectations) -> list[DataFrame]:
         Column.__or__, [outside(c) for c in ("util_health", "feature_adoption", "sustained_usage", "ttv_score")]
     )
     latest = F.col("month") == day(e.latest_month)
-    arr = F.col("arr").cast("decimal(18,2)")
+    arr = F.col("arr").cast(MONEY)
     measures = {
         6: F.count_if((vrs < 0) | (vrs > 100)),
         7: F.count_if(strays),
@@ -226,7 +227,7 @@ def _mart_checks(mart: DataFrame, e: Expectations) -> list[DataFrame]:
         31: F.count_if((lur >= 1.0) & (lur <= 1.2) & (health != 1.0)),
         32: F.count_if(partial & ((days < 31) | (days > 90))),
         33: F.count("*"),
-        34: _off(F.sum(vrs.cast("decimal(5,1)")), e.vrs_sum, e.vrs_tolerance),
+        34: _off(exact_sum(vrs, SCORE), e.vrs_sum, e.vrs_tolerance),
         35: _off(F.sum(F.when(latest, arr)), e.latest_arr_sum, e.arr_tolerance),
         36: F.when(F.max("month") == day(e.latest_month), 0).otherwise(1),
     }
@@ -292,8 +293,8 @@ def pin(mart: DataFrame, e: Expectations = Expectations()) -> Expectations:
     latest = F.col("month") == day(e.latest_month)
     row = mart.agg(
         F.count("*").alias("n"),
-        F.sum(F.col("vrs").cast("decimal(5,1)")).cast("double").alias("vrs"),
-        F.sum(F.when(latest, F.col("arr").cast("decimal(18,2)"))).cast("double").alias("arr"),
+        exact_sum(F.col("vrs"), SCORE).cast("double").alias("vrs"),
+        exact_sum(F.when(latest, F.col("arr"))).cast("double").alias("arr"),
     ).first()
     return replace(e, total_rows=row["n"], vrs_sum=row["vrs"], latest_arr_sum=row["arr"])
 
@@ -307,8 +308,8 @@ def build_parity(left: DataFrame, right: DataFrame) -> DataFrame:
     def sums(df: DataFrame, side: str) -> DataFrame:
         return df.agg(
             F.count("*").cast("double").alias("rows"),
-            F.sum(F.col("vrs").cast("decimal(5,1)")).cast("double").alias("vrs"),
-            F.sum(F.col("arr").cast("decimal(18,2)")).cast("double").alias("arr"),
+            exact_sum(F.col("vrs"), SCORE).cast("double").alias("vrs"),
+            exact_sum(F.col("arr")).cast("double").alias("arr"),
         ).select(
             F.inline(
                 F.array(
@@ -357,7 +358,7 @@ def source_profile(raw: Mapping[str, DataFrame]) -> DataFrame:
         .groupBy("cust_id")
         .agg(
             F.count("*").alias("rows"),
-            F.sum(F.col("consumed_units").cast("decimal(18,2)")).alias("used"),
+            exact_sum(F.col("consumed_units"), UNITS).alias("used"),
             F.avg(ratio).alias("mean_lur"),
         )
     )
