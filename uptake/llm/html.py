@@ -17,6 +17,7 @@ from uptake.llm.common import chunks
 # What the tags mean.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 UNSEEN = frozenset("script style head noscript template svg math iframe object select textarea canvas audio video".split())
+RAW = frozenset("script style textarea title noscript iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset("article main".split())
 BESIDE = frozenset("nav aside footer form menu dialog button fieldset".split())
@@ -26,7 +27,7 @@ _BESIDE_NAMES = re.compile(
 )
 _BESIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 # Comments, or a tag with its attributes; a quoted attribute may hold ">".
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.DOTALL)
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z|[\"'][^>]*(?:>|\Z))|<[!?/][^>]*(?:>|\Z)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 _GAP = re.compile(r"\s+")
 
@@ -79,13 +80,20 @@ def blocks(html: str) -> list[Block]:
         parts.clear()
 
     at = 0
-    for m in _MARKUP.finditer(html):
+    while m := _MARKUP.search(html, at):
         if not unseen and m.start() > at:
             parts.append((html[at : m.start()], link > 0))
         at = m.end()
         name = (m["name"] or "").lower()
         if not name:
             continue
+        if name in RAW and not m["end"]:
+            # Their content is no markup: on to the end tag.
+            if not unseen and name not in INLINE:
+                close()
+            end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
+            at = end.end() if end else len(html)
+            continue
         if unseen:
             if m["end"] and name == unseen or unseen == "head" and name == "body":
                 unseen = ""
@@ -143,6 +151,11 @@ LABELLED = (
     [("<div id=menu><a href=x>W*2</a></div>", 0), ("<div class=cookie-notice>W*25</div>", 0), ("<div><h2>W*5</h2></div>", 1),
      ("<div><p>W*45</p></div>", 1), ("<div><p>W*12</p></div>", 1), ("<div><p>W*70</p></div>", 1), ("<p><a href=x>W*3</a></p>", 0),
      ("<p>W*4</p>", 0), ("<form>W*6</form>", 0)],
+    [("<article><p>W*2</p>", 1), ("<p>W</p>", 1), ("<p>W</p></article>", 1), ("<div><a href=x>W*2</a></div>", 0)],
+    [("<article><p>W*4</p></article>", 1), ("<p>W*7</p>", 0)],
+    [("<article><p>W*40</p>", 1), ("<p>W*3 <a href=x>W</a></p></article>", 1)],
+    [("<main><p><a href=x>W*3</a></p></main>", 1), ("<p>W*30</p>", 0)],
+    [("<article><p><a href=x>W*3</a></p>", 1), ("<p>W*3</p></article>", 1), ("<nav><a href=x>W</a></nav>", 0)],
     [("<p><a href=x>W*3</a> <a href=x>W*4</a></p>", 0), ("<h1>W*7</h1>", 1), ("<p>W*35</p>", 1), ("<p>W*3</p>", 1), ("<p>W*28 <a href=x>W*2</a></p>", 1),
      ("<ul><li><a href=x>W*5</a></li>", 0), ("<li><a href=x>W*6</a></li></ul>", 0), ("<p>W*5</p>", 0)],
     [("<article><header><h1>W*9</h1></header>", 1), ("<p>W</p>", 1), ("<p><a href=x>W*4</a></p>", 1), ("<p>W*200</p>", 1), ("<ul><li>W*3</li>", 1), ("<li>W*4</li></ul>", 1),

@@ -33,7 +33,6 @@ from uptake.llm.common import chunks, row_order
 from uptake.llm.hashing import Sums, U, Words, mix
 
 ROUNDS = 2
-_OUTSIDE = U(0xFFFFFFFFFFFFFFFF)
 
 
 class Symbols:
@@ -92,17 +91,19 @@ def recompress(words: Words, rounds: int = ROUNDS) -> list[Symbols]:
     return out
 
 
-def _range_min(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, longest: int) -> np.ndarray:
-    """The minimum of values[lo:hi] for each slice of at most ``longest``; all ones if it is empty."""
-    out = np.full(len(lo), _OUTSIDE, U)
+def _range_argmin(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, longest: int) -> np.ndarray:
+    """The first place of the minimum of values[lo:hi] for each slice of at most ``longest``; -1 if it is empty."""
+    out = np.full(len(lo), -1)
     size = hi - lo
-    level, width = values, 1
+    level, width = np.arange(len(values)), 1
     while width <= longest:
         some = np.flatnonzero((size >= width) & (size < 2 * width))
-        out[some] = np.minimum(level[lo[some]], level[hi[some] - width])
+        a, b = level[lo[some]], level[hi[some] - width]
+        out[some] = np.where(values[b] < values[a], b, a)
         if len(level) <= width:
             break
-        level = np.minimum(level[: len(level) - width], level[width:])
+        a, b = level[: len(level) - width], level[width:]
+        level = np.where(values[b] < values[a], b, a)
         width *= 2
     return out
 
@@ -113,29 +114,32 @@ def window_starts(words: Words, width: int) -> np.ndarray:
     return at[at + width <= words.first[words.text + 1]]
 
 
-def anchors(words: Words, sums: Sums, starts: np.ndarray, width: int) -> np.ndarray:
-    """A name for each window: equal windows have equal names, and a name is rarely shared by others."""
-    out = np.full(len(starts), _OUTSIDE, U)
-    for number, s in reversed(list(enumerate(recompress(words)))):
-        todo = np.flatnonzero(out == _OUTSIDE)
+def anchors(words: Words, sums: Sums, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window the name of its anchor, which equal windows share and others rarely, and a number that tells anchors apart."""
+    name = np.zeros(len(starts), U)
+    number = np.full(len(starts), -1)
+    todo = np.arange(len(starts))
+    for level, s in reversed(list(enumerate(recompress(words)))):
         if not len(todo) or not len(s.name):
-            continue
+            break
         left = np.minimum.accumulate(s.left[::-1])[::-1]
         right = np.maximum.accumulate(s.right)
-        inside = (s.left >= words.first[s.text]) & (s.right <= words.first[s.text + 1])
         lo, hi = np.clip(s.left, 0, len(words)), np.clip(s.right, 0, len(words))
-        context = sums.of(np.minimum(lo, hi), hi)
-        rank = mix(context + mix(s.name + (s.start - s.left).astype(U) + U(number << 8)))
-        rank = np.where(inside, rank, _OUTSIDE)
+        rank = mix(sums.of(lo, hi) + mix(s.name + (s.start - s.left).astype(U) + U(level << 8)))
         n = len(words) + width + 2
         opened = np.cumsum(np.bincount(np.clip(left + 1, 0, n), minlength=n + 1))
         closed = np.cumsum(np.bincount(np.clip(right, 0, n), minlength=n + 1))
         at = starts[todo]
         lo, hi = opened[at], closed[at + width]
-        out[todo] = _range_min(rank, lo, np.maximum(hi, lo), width)
-    none = out == _OUTSIDE
-    out[none] = mix(sums.of(starts[none], starts[none] + width) + U(1))
-    return out
+        found = _range_argmin(rank, lo, np.maximum(hi, lo), width)
+        some = found >= 0
+        name[todo[some]] = rank[found[some]]
+        number[todo[some]] = found[some] * 4 + level
+        todo = todo[~some]
+    # A window without any symbol of its own, such as one inside a long run, is its own anchor.
+    name[todo] = mix(sums.of(starts[todo], starts[todo] + width) + U(1))
+    number[todo] = starts[todo] * 4 + 3
+    return name, number
 
 
 def _merge(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,10 +169,10 @@ def _anchor_rows(width: int):
                 continue
             order = batch.column("ord").to_numpy()
             rid = batch.column("rid").to_numpy()
-            names = anchors(words, Sums(words.hash), starts, width)
+            names, number = anchors(words, Sums(words.hash), starts, width)
             text = words.text[starts]
             new = np.ones(len(starts), bool)
-            new[1:] = (names[1:] != names[:-1]) | (text[1:] != text[:-1])
+            new[1:] = (number[1:] != number[:-1]) | (text[1:] != text[:-1])
             at = np.flatnonzero(new)
             end = starts[np.append(at[1:], len(new)) - 1] + 1
             name, text, start = names[at], text[at], starts[at]

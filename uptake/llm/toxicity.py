@@ -1,14 +1,14 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Each class, toxic and ordinary, has a word-pair model with absolute discounting. It
-backs off to the class's continuation counts (in how many different contexts a
-word was seen), and these to continuation counts shared by both classes, so that a
-word that one class never showed gets the same small probability from either. A text's
-evidence is the difference of its two log-likelihoods divided by its number of words; a logistic
-curve, fitted on labelled texts that the counts did not see, turns it into a score.
-
-Words are hashed into ``WORDS`` slots and pairs into ``PAIRS`` slots, which bounds the model
-whatever the corpus: two words in one slot share counts. Counting covers every labelled text.
+Each class, toxic and ordinary, has a model of the next byte given three, with absolute discounting of the class's own counts. Both
+classes back off to the same Kneser-Ney distribution, made of continuation counts (after how many different bytes an
+expression was seen) over all labelled texts: an expression that one class never showed gets its shared probability, and
+contexts that neither class knows weigh for neither. Bytes rather than words let inflected and rare forms of a word count together. A text's
+evidence is the difference of its two log-likelihoods divided by its length, and the same of the words for which it is positive; a
+logistic curve of both, fitted on labelled texts that the counts did not see, turns them into a score.
+
+Counts are exact in Spark and cover every labelled text. The model that goes to the tasks hashes expressions into ``SLOTS``
+slots, which bounds its size whatever the corpus; two expressions in one slot share counts.
 """
 
 from __future__ import annotations
@@ -25,151 +25,184 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from uptake.llm.common import chunks, written
-from uptake.llm.hashing import U, Words, mix
+from uptake.llm.hashing import U, buffers, mix
 
-WORDS, PAIRS = 1 << 20, 1 << 21
+SLOTS = 1 << 20
 DISCOUNT = 0.75
 #: At most so many labelled texts fit the logistic curve; they are those with the smallest hashes.
 CURVE_TEXTS = 20_000
 THRESHOLD = 0.7
 _BLOCK = 1 << 13
+_GAP = 32
 
-_letters = np.arange(256, dtype=np.uint8)
-_letters[65:91] += 32
-#: ASCII other than letters and digits ends a word.
-_breaks = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+#: ASCII letters in lower case; ASCII other than letters and digits is a gap.
+_fold = np.array([b if b >= 128 or chr(b).isalnum() else _GAP for b in range(256)], np.uint8)
+_fold[65:91] += 32
 
 
-@dataclass
-class Tokens:
-    """The slots of the words of many texts. ``before`` is the slot of the word before, or the one kept for a text's start."""
-
-    word: np.ndarray
-    before: np.ndarray
-    pair: np.ndarray
-    text: np.ndarray
-    counts: np.ndarray
-
-    @classmethod
-    def of(cls, column: pa.Array) -> Tokens:
-        words = Words(column, _breaks, _letters)
-        word = (words.hash % U(WORDS - 1)).astype(np.int64) + 1
-        before = np.zeros_like(word)
-        before[1:] = word[:-1]
-        before[words.first[:-1][words.counts > 0]] = 0
-        pair = (mix(before.astype(U) * U(WORDS) + word.astype(U)) % U(PAIRS)).astype(np.int64)
-        return cls(word, before, pair, words.text, words.counts)
+def expressions(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Every four bytes in a row of each text, packed with the last one lowest, and the text's number. Gaps count once; before a text are gaps."""
+    data, offsets = buffers(column)
+    data = _fold[data]
+    first = np.zeros(len(data) + 1, bool)
+    first[offsets] = True
+    text = np.repeat(np.arange(len(column)), np.diff(offsets))
+    gap = data == _GAP
+    keep = np.ones(len(data), bool)
+    keep[1:] = ~(gap[1:] & gap[:-1])
+    keep &= ~(gap & first[:-1])
+    data, text = data[keep].astype(np.uint32), text[keep]
+    out = data.copy()
+    for k in (1, 2, 3):
+        before = np.full(len(data), _GAP, np.uint32)
+        before[k:] = np.where(text[k:] == text[:-k], data[:-k], _GAP)
+        out |= before << np.uint32(8 * k)
+    return out, text
+
+
+def slots(keys: np.ndarray) -> np.ndarray:
+    return (mix(keys.astype(U)) % U(SLOTS)).astype(np.int64)
 
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each chunk's different word pairs with their counts by class."""
+    """Each chunk's different expressions with their counts by class."""
     for batch in chunks(batches, "text"):
-        tokens = Tokens.of(batch.column("text"))
-        if not len(tokens.word):
-            continue
-        toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(bool)[tokens.text]
-        both, count = np.unique((tokens.before * WORDS + tokens.word) * 2 + toxic, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(both), pa.array(count)], ["pair", "n"])
+        keys, text = expressions(batch.column("text"))
+        toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)[text]
+        both, count = np.unique(keys.astype(np.int64) * 2 + toxic, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(both), pa.array(count)], ["both", "n"])
 
 
-def _packed(frame: DataFrame, slot: Column, values: list[str], size: int) -> list[np.ndarray]:
-    """Sums of ``values`` by slot as arrays of ``size``; they reach the driver in blocks of bytes, ``4 * size`` for each value."""
+def _slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        slot = slots(batch.column(0).to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(slot), *batch.columns[1:]], ["slot", *batch.schema.names[1:]])
+
+
+def _arrays(frame: DataFrame, values: list[str]) -> list[np.ndarray]:
+    """``values`` of ``frame`` (its first column is a key) summed by slot. They reach the driver as blocks of bytes, ``8 * SLOTS`` for each value."""
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         out = {}
         for v in values:
-            block = np.zeros(_BLOCK, np.float32)
+            block = np.zeros(_BLOCK)
             block[rows["slot"].to_numpy() % _BLOCK] = rows[v]
             out[v] = [block.tobytes()]
         return pd.DataFrame({"block": [key[0]], **out})
 
-    sums = frame.groupBy(slot.alias("slot")).agg(*[F.sum(v).alias(v) for v in values])
+    hashed = frame.mapInArrow(_slot_rows, "slot long, " + ", ".join(f"{v} long" for v in values))
+    sums = hashed.groupBy("slot").agg(*[F.sum(v).alias(v) for v in values])
     blocks = sums.withColumn("block", F.floor(F.col("slot") / _BLOCK).cast("int"))
-    rows = blocks.groupBy("block").applyInPandas(pack, "block int, " + ", ".join(f"{v} binary" for v in values)).toLocalIterator()
-    arrays = [np.zeros(size, np.float32) for _ in values]
+    rows = blocks.groupBy("block").applyInPandas(pack, "block int, " + ", ".join(f"{v} binary" for v in values)).collect()
+    arrays = [np.zeros(SLOTS) for _ in values]
     for row in rows:
         for k, v in enumerate(values):
-            arrays[k][row.block * _BLOCK : (row.block + 1) * _BLOCK] = np.frombuffer(row[v], np.float32)
+            arrays[k][row.block * _BLOCK : (row.block + 1) * _BLOCK] = np.frombuffer(row[v])
     return arrays
 
 
+def _discounted(count: np.ndarray, total: np.ndarray) -> np.ndarray:
+    # Expressions that share a slot could claim more than their context has.
+    return np.minimum(np.maximum(count - DISCOUNT, 0), total) / np.maximum(total, 1)
+
+
+def _spare(kinds: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """What discounting leaves for the backoff; all of it in a context never seen."""
+    return np.where(total > 0, np.minimum(1, DISCOUNT * kinds / np.maximum(total, 1)), 1.0)
+
+
 @dataclass
 class Model:
-    """Arrays of fixed size: ``WORDS`` for words, ``PAIRS`` for pairs, for the classes ordinary (0) and toxic (1)."""
-
-    pairs: list[np.ndarray]
-    context: list[np.ndarray]
-    weight: list[np.ndarray]
-    lower: list[np.ndarray]
-    slope: float = 1.0
+    """Arrays of ``SLOTS`` values, for the classes ordinary (0) and toxic (1), and the shared ones; ``last`` has one for each byte."""
+
+    counts: list[np.ndarray]
+    totals: list[np.ndarray]
+    spares: list[np.ndarray]
+    shared: np.ndarray
+    shared_spare: np.ndarray
+    last: np.ndarray
+    slopes: tuple[float, float] = (1.0, 0.0)
     offset: float = 0.0
 
     def evidence(self, column: pa.Array) -> np.ndarray:
-        """Toxic less ordinary log-likelihood for each word of each text; 0 without words."""
-        tokens = Tokens.of(column)
-        logs = []
-        for c in (0, 1):
-            seen = np.maximum(self.pairs[c][tokens.pair] - DISCOUNT, 0)
-            total = self.context[c][tokens.before]
-            # Pairs that share a slot could claim more than their context has.
-            share = np.where(total > 0, np.minimum(seen, total) / np.maximum(total, 1), 0)
-            logs.append(np.log(share + self.weight[c][tokens.before] * self.lower[c][tokens.word]))
-        sums = np.bincount(tokens.text, logs[1] - logs[0], minlength=len(column))
-        return sums / np.maximum(tokens.counts, 1)
+        """For each text, toxic less ordinary log-likelihood a byte, and that of the words that speak for toxic; 0 for a text without any."""
+        keys, text = expressions(column)
+        whole, context = slots(keys), slots(keys >> np.uint32(8))
+        base = self.backoff(keys)
+        logs = [
+            np.log(_discounted(self.counts[c][whole], self.totals[c][context]) + self.spares[c][context] * base) for c in (0, 1)
+        ]
+        gain = logs[1] - logs[0]
+        # A word's bytes and the gap after it.
+        opens = np.ones(len(keys), bool)
+        opens[1:] = ((keys[1:] >> np.uint32(8)) & np.uint32(0xFF) == _GAP) | (text[1:] != text[:-1])
+        at = np.flatnonzero(opens)
+        words = np.add.reduceat(gain, at) if len(at) else gain
+        sums = np.stack([np.bincount(text, gain, len(column)), np.bincount(text[at], np.maximum(words, 0), len(column))], axis=1)
+        return sums / np.maximum(np.bincount(text, minlength=len(column)), 1)[:, None]
+
+    def backoff(self, keys: np.ndarray) -> np.ndarray:
+        """The shared probability of the last byte given the two before it."""
+        short = slots(keys & np.uint32(0xFFFFFF))
+        context = slots((keys >> np.uint32(8)) & np.uint32(0xFFFF))
+        return self.shared[short] + self.shared_spare[context] * self.last[keys & np.uint32(0xFF)]
 
     def scores(self, evidence: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * evidence + self.offset, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(evidence @ np.array(self.slopes) + self.offset, -30, 30)))
 
 
 def fit_counts(labelled: DataFrame) -> Model:
     """The two models from all rows of ``labelled`` (``text``, ``toxic``)."""
-    rows = labelled.select("text", F.col("toxic").cast("boolean").alias("toxic")).mapInArrow(_count_rows, "pair long, n long")
-    side = F.col("pair").bitwiseAND(F.lit(1))
-    pairs = rows.groupBy("pair").agg(F.sum("n").alias("n"))
-    split = pairs.select(
-        F.shiftright("pair", 21).alias("before"),
-        F.shiftright("pair", 1).bitwiseAND(F.lit(WORDS - 1)).alias("word"),
-        *[F.when(side == c, F.col("n")).otherwise(0).alias(f"n{c}") for c in (0, 1)],
-        *[F.when(side == c, 1).otherwise(0).alias(f"t{c}") for c in (0, 1)],
+    rows = labelled.select("text", F.col("toxic").cast("boolean").alias("toxic")).mapInArrow(_count_rows, "both long, n long")
+    key, side = F.shiftright("both", 1), F.col("both").bitwiseAND(F.lit(1))
+    sums = rows.groupBy(key.alias("key")).agg(*[F.sum(F.when(side == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)])
+    whole = written(sums, "expressions")
+    kinds = [(F.col(f"n{c}") > 0).cast("long").alias(f"t{c}") for c in (0, 1)]
+    n0, n1 = _arrays(whole, ["n0", "n1"])
+    c0, c1, t0, t1 = _arrays(whole.select(F.shiftright("key", 8).alias("key"), "n0", "n1", *kinds), ["n0", "n1", "t0", "t1"])
+    # Continuation counts: after how many different bytes the last three, and after how many pairs the last one, were seen.
+    short = whole.groupBy(F.col("key").bitwiseAND(F.lit(0xFFFFFF)).alias("key")).agg(F.count("*").alias("n"))
+    short = written(short.withColumn("t", F.lit(1).cast("long")), "continuations")
+    (s,) = _arrays(short.select("key", "n"), ["n"])
+    context = short.select(F.shiftright("key", 8).alias("key"), "n", "t")
+    total, follow = _arrays(context, ["n", "t"])
+    last = np.ones(256)
+    for row in short.groupBy(F.col("key").bitwiseAND(F.lit(0xFF)).alias("byte")).agg(F.count("*").alias("n")).collect():
+        last[row.byte] += row.n
+    # Each three-byte slot's discounted share needs its context's total, which the keys tell.
+    share = _shares(short, total)
+    return Model(
+        [n0, n1], [c0, c1], [_spare(t0, c0), _spare(t1, c1)], share if s.any() else np.zeros(SLOTS), _spare(follow, total), last / last.sum()
     )
-    split = written(split.groupBy("before", "word").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "t0", "t1")]), "pairs")
-    # The pair's slot is the same bijection that Tokens uses, so it is computed by the same code.
-    slots = split.mapInArrow(_slot_rows, "slot long, n0 long, n1 long")
-    n0, n1 = _packed(slots, F.col("slot"), ["n0", "n1"], PAIRS)
-    c0, c1, f0, f1 = _packed(split, F.col("before"), ["n0", "n1", "t0", "t1"], WORDS)
-    shared = split.withColumn("any", F.greatest("t0", "t1"))
-    b0, b1, s = _packed(shared, F.col("word"), ["t0", "t1", "any"], WORDS)
-    # Shared continuation: every word slot counts once more, so that none has probability 0.
-    base = ((s + 1) / (s.sum(dtype=np.float64) + WORDS)).astype(np.float64)
-    context, weight, lower = [], [], []
-    for total, follows, reached in ((c0, f0, b0), (c1, f1, b1)):
-        kinds = reached.sum(dtype=np.float64)
-        spare = DISCOUNT * np.count_nonzero(reached) / max(kinds, 1) if kinds else 1.0
-        lower.append((np.maximum(reached - DISCOUNT, 0) / max(kinds, 1) + spare * base).astype(np.float32))
-        context.append(total)
-        weight.append(np.where(total > 0, DISCOUNT * follows / np.maximum(total, 1), 1).astype(np.float32))
-    return Model([n0, n1], context, weight, lower)
 
 
-def _slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        before, word = batch.column("before").to_numpy().astype(U), batch.column("word").to_numpy().astype(U)
-        slot = (mix(before * U(WORDS) + word) % U(PAIRS)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(slot), batch.column("n0"), batch.column("n1")], ["slot", "n0", "n1"])
+def _shares(short: DataFrame, total: np.ndarray) -> np.ndarray:
+    """By slot, the discounted share of three bytes among those with the same first two."""
+    shipped = short.sparkSession.sparkContext.broadcast(total)
+    scale = 1 << 40
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("key").to_numpy().astype(np.uint32)
+            share = _discounted(batch.column("n").to_numpy(), shipped.value[slots(keys >> np.uint32(8))])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array((share * scale).astype(np.int64))], ["key", "n"])
+
+    (share,) = _arrays(short.select("key", "n").mapInArrow(rows, "key long, n long"), ["n"])
+    return share / scale
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset by Newton steps with a slight pull to 0."""
+def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[tuple[float, float], float]:
+    """Slopes and offset by Newton steps with a slight pull to 0."""
     if len(x) == 0:
-        return 1.0, 0.0
-    scale = max(float(np.std(x)), 1e-9)
-    a = np.stack([x / scale, np.ones(len(x))], axis=1)
-    w = np.zeros(2)
+        return (1.0, 0.0), 0.0
+    scale = np.maximum(x.std(axis=0), 1e-9)
+    a = np.column_stack([x / scale, np.ones(len(x))])
+    w = np.zeros(3)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + 1e-3 * np.eye(2), a.T @ (y - p) - 1e-3 * w)
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + 1e-2 * np.eye(3), a.T @ (y - p) - 1e-2 * w)
         w += np.clip(step, -4, 4)
-    return max(float(w[0]), 0.0) / scale, float(w[1])
+    return (float(w[0] / scale[0]), float(w[1] / scale[1])), float(w[2])
 
 
 def fit(labelled: DataFrame) -> Model:
@@ -179,8 +212,8 @@ def fit(labelled: DataFrame) -> Model:
     model = fit_counts(known.where((part != 0) | part.isNull()))
     rest = known.where(part == 0).orderBy(F.xxhash64("doc_id", F.lit("curve"))).limit(CURVE_TEXTS)
     shipped = rest.sparkSession.sparkContext.broadcast(model)
-    seen = rest.select("text", "toxic").mapInArrow(_evidence_rows(shipped), "toxic int, evidence double").toPandas()
-    model.slope, model.offset = _logistic(seen["evidence"].to_numpy(), seen["toxic"].to_numpy(dtype=float))
+    seen = rest.select("text", "toxic").mapInArrow(_evidence_rows(shipped), "toxic int, all double, peaks double").toPandas()
+    model.slopes, model.offset = _logistic(seen[["all", "peaks"]].to_numpy(), seen["toxic"].to_numpy(dtype=float))
     return model
 
 
@@ -188,7 +221,8 @@ def _evidence_rows(shipped):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
             found = shipped.value.evidence(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.int32()), pa.array(found)], ["toxic", "evidence"])
+            columns = [batch.column("toxic").cast(pa.int32()), pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())]
+            yield pa.RecordBatch.from_arrays(columns, ["toxic", "all", "peaks"])
 
     return rows
 
