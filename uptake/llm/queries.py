@@ -38,22 +38,22 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op3_substring_dedup": r"""
         WITH lists AS (
-            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), x -> x <> '') AS w FROM documents
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents
         ), words AS (
-            SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS at,
+            SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos,
                    unnest(list_transform(range(1, len(w) + 1),
-                       i -> CASE WHEN i + 19 <= len(w) THEN md5(array_to_string(w[i:i + 19], ' ')) END)) AS window_key
+                       lambda i: CASE WHEN i + 19 <= len(w) THEN md5(array_to_string(w[i:i + 19], ' ')) END)) AS window_key
             FROM lists
         ), firsts AS (
-            SELECT window_key, min((doc_id, at)) AS place FROM words WHERE window_key IS NOT NULL GROUP BY window_key
+            SELECT window_key, min(row(doc_id, pos)) AS place FROM words WHERE window_key IS NOT NULL GROUP BY window_key
         ), marked AS (
-            SELECT doc_id, at, word, coalesce((doc_id, at) > place, false) AS late FROM words LEFT JOIN firsts USING (window_key)
+            SELECT doc_id, pos, word, coalesce(row(doc_id, pos) > place, false) AS late FROM words LEFT JOIN firsts USING (window_key)
         ), judged AS (
-            SELECT doc_id, at, word,
-                   bool_or(late) OVER (PARTITION BY doc_id ORDER BY at ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+            SELECT doc_id, pos, word,
+                   bool_or(late) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
             FROM marked
         ), sums AS (
-            SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY at) FILTER (WHERE NOT gone) AS kept
+            SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT gone) AS kept
             FROM judged GROUP BY doc_id
         )
         SELECT l.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
@@ -61,8 +61,8 @@ ORACLES: dict[str, str] = {
     """,
     "op7_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(x::DOUBLE * 256)) AS e FROM embeddings
-            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), pairs AS (
             SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
             FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id

@@ -7,6 +7,7 @@ symbol's name is a hash of what it stands for, so all tasks of the Spark job
 give one content one name and equal passages get equal symbols, but for a
 margin: with each symbol goes the stretch of words that decided it.
 
+0. Whole texts are the highest symbols: a text whose words all equal an earlier text's goes at once.
 1. Every window takes as its anchor the smallest-named symbol of the highest
    round whose deciding stretch lies inside the window. Equal windows take equal
    anchors. A shuffle by name tells which anchors occur more than once.
@@ -29,7 +30,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from uptake.llm.common import chunks, row_order
+from uptake.llm.common import chunks, row_order, written
 from uptake.llm.hashing import Sums, U, Words, mix
 
 ROUNDS = 2
@@ -157,7 +158,17 @@ def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns.values()], list(columns))
 
 
-_ANCHORS = "key long, kind byte, ord long, rid long, start long, end long"
+def _span(start: np.ndarray, end: np.ndarray, mark: np.ndarray | int = 0) -> np.ndarray:
+    """A word range and a mark from 0 to 3 in one value, so that rows stay narrow."""
+    return (np.asarray(start, np.int64) << 32) | (np.asarray(end, np.int64) << 2) | mark
+
+
+def _ranges(rows: DataFrame) -> DataFrame:
+    span = F.col("span")
+    return rows.groupBy("ord", "rid").agg(F.collect_list(span).alias("ranges"))
+
+
+_ANCHORS = "key long, ord long, rid long, span long"
 
 
 def _anchor_rows(width: int):
@@ -182,19 +193,18 @@ def _anchor_rows(width: int):
             t, s, e = _merge(text[known], start[known], end[known])
             base = words.first[t]
             yield _batch(
-                key=mix(rid[t].view(U) + s.astype(U)).view(np.int64), kind=np.ones(len(t), np.int8),
-                ord=order[t], rid=rid[t], start=s - base, end=e - base,
+                key=mix(rid[t].view(U) + s.astype(U)).view(np.int64), ord=order[t], rid=rid[t], span=_span(s - base, e - base, 1)
             )
             t, base = text[one], words.first[text[one]]
             yield _batch(
-                key=name[one].view(np.int64), kind=np.where(count > 1, 2, 0).astype(np.int8),
-                ord=order[t], rid=rid[t], start=start[one] - base, end=end[one] - base,
+                key=name[one].view(np.int64), ord=order[t], rid=rid[t],
+                span=_span(start[one] - base, end[one] - base, np.where(count > 1, 2, 0)),
             )
 
     return rows
 
 
-_WINDOWS = "h1 long, h2 long, kind byte, ord long, rid long, start long, end long"
+_WINDOWS = "h1 long, h2 long, ord long, rid long, span long"
 
 
 def _window_rows(width: int):
@@ -220,16 +230,13 @@ def _window_rows(width: int):
             late = np.sort(by[later])
             t, s, e = _merge(text[late], starts[late], starts[late] + width)
             base = words.first[t]
-            zero = np.zeros(len(t), np.int64)
-            yield _batch(
-                h1=mix(rid[t].view(U) + s.astype(U)).view(np.int64), h2=zero, kind=np.ones(len(t), np.int8),
-                ord=order[t], rid=rid[t], start=s - base, end=e - base,
-            )
+            own_key = mix(rid[t].view(U) + s.astype(U)).view(np.int64)
+            yield _batch(h1=own_key, h2=own_key, ord=order[t], rid=rid[t], span=_span(s - base, e - base, 1))
             keep = by[~later]
             t = text[keep]
             yield _batch(
-                h1=h1[keep].view(np.int64), h2=h2[keep].view(np.int64), kind=np.zeros(len(keep), np.int8),
-                ord=order[t], rid=rid[t], start=place[keep], end=place[keep] + width,
+                h1=h1[keep].view(np.int64), h2=h2[keep].view(np.int64), ord=order[t], rid=rid[t],
+                span=_span(place[keep], place[keep] + width),
             )
 
     return rows
@@ -241,15 +248,17 @@ def _covered(words: Words, ranges: pa.Array) -> np.ndarray:
     flat = ranges.flatten()
     if len(flat):
         at = np.repeat(words.first[:-1], pa.compute.fill_null(pa.compute.list_value_length(ranges), 0).to_numpy())
-        np.add.at(step, at + flat.field("start").to_numpy(), 1)
-        np.add.at(step, at + flat.field("end").to_numpy(), -1)
+        span = flat.to_numpy()
+        step += np.bincount(at + (span >> 32), minlength=len(step))
+        step -= np.bincount(at + ((span & 0xFFFFFFFF) >> 2), minlength=len(step))
     return np.cumsum(step)[:-1] > 0
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, "text"):
         words = Words(batch.column("text"))
-        gone = _covered(words, batch.column("ranges"))
+        copy = batch.column("copy").to_numpy(zero_copy_only=False)
+        gone = _covered(words, batch.column("ranges")) | copy[words.text]
         removed = np.add.reduceat(np.append(gone, False).astype(np.int64), words.first[:-1]) * (words.counts > 0)
         kept = []
         for k, text in enumerate(batch.column("text").to_pylist()):
@@ -270,8 +279,22 @@ def _with_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(digest)], ["row", "n_words", "n_removed", "kept_sha256"])
 
 
-def _ranges(df: DataFrame) -> DataFrame:
-    return df.groupBy("ord", "rid").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's number of words and the name of all of it."""
+    for batch in chunks(batches, "text"):
+        words = Words(batch.column("text"))
+        first, last = words.first[:-1], words.first[1:]
+        h1 = Sums(words.hash).of(first, last).view(np.int64)
+        h2 = Sums(mix(words.hash + U(0x5851F42D4C957F2D))).of(first, last).view(np.int64)
+        yield _batch(ord=batch.column("ord").to_numpy(), rid=batch.column("rid").to_numpy(), n=words.counts, h1=h1, h2=h2)
+
+
+def _copies(texts: DataFrame, width: int) -> DataFrame:
+    """``ord, rid`` of the texts of ``width`` words or more that an earlier text equals."""
+    whole = written(texts.mapInArrow(_whole, "ord long, rid long, n long, h1 long, h2 long").where(F.col("n") >= width), "wholes")
+    first = written(whole.groupBy("h1", "h2").agg(F.min("ord").alias("first"), F.count("*").alias("m")).where("m > 1"), "first-wholes")
+    later = whole.join(first, ["h1", "h2"]).where("ord > first")
+    return later.select("ord", "rid", F.lit(True).alias("copy")).distinct()
 
 
 def remove_repeats(docs: DataFrame, width: int = 20, digest: bool = False) -> DataFrame:
@@ -286,15 +309,19 @@ def remove_repeats(docs: DataFrame, width: int = 20, digest: bool = False) -> Da
     texts = docs.select(
         F.col("doc_id").alias("row"), row_order().alias("ord"), F.xxhash64("doc_id", "text").alias("rid"), "text"
     )
-    named = texts.select("ord", "rid", "text").mapInArrow(_anchor_rows(width), _ANCHORS)
-    # kind 1: places known to be shared; they have keys of their own. kind 2: known, but others need the name.
-    alike = Window.partitionBy("key")
-    shared = named.withColumn("_n", F.count("*").over(alike)).where("kind > 0 or _n > 1")
-    some = texts.join(_ranges(shared.select("ord", "rid", "start", "end")), ["ord", "rid"])
-    windows = some.mapInArrow(_window_rows(width), _WINDOWS)
-    first = F.min(F.struct("ord", "start")).over(Window.partitionBy("h1", "h2", "kind"))
-    late = windows.withColumn("_first", first).where("kind = 1 or struct(ord, start) > _first")
-    out = texts.join(_ranges(late.select("ord", "rid", "start", "end")), ["ord", "rid"], "left")
+    copies = written(_copies(texts.select("ord", "rid", "text"), width), "copies")
+    # All three passes read this one exchange of the texts.
+    marked = texts.join(copies, ["ord", "rid"], "left").withColumn("copy", F.coalesce("copy", F.lit(False)))
+    own = marked.where("not copy").drop("copy")
+    mark = F.col("span").bitwiseAND(F.lit(3))
+    named = own.mapInArrow(_anchor_rows(width), _ANCHORS)
+    # Mark 1: places known to be shared; they have keys of their own. Mark 2: known, but others need the name.
+    shared = named.withColumn("_n", F.count("*").over(Window.partitionBy("key"))).where((mark > 0) | (F.col("_n") > 1))
+    windows = own.join(_ranges(shared), ["ord", "rid"]).mapInArrow(_window_rows(width), _WINDOWS)
+    place = F.struct("ord", "span")
+    first = F.min(place).over(Window.partitionBy("h1", "h2"))
+    late = windows.withColumn("_first", first).where((mark == 1) | (place > F.col("_first")))
+    out = marked.join(_ranges(late), ["ord", "rid"], "left")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     cleaned = out.mapInArrow(
         _with_digest if digest else _kept,
