@@ -469,7 +469,8 @@ def test_mixture(which, request):
 # ---- 10 --------------------------------------------------------------------------------
 
 PATTERNS = (
-    ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m[2]) >= 6),
+    # re.ASCII: either case of the pattern's own letters, not of others that fold to them.
+    ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII), lambda m: len(m[2]) >= 6),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
     ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 24),
 )
@@ -504,7 +505,7 @@ def test_scan_of_random_texts(spark):
 
 
 def test_added_rules_and_redaction(spark, odd):
-    text = "é ghp_" + "a1" * 18 + " and -----BEGIN RSA PRIVATE KEY----- token=" + "q" * 9
+    text = "é ghp_" + "x1" * 18 + " and -----BEGIN RSA PRIVATE KEY----- token=" + "q" * 9
     df = spark.createDataFrame([(1, text), (2, "clean text"), (3, None)], "doc_id long, text string")
     got = {r.doc_id: r for r in secrets.scan(df).collect()}
     assert [x.split(":")[0] for x in got[1].spans.split(",")] == ["hosting", "private", "assign"] and got[2].spans == got[3].spans == ""

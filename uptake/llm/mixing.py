@@ -85,21 +85,21 @@ def mixed_rows(docs: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int =
     """
     marks = mix(docs, weights, epochs)
     # Rows that are equal in id and text may be taken differently; they are matched by their number among equals.
-    same = Window.partitionBy("doc_id", "_key").orderBy("source", "_key")
+    same = Window.partitionBy("_id", "_key").orderBy("_key")
+    marks = marks.select(F.col("doc_id").alias("_id"), "_key", F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    marks = marks.withColumn("_same", F.row_number().over(same))
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("#"), F.coalesce("text", F.lit(""))))
-    marks = marks.withColumn("_same", F.row_number().over(same)).select(
-        F.col("_key").alias("_at"), F.col("doc_id").alias("_id"), "_same", "size", "taken"
+    rows = docs.withColumns({"_id": F.col("doc_id"), "_key": key}).withColumn("_same", F.row_number().over(same))
+    where = F.col("l._id").eqNullSafe(F.col("r._id")) & (F.col("l._key") == F.col("r._key")) & (F.col("l._same") == F.col("r._same"))
+    joined = rows.alias("l").join(marks.alias("r"), where).select("l.*", "_size", "_taken").drop("_id", "_key", "_same")
+    full = F.when(F.col("_size") > 0, F.expr("_taken div _size")).otherwise(1).cast("int")
+    part = F.when(F.col("_size") > 0, F.col("_taken") % F.col("_size")).otherwise(0).cast("int")
+    lengths = F.concat(
+        F.array_repeat(F.col("_size").cast("int"), full), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>"))
     )
-    keyed = docs.withColumn("_key", key)
-    keyed = keyed.withColumn("_same", F.row_number().over(same))
-    where = (F.col("_key") == F.col("_at")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    joined = keyed.join(marks.withColumnRenamed("_same", "_which"), where & (F.col("_same") == F.col("_which")))
-    full = F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(1).cast("int")
-    part = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0).cast("int")
-    lengths = F.concat(F.array_repeat(F.col("size").cast("int"), full), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
     taken = joined.withColumn("_words", F.explode(lengths))
     pattern = F.concat(F.lit(r"^(?>[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){"), F.col("_words").cast("string"), F.lit("}"))
-    text = F.when(F.col("_words") == F.col("size"), F.col("text")).otherwise(F.regexp_substr("text", pattern))
+    text = F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(F.regexp_substr("text", pattern))
     out = taken.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

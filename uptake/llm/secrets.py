@@ -72,7 +72,7 @@ def text(word: str, any_case: bool = False) -> Node:
 class Rule:
     """A match is ``head`` and then ``value``. Once found, it is dropped if its value or all of it is too short.
 
-    ``sieve`` is a value long enough, for the combined automaton: where no head is followed by it, the rule has no match to keep.
+    ``sieve`` is for the combined automaton: what every match to keep contains. It leaves out counts that would multiply its states.
     """
 
     kind: str
@@ -88,37 +88,38 @@ class Rule:
 
     @property
     def sought(self) -> Node:
-        return then(self.head, self.sieve or self.value)
+        return self.sieve or self.whole
 
 
 _quote = maybe(one_of("\"'"))
 _spaces = many(one_of(" "))
 _word = "A-Za-z0-9_"
 # The base rules, in the order in which spans that start together are listed.
-BASE = (
-    Rule(
-        "assign",
-        then(
-            either(
-                text("password", True), text("passwd", True), text("secret", True), text("token", True),
-                then(text("api", True), maybe(text("_")), text("key", True)),
-            ),
-            _quote, _spaces, one_of(":="), _spaces, _quote,
-        ),
-        many(one_of("A-Za-z0-9+/_.=-"), 1),
-        many(one_of("A-Za-z0-9+/_.=-"), 6),
-        least_value=6,
+_setting = then(
+    either(
+        text("password", True), text("passwd", True), text("secret", True), text("token", True),
+        then(text("api", True), maybe(text("_")), text("key", True)),
     ),
-    Rule("access", text("AKIA"), many(one_of("A-Z0-9"), 1), many(one_of("A-Z0-9"), 16), least_total=20),
-    Rule("hex", then(), many(one_of("0-9a-f"), 1), many(one_of("0-9a-f"), 24), least_total=24),
+    _quote, _spaces, one_of(":="), _spaces, _quote,
 )
+_value = one_of("A-Za-z0-9+/_.=-")
+BASE = (
+    Rule("assign", _setting, many(_value, 1), then(_setting, _value), least_value=6),
+    Rule("access", text("AKIA"), many(one_of("A-Z0-9"), 1), text("AKIA"), least_total=20),
+    Rule("hex", then(), many(one_of("0-9a-f"), 1), many(one_of("0-9a-f"), 24), least_total=24),
+)
 # Rules beside the base ones.
 MORE = (
-    Rule("hosting", then(text("gh"), one_of("pousr"), text("_")), many(one_of("A-Za-z0-9"), 36)),
-    Rule("chat", then(text("xox"), one_of("abprs"), text("-")), many(one_of("A-Za-z0-9-"), 20)),
-    Rule("signed", then(text("eyJ"), many(one_of(_word + "-"), 8), text(".eyJ"), many(one_of(_word + "-"), 8), text(".")), many(one_of(_word + "-"), 8)),
-    Rule("private", then(text("-----BEGIN "), many(one_of("A-Z ")), text("PRIVATE KEY-----")), then()),
-)
+    Rule("hosting", then(text("gh"), one_of("pousr"), text("_")), many(one_of("A-Za-z0-9"), 36), then(text("gh"), one_of("pousr"), text("_"))),
+    Rule("chat", then(text("xox"), one_of("abprs"), text("-")), many(one_of("A-Za-z0-9-"), 20), then(text("xox"), one_of("abprs"), text("-"))),
+    Rule(
+        "signed",
+        then(text("eyJ"), many(one_of(_word + "-"), 8), text(".eyJ"), many(one_of(_word + "-"), 8), text(".")),
+        many(one_of(_word + "-"), 8),
+        text(".eyJ"),
+    ),
+    Rule("private", then(text("-----BEGIN "), many(one_of("A-Z ")), text("PRIVATE KEY-----")), then(), text("PRIVATE KEY-----")),
+)
 RULES = BASE + MORE
 
 # ---- automata ---------------------------------------------------------------------------

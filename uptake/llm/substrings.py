@@ -310,18 +310,18 @@ def remove_repeats(docs: DataFrame, width: int = 20, digest: bool = False) -> Da
         F.col("doc_id").alias("row"), row_order().alias("ord"), F.xxhash64("doc_id", "text").alias("rid"), "text"
     )
     copies = written(_copies(texts.select("ord", "rid", "text"), width), "copies")
-    # All three passes read this one exchange of the texts.
-    marked = texts.join(copies, ["ord", "rid"], "left").withColumn("copy", F.coalesce("copy", F.lit(False)))
-    own = marked.where("not copy").drop("copy")
+    own = texts.select("ord", "rid", "text").join(copies, ["ord", "rid"], "left_anti")
     mark = F.col("span").bitwiseAND(F.lit(3))
     named = own.mapInArrow(_anchor_rows(width), _ANCHORS)
     # Mark 1: places known to be shared; they have keys of their own. Mark 2: known, but others need the name.
     shared = named.withColumn("_n", F.count("*").over(Window.partitionBy("key"))).where((mark > 0) | (F.col("_n") > 1))
-    windows = own.join(_ranges(shared), ["ord", "rid"]).mapInArrow(_window_rows(width), _WINDOWS)
+    # This join and the last one read the same exchange of the texts; copies have no ranges here.
+    windows = texts.join(_ranges(shared), ["ord", "rid"]).mapInArrow(_window_rows(width), _WINDOWS)
     place = F.struct("ord", "span")
     first = F.min(place).over(Window.partitionBy("h1", "h2"))
     late = windows.withColumn("_first", first).where((mark == 1) | (place > F.col("_first")))
-    out = marked.join(_ranges(late), ["ord", "rid"], "left")
+    out = texts.join(_ranges(late), ["ord", "rid"], "left").join(copies, ["ord", "rid"], "left")
+    out = out.withColumn("copy", F.coalesce("copy", F.lit(False)))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     cleaned = out.mapInArrow(
         _with_digest if digest else _kept,
