@@ -210,9 +210,9 @@ WHERE ti <> 5""",
 
 relation(
     "m_sku",
-    """SELECT cust_id, product_id, month, sum(consumed_units::DECIMAL(18,2))::DOUBLE AS consumed_units,
+    """SELECT cust_id, product_id, month, sum(consumed_units::DECIMAL(30,9))::DOUBLE AS consumed_units,
        sum(licensed_amount)::BIGINT AS licensed_amount,
-       sum(consumed_units::DECIMAL(18,2))::DOUBLE / nullif(sum(licensed_amount), 0)::DOUBLE AS lur
+       sum(consumed_units::DECIMAL(30,9))::DOUBLE / nullif(sum(licensed_amount), 0)::DOUBLE AS lur
 FROM src_consumption GROUP BY ALL""",
 )
 relation(
@@ -290,7 +290,7 @@ def parameters(p: ScoreParams = DEFAULTS, **overrides: str) -> dict[str, str]:
 def mart(p: dict[str, str], source: str = "m_sku", first: str = "m_first") -> str:
     """SQL of the headline mart under the given parameters."""
     lur_at = "c.lur"
-    return f"""SELECT cust_id, product_id, month, {r("lur", 3)} AS lur, {r("util_health", 3)} AS util_health,
+    return f"""SELECT cust_id, product_id, month, {rs("lur", 3)} AS lur, {r("util_health", 3)} AS util_health,
        CASE WHEN has_features THEN {r("feature_adoption", 3)} END AS feature_adoption,
        {r("sustained_usage", 3)} AS sustained_usage,
        CASE WHEN NOT grace THEN {r("ttv_score", 3)} END AS ttv_score, ttv_days, ever_active_before, arr,

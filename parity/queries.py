@@ -380,7 +380,7 @@ WHERE NOT EXISTS (SELECT 1 FROM src_feature_adoption a WHERE a.cust_id = e.cust_
     "overage_cap_60": f"SELECT * FROM ({mart(parameters(HARSH_OVERAGE))})",
     "ttv_first_signal": f"SELECT * FROM ({mart(parameters(), first='m_first_signal')})",
     "naive_utilization": f"""SELECT cust_id, product_id, month,
-       {r("(sum(consumed_units::DECIMAL(18,2)) OVER w)::DOUBLE / (sum(licensed_amount) OVER w)::DOUBLE", 6)} AS naive_utilization
+       {r("(sum(consumed_units::DECIMAL(30,9)) OVER w)::DOUBLE / (sum(licensed_amount) OVER w)::DOUBLE", 6)} AS naive_utilization
 FROM m_sku WINDOW w AS (PARTITION BY cust_id, product_id ORDER BY month ROWS UNBOUNDED PRECEDING)""",
     "peer_percentile": f"""SELECT cust_id, product_id, month, vrs,
        {r("percent_rank() OVER (PARTITION BY month, product_id ORDER BY vrs)", 6)} AS peer_percentile FROM m_mart""",

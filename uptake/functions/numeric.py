@@ -8,7 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
-UNITS = "decimal(18,6)"
+#: Up to 1e21 units; beyond that the cast fails, and what lies below 1e-9 of a unit is rounded.
+UNITS = "decimal(30,9)"
 SCORE = "decimal(5,1)"
 SIGNAL = "decimal(6,3)"
 
@@ -29,6 +30,11 @@ def rnd_signed(value: Column, places: int) -> Column:
     return F.when((value < F.lit(0.0)) & (size > F.lit(0.0)), -size).otherwise(size)
 
 
+def exact_mean(value: Column) -> Column:
+    """Mean of the known values, each taken to nine decimals."""
+    return ratio(exact_sum(value, UNITS), F.count(value))
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division that yields NULL for a zero denominator."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))

@@ -15,6 +15,7 @@ import json
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from uptake import schemas
 from uptake.params import DEFAULTS, ScoreParams
@@ -37,9 +38,8 @@ def build(
 ) -> None:
     """Writes the marts; roll-ups and denormalised forms read the written SKU mart.
 
-    With ``months`` only those partitions are replaced; one that has no rows any
-    more stays as it was. Histories are always read in full, since a row
-    depends on the rows before it.
+    With ``months`` only those partitions are replaced, also by nothing. Histories
+    are always read in full, since a row depends on the rows before it.
     """
 
     def write(name: str, df: DataFrame) -> DataFrame:
@@ -66,10 +66,16 @@ def check(
     target: str,
     expect: quality.Expectations = quality.Expectations(),
     against: str | None = None,
+    stored: dict[str, list[StructType]] | None = None,
 ) -> int:
-    """Prints the report, and the comparison with an export if given; 0 when all pass."""
-    sku = mart(spark, target, "mart_customer_sku_month")
-    results = quality.report(raw, sku, expect).collect()  # 36 rows
+    """Prints the report, and the comparison with an export if given; 0 when all pass.
+
+    ``stored`` has the schemas of the source tables' files; those of ``raw`` are judged without it.
+    """
+    sku = mart(spark, target, quality.MART)
+    known = dict(stored or {name: [df.schema] for name, df in raw.items()})
+    known[quality.MART] = tables.stored_schemas(spark, f"{target}/{quality.MART}")
+    results = quality.report(raw, sku, expect, known).collect()  # 36 rows
     for r in results:
         print(f"{r['result']}  {r['cat']:<12} {r['test']:<42} {r['val']:>10} {r['expect']:>10}")
     failed = sum(r["result"] != "PASS" for r in results)
@@ -101,7 +107,8 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
 def main(argv: list[str]) -> int:
     args = _arguments(argv)
     spark = SparkSession.builder.appName(f"uptake {args.job}").getOrCreate()
-    raw = tables.read_raw(spark, args.source, args.format)
+    # A missing column ends a build; the check goes on and reports it.
+    raw = tables.read_raw(spark, args.source, args.format, strict=args.job == "build")
     if args.job == "build":
         build(spark, raw, args.target, args.months)
         if args.export:
@@ -111,7 +118,7 @@ def main(argv: list[str]) -> int:
     if args.expect:
         text = "\n".join(r.value for r in spark.read.text(args.expect, wholetext=True).collect())
         expect = quality.Expectations(**json.loads(text))
-    return check(spark, raw, args.target, expect, args.against)
+    return check(spark, raw, args.target, expect, args.against, tables.stored_raw(spark, args.source, args.format))
 
 
 if __name__ == "__main__":

@@ -1,5 +1,7 @@
 """Contract terms and the calendar of a contract."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,20 +79,43 @@ def licensed_by_month(entitlements: DataFrame, lo: str, hi: str) -> DataFrame:
 def overlap_pairs(entitlements: DataFrame) -> DataFrame:
     """Number of contract pairs of one SKU whose windows overlap.
 
-    No pair is ever formed. Of the n(n-1)/2 pairs of a SKU those that do not
-    overlap are the ones where one contract ends on or before the day the other
-    starts; with starts and ends counted per day, a running count of ends gives
-    their number. A window group therefore has at most two rows per distinct
-    contract date, however many contracts share it. Rows that end on or before
-    their start are no contract window and take no part.
+    Two contracts overlap when each starts before the other ends. Contracts are first
+    counted per start and end date, and no pair of them is formed. Of the n(n-1)/2 pairs of a
+    SKU those that do not overlap are the ones where one contract ends on or before
+    the day the other starts; with starts and ends counted per day, a running
+    count of ends gives their number. A window group therefore has at most two
+    rows per distinct contract date, however many contracts share it.
+
+    A contract that ends on or before its start overlaps those that start before its end and
+    end after its start, and no other of its kind. Such terms are joined with the SKU's other
+    terms: both sides have one row per pair of dates. Contracts without a date take no part.
     """
-    windows = entitlements.where(F.col("start_date") < F.col("end_date"))
+    terms = (
+        entitlements.where(F.col("start_date").isNotNull() & F.col("end_date").isNotNull())
+        .groupBy(*SKU, "start_date", "end_date")
+        .agg(F.count("*").alias("n"))
+    )
+    windows = terms.where(F.col("start_date") < F.col("end_date"))
+    empty = terms.where(F.col("start_date") >= F.col("end_date"))
+    inside = empty.select(*SKU, F.col("start_date").alias("from"), F.col("end_date").alias("until"), F.col("n").alias("m"))
+    around = (
+        windows.join(inside, SKU)
+        .where((F.col("start_date") < F.col("until")) & (F.col("from") < F.col("end_date")))
+        .groupBy(*SKU)
+        .agg(F.sum(F.col("n") * F.col("m")).alias("pairs"))
+    )
+    parts = [_window_pairs(windows), around, empty.select(*SKU, F.lit(0).cast("long").alias("pairs"))]
+    return reduce(DataFrame.unionByName, parts).groupBy(*SKU).agg(F.sum("pairs").alias("pairs"))
+
+
+def _window_pairs(windows: DataFrame) -> DataFrame:
+    """Overlapping pairs of contracts that end after their start, counted in ``n`` per term."""
     events = windows.select(
         *SKU,
         F.inline(
             F.array(
-                F.struct(F.col("start_date").alias("on"), F.lit(1).alias("opened"), F.lit(0).alias("closed")),
-                F.struct(F.col("end_date").alias("on"), F.lit(0).alias("opened"), F.lit(1).alias("closed")),
+                F.struct(F.col("start_date").alias("on"), F.col("n").alias("opened"), F.lit(0).cast("long").alias("closed")),
+                F.struct(F.col("end_date").alias("on"), F.lit(0).cast("long").alias("opened"), F.col("n").alias("closed")),
             )
         ),
     )

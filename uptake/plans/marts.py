@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from uptake import schemas
 from uptake.functions import scoring
-from uptake.functions.numeric import SCORE, exact_sum, ratio, rnd, total_where, weighted_mean
+from uptake.functions.numeric import SCORE, exact_sum, ratio, rnd, rnd_signed, total_where, weighted_mean
 from uptake.operators import components, contracts, staging
 from uptake.operators.staging import SKU
 from uptake.params import DEFAULTS, Override, ScoreParams, resolve
@@ -120,7 +120,7 @@ def present(scored: DataFrame, p: ScoreParams = DEFAULTS) -> DataFrame:
         }
     )
     shown = {
-        "lur": rnd(F.col("lur"), 3),
+        "lur": rnd_signed(F.col("lur"), 3),
         "util_health": rnd(F.col("util_health"), 3),
         "feature_adoption": F.when(F.col("has_features"), rnd(F.col("feature_adoption"), 3)),
         "sustained_usage": rnd(F.col("sustained_usage"), 3),

@@ -6,7 +6,7 @@ orphans and sets of accounts first fold the fact table to its keys, so that a
 key with very many rows is one row in the join.
 """
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from uptake import schemas
 from uptake import vocabulary as v
 from uptake.functions.calendar import day
-from uptake.functions.numeric import MONEY, SCORE, UNITS, exact_sum
+from uptake.functions.numeric import MONEY, SCORE, exact_mean, exact_sum
 from uptake.operators.contracts import licensed_by_month, overlap_pairs
 from uptake.operators.staging import SKU_MONTH, sku_month
 
@@ -127,10 +127,10 @@ def orphans(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return facts.groupBy(key).agg(weight.alias("rows")).join(dimension.select(key), key, "left_anti")
 
 
-def schema_matches(df: DataFrame, expected: StructType) -> int:
-    """Number of expected columns that are present with the expected type."""
-    present = {f.name: f.dataType for f in df.schema}
-    return sum(1 for f in expected if present.get(f.name) == f.dataType)
+def schema_matches(stored: Sequence[StructType], expected: StructType) -> int:
+    """Number of expected columns that every stored schema has with the expected type; 0 where nothing is stored."""
+    present = [{f.name: f.dataType for f in s} for s in stored]
+    return sum(1 for f in expected if present and all(p.get(f.name) == f.dataType for p in present))
 
 
 def _consumption_checks(raw: Mapping[str, DataFrame]) -> list[DataFrame]:
@@ -168,8 +168,8 @@ def _account_checks(raw: Mapping[str, DataFrame], mart: DataFrame, e: Expectatio
         .join(active, SKU_MONTH, "left")
         .groupBy("cust_id")
         .agg(
-            exact_sum(F.col("consumed_units"), UNITS).alias("used"),
-            F.avg("lur").alias("mean_lur"),
+            F.max(F.abs("consumed_units")).alias("used"),
+            exact_mean(F.col("lur")).alias("mean_lur"),
             F.count_if(off).alias("off"),
         )
     )
@@ -240,21 +240,37 @@ def _off(measured: Column, expected: float, tolerance: float) -> Column:
     return F.when(F.abs(measured.cast("double") - F.lit(expected)) < F.lit(tolerance), 0).otherwise(1)
 
 
-def schema_checks(raw: Mapping[str, DataFrame], mart: DataFrame) -> dict[int, int]:
-    """Matching columns per schema assertion; reads the frames' schemas, no data."""
-    counts = {22 + i: schema_matches(raw[name], s) for i, (name, s) in enumerate(schemas.RAW.items())}
-    counts[28] = schema_matches(mart, schemas.SKU_MONTH_ASSERTED)
+#: The mart's name among stored schemas.
+MART = "mart_customer_sku_month"
+
+
+def schema_checks(
+    raw: Mapping[str, DataFrame], mart: DataFrame, stored: Mapping[str, Sequence[StructType]] | None = None
+) -> dict[int, int]:
+    """Matching columns per schema assertion.
+
+    ``stored`` has the schemas of each table's files, from ``tables.stored_schemas``. A frame read with
+    a fixed schema only shows that schema, so without ``stored`` just frames made in memory are judged.
+    """
+    known = stored or {name: [df.schema] for name, df in [*raw.items(), (MART, mart)]}
+    counts = {22 + i: schema_matches(known[name], s) for i, (name, s) in enumerate(schemas.RAW.items())}
+    counts[28] = schema_matches(known[MART], schemas.SKU_MONTH_ASSERTED)
     return counts
 
 
 # ---- report ---------------------------------------------------------------
 
 
-def report(raw: Mapping[str, DataFrame], mart: DataFrame, e: Expectations = Expectations()) -> DataFrame:
-    """One row per assertion: cat, test, val, expect, result, in a fixed order."""
+def report(
+    raw: Mapping[str, DataFrame],
+    mart: DataFrame,
+    e: Expectations = Expectations(),
+    stored: Mapping[str, Sequence[StructType]] | None = None,
+) -> DataFrame:
+    """One row per assertion: cat, test, val, expect, result, in a fixed order. ``stored`` as in ``schema_checks``."""
     matches = [
         F.struct(F.lit(number).alias("ord"), F.lit(n).cast("long").alias("val"))
-        for number, n in schema_checks(raw, mart).items()
+        for number, n in schema_checks(raw, mart, stored).items()
     ]
     measured = [
         *_consumption_checks(raw),
@@ -358,8 +374,8 @@ def source_profile(raw: Mapping[str, DataFrame]) -> DataFrame:
         .groupBy("cust_id")
         .agg(
             F.count("*").alias("rows"),
-            exact_sum(F.col("consumed_units"), UNITS).alias("used"),
-            F.avg(ratio).alias("mean_lur"),
+            F.max(F.abs("consumed_units")).alias("used"),
+            exact_mean(ratio).alias("mean_lur"),
         )
     )
     usage = accounts.agg(

@@ -4,10 +4,11 @@ Schemas are always explicit: nothing is inferred from file contents.
 """
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from uptake import schemas
 from uptake.functions.calendar import day
@@ -15,23 +16,46 @@ from uptake.functions.calendar import day
 # ---- reading ---------------------------------------------------------------
 
 
-def read_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+class MissingColumn(ValueError):
+    """A table lacks a column that its schema names."""
+
+
+def _all_there(path: str, stored: list[str], schema: StructType) -> None:
+    missing = [name for name in schema.names if name not in stored]
+    if missing:
+        raise MissingColumn(f"{path} has no column {', '.join(missing)}")
+
+
+def read_parquet(spark: SparkSession, path: str, schema: StructType, strict: bool = False) -> DataFrame:
+    """Parquet by column name. With ``strict`` a column that the first footer lacks is an error, else it is NULL."""
+    if strict:
+        _all_there(path, spark.read.parquet(path).columns, schema)
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with a header line; malformed rows fail the read instead of turning to NULL.
+def read_csv(spark: SparkSession, path: str, schema: StructType, strict: bool = True) -> DataFrame:
+    """CSV with a header line, by column name; malformed rows fail the read instead of turning to NULL.
 
-    A bare empty field is NULL, a quoted one is the empty text.
+    The first header gives the order of the columns; a file with another order fails the
+    read. A column that the header lacks is an error, or NULL if not ``strict``. A bare empty field is NULL, a quoted
+    one is the empty text. All columns are parsed, so that no malformed field goes unnoticed.
     """
-    return (
-        spark.read.schema(schema)
+    wanted = {f.name: StringType() if isinstance(f.dataType, BooleanType) else f.dataType for f in schema}
+    header = spark.read.option("header", True).csv(path).columns
+    if strict:
+        _all_there(path, header, schema)
+    rows = (
+        spark.read.schema(StructType([StructField(name, wanted.get(name, StringType())) for name in header]))
         .option("header", True)
+        .option("enforceSchema", False)
+        .option("columnPruning", False)
         .option("dateFormat", "yyyy-MM-dd")
         .option("nullValue", r"\N")
         .option("mode", "FAILFAST")
         .csv(path)
     )
+    rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in header})
+    return repair_booleans(rows, schema).select(*schema.names)
 
 
 def read_table(spark: SparkSession, name: str, schema: StructType) -> DataFrame:
@@ -39,19 +63,50 @@ def read_table(spark: SparkSession, name: str, schema: StructType) -> DataFrame:
     return spark.table(name).select(*schema.names)
 
 
-def read_raw(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+def _raw_path(root: str, name: str, fmt: str) -> str:
+    return {"parquet": f"{root}/{name}", "csv": f"{root}/{name}.csv", "table": f"{root}.{name}"}[fmt]
+
+
+def read_raw(spark: SparkSession, root: str, fmt: str = "parquet", strict: bool = True) -> dict[str, DataFrame]:
     """The six source tables from ``root/<table>`` (parquet) or ``root/<table>.csv``.
 
-    For ``fmt='table'``, ``root`` is a catalog namespace.
+    For ``fmt='table'``, ``root`` is a catalog namespace. Columns that are missing from files are an error,
+    or NULL if not ``strict``.
     """
     readers: dict[str, Callable[[str, StructType], DataFrame]] = {
-        "parquet": lambda name, s: read_parquet(spark, f"{root}/{name}", s),
-        "csv": lambda name, s: read_csv(spark, f"{root}/{name}.csv", s),
-        "table": lambda name, s: read_table(spark, f"{root}.{name}", s),
+        "parquet": lambda path, s: read_parquet(spark, path, s, strict),
+        "csv": lambda path, s: read_csv(spark, path, s, strict),
+        "table": lambda name, s: read_table(spark, name, s),
     }
     if fmt not in readers:
         raise ValueError(f"unknown format: {fmt}")
-    return {name: readers[fmt](name, schema) for name, schema in schemas.RAW.items()}
+    return {name: readers[fmt](_raw_path(root, name, fmt), schema) for name, schema in schemas.RAW.items()}
+
+
+def stored_schemas(spark: SparkSession, path: str, fmt: str = "parquet", expected: StructType | None = None) -> list[StructType]:
+    """The schema of every file below ``path``, or of the catalog table ``path``.
+
+    Files are asked one by one, since one file's schema says nothing of the others: Spark reads a footer (or header line) each,
+    several at a time. Partition columns count as stored. CSV stores names only, so its types are those of ``expected``.
+    """
+    if fmt == "table":
+        return [spark.table(path).schema]
+    files = [row.path for row in spark.read.format("binaryFile").load(path).select("path").collect()]
+    types = {f.name: f.dataType for f in expected or []}
+
+    def schema_of(file: str) -> StructType:
+        if fmt == "parquet":
+            return spark.read.option("basePath", path).parquet(file).schema
+        names = spark.read.option("header", True).csv(file).columns
+        return StructType([StructField(name, types.get(name, StringType())) for name in names])
+
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(schema_of, files))
+
+
+def stored_raw(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, list[StructType]]:
+    """The stored schemas of the six source tables, for the schema assertions."""
+    return {name: stored_schemas(spark, _raw_path(root, name, fmt), fmt, s) for name, s in schemas.RAW.items()}
 
 
 def repair_booleans(df: DataFrame, schema: StructType) -> DataFrame:
@@ -73,11 +128,13 @@ def write_by_month(df: DataFrame, path: str, months: list[str] | None = None) ->
 
     ``rebalance`` lets AQE gather each month's rows into files of the advisory
     size and split months that are larger, so a month is neither one task nor
-    one small file per task. With ``months``, only those partitions are replaced.
+    one small file per task. With ``months``, only those partitions are replaced; one
+    that has no rows any more is left empty.
     """
-    writer = df
+    writer, seen = df, Observation()
     if months is not None:
         writer = writer.where(F.col("month").isin(*[day(m) for m in months]))
+        writer = writer.observe(seen, F.collect_set(F.col("month").cast("string")).alias("months"))
     (
         writer.hint("rebalance", "month")
         .write.mode("overwrite")
@@ -85,6 +142,9 @@ def write_by_month(df: DataFrame, path: str, months: list[str] | None = None) ->
         .partitionBy("month")
         .parquet(path)
     )
+    for month in sorted(set(months or ()) - set(seen.get["months"] if months else ())):
+        nothing = df.sparkSession.createDataFrame([], df.drop("month").schema)
+        nothing.write.mode("overwrite").parquet(f"{path}/month={month}")
 
 
 def write_table(df: DataFrame, path: str) -> None:
