@@ -125,7 +125,8 @@ FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""",
 )
 relation(
     "star_types",
-    "SELECT p_type, row_number() OVER (ORDER BY p_type) - 1 AS ti FROM (SELECT DISTINCT p_type FROM part)",
+    """SELECT p_type, code, ('0x' || code)::BIGINT AS num
+FROM (SELECT DISTINCT p_type, substr(md5(p_type), 1, 8) AS code FROM part)""",
 )
 relation(
     "src_customers",
@@ -138,36 +139,37 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionke
 )
 relation(
     "src_products",
-    """SELECT 'P' || ti AS product_id, p_type || ' SKU-' || lpad((ti + 1)::VARCHAR, 4, '0') AS product_name,
-       CASE ti % 4 WHEN 0 THEN 'hardware_ngfw' WHEN 1 THEN 'software_ngfw' WHEN 2 THEN 'sase'
+    """SELECT 'P' || code AS product_id, p_type || ' SKU-' || lpad((num % 10000)::VARCHAR, 4, '0') AS product_name,
+       CASE num % 4 WHEN 0 THEN 'hardware_ngfw' WHEN 1 THEN 'software_ngfw' WHEN 2 THEN 'sase'
             ELSE 'cloud_ngfw' END AS product_platform,
-       CASE ti % 4 WHEN 0 THEN 'device_license' WHEN 1 THEN 'credits' WHEN 2 THEN 'seats'
+       CASE num % 4 WHEN 0 THEN 'device_license' WHEN 1 THEN 'credits' WHEN 2 THEN 'seats'
             ELSE 'usage_units' END AS unit_of_measure
 FROM star_types""",
 )
 relation(
     "src_features",
-    """SELECT 'F' || ti || '-' || sc AS feature_id, 'Size class ' || sc AS feature_name,
-       'Size class ' || sc || ' of ' || p_type AS feature_description, 'P' || ti AS product_id,
+    """SELECT 'F' || code || '-' || sc AS feature_id, 'Size class ' || sc AS feature_name,
+       'Size class ' || sc || ' of ' || p_type AS feature_description, 'P' || code AS product_id,
        3::BIGINT AS meaningful_floor_events, 6::BIGINT AS deep_threshold_events
-FROM (SELECT DISTINCT p_type, ((p_size - 1) // 13)::INTEGER AS sc FROM part) JOIN star_types USING (p_type)
-WHERE ti <> 5""",
+FROM (SELECT DISTINCT p_type, ((p_size - 1) // 13)::INTEGER AS sc FROM part) JOIN star_types USING (p_type)""",
 )
 relation(
     "star_contracts",
-    """SELECT *, units * price AS arr, (start_date + INTERVAL 12 MONTH)::DATE AS end_date,
-       'E' || k || '-' || ti || CASE WHEN is_expansion THEN 'x' ELSE '' END AS entitlement_id,
-       'C' || k AS cust_id, 'P' || ti AS product_id
+    """WITH observed AS (SELECT k, p_type, code, num, min(month) AS first_month
+                  FROM star_usage JOIN star_types USING (p_type) GROUP BY ALL)
+SELECT *, units * price AS arr, (start_date + INTERVAL 12 MONTH)::DATE AS end_date,
+       'E' || k || '-' || code || CASE WHEN is_expansion THEN 'x' ELSE '' END AS entitlement_id,
+       'C' || k AS cust_id, 'P' || code AS product_id
 FROM (
-  SELECT s_suppkey AS k, ti, p_type, false AS is_expansion, (10 + 5 * ti)::DOUBLE AS price,
-         CASE WHEN s_suppkey % 20 IN (2, 3, 4) THEN 40 WHEN s_suppkey % 20 = 7 THEN 600
-              ELSE 150 + 50 * ((s_suppkey + ti) % 4) END::BIGINT AS units,
-         CASE (s_suppkey * 3 + ti) % 10 WHEN 7 THEN DATE '2025-08-01' WHEN 8 THEN DATE '2025-09-01'
-              WHEN 9 THEN DATE '2025-10-01' ELSE DATE '2025-07-01' END AS start_date
-  FROM supplier CROSS JOIN star_types
+  SELECT k, code, p_type, false AS is_expansion, (10 + 5 * (num % 6))::DOUBLE AS price,
+         CASE WHEN k % 20 IN (0, 1) THEN 100000 WHEN k % 20 IN (2, 3, 4) THEN 40 WHEN k % 20 = 6 THEN 2500
+              WHEN k % 20 = 7 THEN 600 ELSE 150 + 50 * ((k + num) % 4) END::BIGINT AS units,
+         first_month AS start_date
+  FROM observed
   UNION ALL
-  SELECT s_suppkey, ti, p_type, true, (10 + 5 * ti)::DOUBLE, 400, DATE '2026-01-01'
-  FROM supplier CROSS JOIN star_types WHERE s_suppkey % 17 = 7 AND ti = 0)""",
+  SELECT k, code, p_type, true, (10 + 5 * (num % 6))::DOUBLE, CASE WHEN k % 20 = 5 THEN 20000 ELSE 400 END::BIGINT,
+         DATE '2026-01-01'
+  FROM observed WHERE k % 17 = 7 OR k % 20 = 5)""",
 )
 relation(
     "src_entitlements",
@@ -183,27 +185,25 @@ relation(
     """SELECT c.*, m.month, date_diff('month', c.start_date, m.month) AS idx
 FROM star_contracts c JOIN star_months m ON m.month >= c.start_date AND m.month < c.end_date""",
 )
+SHARED = "(k % 17 = 7 OR k % 20 = 5) AND s.month >= DATE '2026-01-01'"
 relation(
     "src_consumption",
-    """SELECT 'U-' || entitlement_id || '-' || strftime(s.month, '%Y%m') AS consumption_id,
+    f"""SELECT 'U-' || entitlement_id || '-' || strftime(s.month, '%Y%m') AS consumption_id,
        entitlement_id, cust_id, product_id, s.month,
-       CASE WHEN k % 20 IN (0, 1) OR (k % 20 = 5 AND idx >= 3) OR (k % 20 = 6 AND idx < 2)
-              OR (k % 20 = 7 AND idx % 3 <> 0) THEN 0e0
-            ELSE coalesce(qty, 0e0) * CASE WHEN is_expansion THEN 0.5e0 ELSE 1e0 END END AS consumed_units,
+       coalesce(qty, 0e0) * CASE WHEN {SHARED} THEN 0.5e0 ELSE 1e0 END AS consumed_units,
        units AS licensed_amount
 FROM star_spine s
 LEFT JOIN (SELECT k, p_type, month, sum(qty) AS qty FROM star_usage GROUP BY ALL) u USING (k, p_type, month)""",
 )
 relation(
     "src_feature_adoption",
-    """SELECT 'A-' || entitlement_id || '-' || f.sc || '-' || strftime(s.month, '%Y%m') AS adoption_id,
-       cust_id, entitlement_id, product_id, 'F' || ti || '-' || f.sc AS feature_id, s.month,
-       CASE WHEN k % 20 IN (0, 1) OR (k % 20 = 5 AND idx >= 3) OR (k % 20 = 6 AND idx < 4) THEN 0
-            ELSE coalesce(n, 0) END AS usage_events
+    f"""SELECT 'A-' || entitlement_id || '-' || f.sc || '-' || strftime(s.month, '%Y%m') AS adoption_id,
+       cust_id, entitlement_id, product_id, 'F' || code || '-' || f.sc AS feature_id, s.month,
+       CASE WHEN NOT ({SHARED}) THEN coalesce(n, 0) WHEN is_expansion THEN coalesce(n, 0) // 2
+            ELSE coalesce(n, 0) - coalesce(n, 0) // 2 END AS usage_events
 FROM star_spine s
-JOIN (SELECT DISTINCT p_type, ((p_size - 1) // 13)::INTEGER AS sc FROM part) f USING (p_type)
-LEFT JOIN star_usage u USING (k, p_type, sc, month)
-WHERE ti <> 5""",
+JOIN (SELECT DISTINCT k, p_type, sc FROM star_usage) f USING (k, p_type)
+LEFT JOIN star_usage u USING (k, p_type, sc, month)""",
 )
 
 # ---- staging --------------------------------------------------------------

@@ -332,6 +332,9 @@ FROM (SELECT count(*)::DOUBLE AS n, sum(vrs::DECIMAL(5,1))::DOUBLE AS v, sum(arr
     "overlap_pairs": """SELECT a.cust_id, a.product_id, count(*) FILTER (a.entitlement_id < b.entitlement_id
        AND greatest(a.start_date, b.start_date) < least(a.end_date, b.end_date)) AS pairs
 FROM src_entitlements a JOIN src_entitlements b USING (cust_id, product_id) GROUP BY ALL""",
+    "source_reconciliation": """SELECT 'units' AS measure, sum(l_quantity::DECIMAL(12,2))::DOUBLE AS given,
+       (SELECT sum(consumed_units::DECIMAL(18,2))::DOUBLE FROM src_consumption) AS derived FROM lineitem
+UNION ALL SELECT 'events', count(*)::DOUBLE, (SELECT sum(usage_events)::DOUBLE FROM src_feature_adoption) FROM lineitem""",
     "month_spine": "SELECT entitlement_id, month, idx::INTEGER AS month_idx FROM star_spine",
     "hash_bucket": f"""SELECT entitlement_id, ({_MD5.format(k="'bucket-' || entitlement_id")} % 16)::INTEGER AS bucket
 FROM src_entitlements""",

@@ -4,7 +4,9 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from parity.check import connect, difference
+from parity.queries import ORACLES
 from uptake import schemas
+from uptake.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -15,10 +17,10 @@ def second_engine():
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, second_engine, name):
     assert difference(queries()[name](spark, FOLDER), second_engine, oracle_sql()[name]) is None
 

@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from uptake import schemas
 from uptake.functions.numeric import rnd
@@ -14,13 +15,13 @@ from uptake.operators import components, contracts, keys, staging, volumes
 from uptake.operators.filters import Filters
 from uptake.params import Override
 from uptake.plans import customers, extensions, marts, portfolio, products, quality
-from uptake.sources.star import FIRST_MONTH, LAST_MONTH, Star
+from uptake.sources.star import FIRST_MONTH, FROM_USAGE, LAST_MONTH, Star
 from uptake.sources.store import Store
 
 AS_OF = LAST_MONTH
 SOME = Filters(segments=("Enterprise",), regions=("ASIA", "EUROPE", "AMERICA"), platforms=("hardware_ngfw", "sase"))
-CUSTOMER, PRODUCT = "C2", "P1"
-PLATFORM, MODEL = "software_ngfw", "LARGE"
+CUSTOMER, PRODUCT = "C2", "P71726adf"
+PLATFORM, MODEL = "sase", "MEDIUM"
 COHORTS = {"pilot": 3, "control": 4}
 OVERRIDES = [
     Override({"weight_utilization": 0.45, "weight_speed": 0.05}, segment="Enterprise", platform="sase"),
@@ -42,8 +43,8 @@ class Workspace:
         return self.store.table(name, lambda: self.star.table(name, self._usage(name)), schemas.RAW[name])
 
     def _usage(self, name: str) -> DataFrame | None:
-        # Both facts come from the same monthly usage, so the line items are read once.
-        if name not in ("consumption", "feature_adoption"):
+        # Contracts and both facts come from the same monthly usage, so the line items are read once.
+        if name not in FROM_USAGE:
             return None
         return self.store.table("monthly_usage", self.star.monthly_usage, USAGE)
 
@@ -68,6 +69,11 @@ class Workspace:
             lambda: marts.sku_month_full(self.sku, self.source("customers"), self.source("products")),
         )
 
+    def stored(self) -> dict[str, list[StructType]]:
+        """The schemas of the written files of the source tables and the SKU mart."""
+        _ = self.raw, self.sku
+        return {name: self.store.stored(name) for name in [*schemas.RAW, quality.MART]}
+
     def _mart(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         return self.store.table(name, make, schemas.MARTS[name], by_month=True)
 
@@ -206,7 +212,8 @@ QUERIES: dict[str, Query] = {
     "product_model_table": lambda w: products.product_model_table(w.full, AS_OF),
     "model_customers": lambda w: products.model_customers(w.full, PLATFORM, MODEL, AS_OF),
     # assertions
-    "dq_report": lambda w: quality.report(w.raw, w.sku),
+    "source_reconciliation": lambda w: w.star.reconciliation(w.source("consumption"), w.source("feature_adoption")),
+    "dq_report": lambda w: quality.report(w.raw, w.sku, stored=w.stored()),
     "build_parity": lambda w: quality.build_parity(w.sku, marts.customer_sku_month(w.raw)),
     "source_profile": lambda w: quality.source_profile(w.raw),
     "overlap_pairs": lambda w: contracts.overlap_pairs(w.source("entitlements")),

@@ -1,10 +1,16 @@
 """The six source tables, derived from a sales star schema.
 
 Suppliers become customers, part types become products, part sizes become
-features, and shipped quantities folded onto one calendar year become usage.
-The derivation reads all line items; its size grows with them.
+features, and shipped quantities folded onto one calendar year become usage. A contract
+exists for each supplier and part type that the line items show, from the first month with one, so
+every line item is usage of some contract; ``reconciliation`` compares the sums. Licence
+sizes by supplier, not cuts of the usage, bring about the states of the marts.
 """
 
+from __future__ import annotations
+
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +23,10 @@ from uptake.vocabulary import PLATFORM_UNITS
 FIRST_MONTH = "2025-07-01"
 LAST_MONTH = "2026-06-01"
 EXPANSION_START = "2026-01-01"
-BARE_PRODUCT = 5  # this product has no features
 FEATURE_FLOOR = 3
 FEATURE_DEEP = 6
+#: Tables that are made from the monthly usage.
+FROM_USAGE = ("entitlements", "consumption", "feature_adoption")
 
 # group (supplier key modulo 20) -> behaviour label
 PROFILES = {
@@ -68,21 +75,6 @@ class Star:
 
     # ---- dimensions ----------------------------------------------------
 
-    def _type_list(self) -> Column:
-        """Sorted part types as one array; a category dictionary, not a data set."""
-        return self.read("part").agg(F.array_sort(F.collect_set("p_type"))).scalar()
-
-    def _types(self) -> DataFrame:
-        return (
-            self.read("part").agg(F.array_sort(F.collect_set("p_type")).alias("types"))
-            .select(F.posexplode("types").alias("ti", "p_type"))
-        )
-
-    def _classes_by_type(self) -> Column:
-        """Part type -> its size classes, as one small map."""
-        per_type = self.read("part").groupBy("p_type").agg(F.array_sort(F.collect_set(_size_class())).alias("c"))
-        return per_type.agg(F.map_from_entries(F.collect_list(F.struct("p_type", "c")))).scalar()
-
     def customers(self) -> DataFrame:
         label = F.coalesce(*[F.when(_group() == g, name) for g, name in PROFILES.items()], F.lit("normal"))
         return (
@@ -101,10 +93,11 @@ class Star:
     def products(self) -> DataFrame:
         codes = F.array(*[F.lit(code) for code in PLATFORM_UNITS])
         units = F.array(*[F.lit(unit) for unit in PLATFORM_UNITS.values()])
-        slot = F.col("ti") % len(PLATFORM_UNITS)
-        return self._types().select(
+        slot = (_type_number() % len(PLATFORM_UNITS)).cast("int")
+        types = self.read("part").select("p_type").distinct()
+        return types.select(
             _product_id().alias("product_id"),
-            F.format_string("%s SKU-%04d", "p_type", F.col("ti") + 1).alias("product_name"),
+            F.format_string("%s SKU-%04d", "p_type", _type_number() % 10000).alias("product_name"),
             codes[slot].alias("product_platform"),
             units[slot].alias("unit_of_measure"),
         )
@@ -112,94 +105,77 @@ class Star:
     def features(self) -> DataFrame:
         sizes = self.read("part").select("p_type", _size_class().alias("size_class")).distinct()
         name = F.concat(F.lit("Size class "), F.col("size_class").cast("string"))
-        return (
-            self._types()
-            .where(F.col("ti") != BARE_PRODUCT)
-            .join(sizes, "p_type")
-            .select(
-                _feature_id().alias("feature_id"),
-                name.alias("feature_name"),
-                F.concat(name, F.lit(" of "), F.col("p_type")).alias("feature_description"),
-                _product_id().alias("product_id"),
-                F.lit(FEATURE_FLOOR).alias("meaningful_floor_events"),
-                F.lit(FEATURE_DEEP).alias("deep_threshold_events"),
-            )
+        return sizes.select(
+            _feature_id().alias("feature_id"),
+            name.alias("feature_name"),
+            F.concat(name, F.lit(" of "), F.col("p_type")).alias("feature_description"),
+            _product_id().alias("product_id"),
+            F.lit(FEATURE_FLOOR).alias("meaningful_floor_events"),
+            F.lit(FEATURE_DEEP).alias("deep_threshold_events"),
         )
 
     # ---- contracts -----------------------------------------------------
 
-    def _contracts(self) -> DataFrame:
-        """Every supplier x part type, plus a mid-year expansion for some suppliers."""
-        key, ti, group = F.col("s_suppkey"), F.col("ti"), _group()
-        offset = (key * 3 + ti) % 10
+    def _contracts(self, usage: DataFrame) -> DataFrame:
+        """One contract per observed supplier and part type, plus a mid-year expansion for some suppliers."""
+        key, number, group = F.col("s_suppkey"), _type_number(), _group()
         licence = (
-            F.when(group.isin(2, 3, 4), 40).when(group == 7, 600).otherwise(150 + 50 * ((key + ti) % 4)).cast("long")
-        )
-        base = self.read("supplier").select("s_suppkey", F.posexplode(self._type_list()).alias("ti", "p_type"))
-        late = F.greatest(offset - 6, F.lit(0)).cast("int")
-        signed = base.withColumns(
-            {
-                "units_purchased": licence,
-                "start_date": F.add_months(day(FIRST_MONTH), late),
-            }
-        )
-        grown = base.where((key % 17 == 7) & (ti == 0)).withColumns(
-            {"units_purchased": F.lit(400).cast("long"), "start_date": day(EXPANSION_START)}
+            F.when(group.isin(0, 1), 100_000)
+            .when(group.isin(2, 3, 4), 40)
+            .when(group == 6, 2500)
+            .when(group == 7, 600)
+            .otherwise(150 + 50 * ((key + number) % 4))
         )
+        observed = usage.groupBy(F.col("suppkey").alias("s_suppkey"), "p_type").agg(F.min("month").alias("start_date"))
+        signed = observed.withColumn("units_purchased", licence.cast("long"))
+        more = F.when(group == 5, 20_000).otherwise(400).cast("long")
+        grown = observed.where(_grows()).withColumns({"units_purchased": more, "start_date": day(EXPANSION_START)})
         return contract_terms(
             contract_union(signed, grown).withColumns(
                 {
-                    "unit_price": (10 + 5 * ti).cast("double"),
+                    "unit_price": (10 + 5 * (number % 6)).cast("double"),
                     "licensed_amount": F.col("units_purchased"),
                     "product_id": _product_id(),
                     "cust_id": _customer_id(),
                     "entitlement_id": F.concat(
-                        F.lit("E"),
-                        key.cast("string"),
-                        F.lit("-"),
-                        ti.cast("string"),
-                        F.when(F.col("is_expansion"), "x").otherwise(""),
+                        F.lit("E"), key.cast("string"), F.lit("-"), _type_code(), F.when(F.col("is_expansion"), "x").otherwise("")
                     ),
                 }
             )
         )
 
-    def _spine(self) -> DataFrame:
-        return month_spine(self._contracts(), FIRST_MONTH, LAST_MONTH)
+    def _spine(self, usage: DataFrame) -> DataFrame:
+        return month_spine(self._contracts(usage), FIRST_MONTH, LAST_MONTH)
 
-    def entitlements(self) -> DataFrame:
-        return self._contracts()
+    def entitlements(self, usage: DataFrame) -> DataFrame:
+        return self._contracts(usage)
 
     # ---- facts ---------------------------------------------------------
 
     def consumption(self, usage: DataFrame) -> DataFrame:
-        group, idx = _group(), F.col("month_idx")
-        silent = (
-            group.isin(0, 1)
-            | ((group == 5) & (idx >= 3))
-            | ((group == 6) & (idx < 2))
-            | ((group == 7) & (idx % 3 != 0))
-        )
+        """Each contract's months; while a supplier has an expansion, half of the usage is the expansion's."""
         shipped = usage.groupBy("suppkey", "p_type", "month").agg(
             F.sum(F.col("quantity").cast("decimal(18,2)")).cast("double").alias("quantity")
         )
-        factor = F.when(F.col("is_expansion"), 0.5).otherwise(1.0)
-        return self._with_usage(self._spine(), shipped, ["p_type"]).select(
+        part = F.when(_shared(), 0.5).otherwise(1.0)
+        return self._with_usage(self._spine(usage), shipped, ["p_type"]).select(
             F.concat_ws("-", F.lit("U"), "entitlement_id", F.date_format("month", "yyyyMM")).alias("consumption_id"),
             "entitlement_id",
             "cust_id",
             "product_id",
             "month",
-            F.when(silent, 0.0).otherwise(F.coalesce("quantity", F.lit(0.0)) * factor).alias("consumed_units"),
+            (F.coalesce("quantity", F.lit(0.0)) * part).alias("consumed_units"),
             "licensed_amount",
         )
 
     def feature_adoption(self, usage: DataFrame) -> DataFrame:
-        group, idx = _group(), F.col("month_idx")
-        silent = group.isin(0, 1) | ((group == 5) & (idx >= 3)) | ((group == 6) & (idx < 4))
-        classes = F.explode(F.element_at(self._classes_by_type(), F.col("p_type")))
-        entitled = self._spine().where(F.col("ti") != BARE_PRODUCT).withColumn("size_class", classes)
+        """Each contract's months for every size class it was seen with."""
+        seen = usage.select(F.col("suppkey").alias("s_suppkey"), "p_type", "size_class").distinct()
+        entitled = self._spine(usage).join(seen, ["s_suppkey", "p_type"])
         counted = usage.select("suppkey", "p_type", "size_class", "month", "lines")
+        lines = F.coalesce("lines", F.lit(0).cast("long"))
+        half = F.floor(lines / 2)
+        events = F.when(_shared(), F.when(F.col("is_expansion"), half).otherwise(lines - half)).otherwise(lines)
         return self._with_usage(entitled, counted, ["p_type", "size_class"]).select(
             F.concat_ws("-", F.lit("A"), "entitlement_id", "size_class", F.date_format("month", "yyyyMM")).alias(
                 "adoption_id"
@@ -209,7 +185,7 @@ class Star:
             "product_id",
             _feature_id().alias("feature_id"),
             "month",
-            F.when(silent, 0).otherwise(F.coalesce("lines", F.lit(0))).alias("usage_events"),
+            events.alias("usage_events"),
         )
 
     @staticmethod
@@ -217,13 +193,27 @@ class Star:
         return spine.join(usage.withColumnRenamed("suppkey", "s_suppkey"), ["s_suppkey", *on, "month"], "left")
 
     def table(self, name: str, usage: DataFrame | None = None) -> DataFrame:
-        """One of the six source tables; the two facts take the monthly usage, if at hand."""
-        if name in ("consumption", "feature_adoption"):
+        """One of the six source tables; those of ``FROM_USAGE`` take the monthly usage, if at hand."""
+        if name in FROM_USAGE:
             df = getattr(self, name)(self.monthly_usage() if usage is None else usage)
         else:
             df = getattr(self, name)()
         return conform(df, RAW[name])
 
+    def reconciliation(self, consumption: DataFrame, feature_adoption: DataFrame) -> DataFrame:
+        """``measure, given, derived``: quantity and number of the line items against the sums of the two facts."""
+        items = self.read("lineitem").agg(F.sum(F.col("l_quantity").cast("decimal(12,2)")).alias("units"), F.count("*").alias("events"))
+        used = consumption.agg(F.sum(F.col("consumed_units").cast("decimal(18,2)")).alias("units"))
+        done = feature_adoption.agg(F.sum("usage_events").alias("events"))
+
+        def rows(df: DataFrame, side: str, names: tuple[str, ...]) -> DataFrame:
+            other = "derived" if side == "given" else "given"
+            values = [F.struct(F.lit(n).alias("measure"), F.col(n).cast("double").alias(side)) for n in names]
+            return df.select(F.inline(F.array(*values))).withColumn(other, F.lit(None).cast("double"))
+
+        sides = [rows(items, "given", ("units", "events")), rows(used, "derived", ("units",)), rows(done, "derived", ("events",))]
+        return reduce(DataFrame.unionByName, sides).groupBy("measure").agg(F.max("given").alias("given"), F.max("derived").alias("derived"))
+
 
 def _group() -> Column:
     return F.col("s_suppkey") % 20
@@ -237,9 +227,26 @@ def _customer_id() -> Column:
     return F.concat(F.lit("C"), F.col("s_suppkey").cast("string"))
 
 
+def _type_code() -> Column:
+    """Eight hexadecimal digits that stand for a part type, found without a list of all types."""
+    return F.substring(F.md5("p_type"), 1, 8)
+
+
+def _type_number() -> Column:
+    return F.conv(_type_code(), 16, 10).cast("long")
+
+
+def _grows() -> Column:
+    return (F.col("s_suppkey") % 17 == 7) | (_group() == 5)
+
+
+def _shared() -> Column:
+    return _grows() & (F.col("month") >= day(EXPANSION_START))
+
+
 def _product_id() -> Column:
-    return F.concat(F.lit("P"), F.col("ti").cast("string"))
+    return F.concat(F.lit("P"), _type_code())
 
 
 def _feature_id() -> Column:
-    return F.concat(F.lit("F"), F.col("ti").cast("string"), F.lit("-"), F.col("size_class").cast("string"))
+    return F.concat(F.lit("F"), _type_code(), F.lit("-"), F.col("size_class").cast("string"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from uptake.sources.shared import fresh_folder
-from uptake.sources.tables import conform, read_parquet, write_by_month, write_table
+from uptake.sources.tables import conform, read_parquet, stored_schemas, write_by_month, write_table
 
 
 class Store:
@@ -20,6 +20,7 @@ class Store:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self._written: dict[str, DataFrame] = {}
+        self._paths: dict[str, str] = {}
         self._locks: dict[str, threading.RLock] = {}
         self._guard = threading.Lock()
 
@@ -37,5 +38,10 @@ class Store:
                     write_by_month(df, path)
                 else:
                     write_table(df, path)
+                self._paths[name] = path
                 self._written[name] = read_parquet(self.spark, path, schema)
             return self._written[name]
+
+    def stored(self, name: str) -> list[StructType]:
+        """The schemas of a written table's files."""
+        return stored_schemas(self.spark, self._paths[name])
