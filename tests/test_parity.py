@@ -34,7 +34,8 @@ def test_differences_are_seen(spark, second_engine):
     assert "differ" in difference(df, second_engine, other)
 
 
-def test_entry(spark):
+def test_entry(spark, second_engine):
     df = entry(spark)
     assert df.schema.names == schemas.SKU_MONTH.names
-    assert df.count() == 684
+    sql = oracle_sql()["mart_customer_sku_month"]
+    assert (df.count(),) == second_engine.execute(f"SELECT count(*) FROM ({sql})").fetchone()
