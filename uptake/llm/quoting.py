@@ -37,6 +37,11 @@ def levels(text: str) -> list[tuple[int, str]]:
 def parse(text: str | None) -> tuple[str, list[tuple[int, list[str]]]]:
     """The own text, and the passages as (level, lines). Lines that introduce a quotation belong to neither."""
     lines = levels(text or "")
+    # The level of the next line that isn't blank, after each line.
+    following = [0] * len(lines)
+    for k in range(len(lines) - 2, -1, -1):
+        level, line = lines[k + 1]
+        following[k] = level if level or line.strip() else following[k + 1]
     own, passages = [], []
     for k, (level, line) in enumerate(lines):
         if level:
@@ -44,10 +49,8 @@ def parse(text: str | None) -> tuple[str, list[tuple[int, list[str]]]]:
                 passages[-1][1].append(line)
             else:
                 passages.append((level, [line]))
-        else:
-            following = next((x for x, y in lines[k + 1 :] if x or y.strip()), 0)
-            if not (following and _INTRODUCTION.match(line)):
-                own.append(line)
+        elif not (following[k] and _INTRODUCTION.match(line)):
+            own.append(line)
     return re.sub(r"\n{3,}", "\n\n", "\n".join(own)).strip(), passages
 
 
