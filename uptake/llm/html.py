@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -69,6 +70,8 @@ def blocks(html: str) -> list[Block]:
     """The page's text blocks in order, character references decoded and white space made one space."""
     out: list[Block] = []
     open_tags: list[tuple[str, int]] = []
+    # How many open tags have each name, so that an end tag without a start costs nothing.
+    open_names: Counter[str] = Counter()
     parts: list[tuple[str, bool]] = []
     where, link, heading, unseen = 0, 0, 0, ""
 
@@ -105,11 +108,12 @@ def blocks(html: str) -> list[Block]:
         if name not in INLINE:
             close()
         if m["end"]:
-            depth = next((k for k in range(len(open_tags) - 1, -1, -1) if open_tags[k][0] == name), None)
-            if depth is not None:
+            if open_names[name]:
+                depth = next(k for k in range(len(open_tags) - 1, -1, -1) if open_tags[k][0] == name)
                 where = open_tags[depth][1]
                 gone = [t for t, _ in open_tags[depth:]]
                 del open_tags[depth:]
+                open_names.subtract(gone)
                 link -= gone.count("a")
                 heading -= sum(len(t) == 2 and t[0] == "h" and t[1].isdigit() for t in gone)
         elif name in UNSEEN and not m["rest"].endswith("/"):
@@ -117,7 +121,9 @@ def blocks(html: str) -> list[Block]:
         elif name not in VOID and not m["rest"].endswith("/"):
             if name in ("p", "li") and any(t == name for t, _ in open_tags[-1:]):
                 where = open_tags.pop()[1]
+                open_names[name] -= 1
             open_tags.append((name, where))
+            open_names[name] += 1
             link += name == "a"
             heading += len(name) == 2 and name[0] == "h" and name[1].isdigit()
             where = _place(name, m["rest"], where)
