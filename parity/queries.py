@@ -288,6 +288,15 @@ FROM (SELECT cust_id, {PLAY} AS play, max(lur) FILTER (flag_expansion) AS max_ov
     "play_worklist_activate": f"{_WORKLIST} AND play = 'Activate' ORDER BY arr_at_risk DESC, total_arr DESC, cust_id",
     "customer_products": f"""SELECT product_name, {platform("product_platform")} AS platform, vrs, {band("vrs")} AS state,
        {", ".join(SIGNAL_NAMES)}, arr FROM m_now WHERE cust_id = '{CUSTOMER}' ORDER BY vrs, product_name""",
+    "customer_products_filtered": f"""SELECT product_name, {platform("product_platform")} AS platform, vrs, {band("vrs")} AS state,
+       {", ".join(SIGNAL_NAMES)}, arr FROM m_now
+WHERE cust_id = '{CUSTOMER}' AND product_platform IN ('hardware_ngfw', 'sase') ORDER BY vrs, product_name""",
+    "entitlements_csv_roundtrip": """SELECT entitlement_id, product_id, cust_id, units_purchased, licensed_amount,
+       unit_price, arr, start_date, end_date, is_expansion FROM src_entitlements""",
+    "sku_full_csv_roundtrip": "SELECT * FROM m_full",
+    "feature_full_csv_roundtrip": """SELECT cust_id, product_id, feature_name, month, usage_events, feature_score,
+       CASE WHEN feature_score = 0 THEN 'not_enabled' WHEN feature_score < 0.5e0 THEN 'enabled_idle'
+            WHEN feature_score < 1 THEN 'active' ELSE 'deep' END AS adoption_level FROM m_feature""",
     "customer_names": "SELECT DISTINCT cust_name FROM m_now ORDER BY 1",
     "feature_detail": f"""SELECT feature_name, usage_events, feature_score,
        CASE WHEN feature_score = 0 THEN 'not_enabled' WHEN feature_score < 0.5e0 THEN 'enabled_idle'

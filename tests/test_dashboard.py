@@ -194,6 +194,8 @@ def test_account_summary(full):
 
 def test_drill_downs(full):
     mine = customers.customer_products(full, "C1", "2025-10-01").collect()
+    chosen = customers.customer_products(full, "C1", "2025-10-01", Filters(platforms=("sase",))).collect()
+    assert [r.product_name for r in chosen] == ["Alpha SKU-0001"] and len(mine) == 2
     assert [(r.product_name, r.platform, r.state) for r in mine] == [
         ("Beta SKU-0002", "Cloud NGFW", v.AT_RISK),
         ("Alpha SKU-0001", "SASE", v.DEVELOPING),
@@ -214,7 +216,9 @@ def test_feature_detail(spark):
 
 
 def test_products(full):
-    cards = {r.product_platform: r for r in products.platform_cards(full, "2025-10-01").collect()}
+    found = products.platform_cards(full, "2025-10-01").collect()
+    assert [r.product_platform for r in found] == ["sase", "cloud_ngfw"]
+    cards = {r.product_platform: r for r in found}
     assert cards["cloud_ngfw"].asDict() == {
         "product_platform": "cloud_ngfw", "platform": "Cloud NGFW", "vrs": 40.0, "arr": 300.0,
         "arr_at_risk": 300.0, "at_risk_pct": 100.0,

@@ -68,6 +68,12 @@ def test_movers_read_two_months(space):
     assert [partitions for _, partitions in scans(df._jdf.queryExecution().executedPlan())] == [2]
 
 
+@pytest.mark.parametrize("name", ["months", "latest_month", "top_movers", "band_share_change_qoq", "kpi_movement"])
+def test_months_come_from_the_calendar(space, name):
+    """No scan reads the mart only to learn its months, sub-queries included."""
+    assert "ReadSchema: struct<>" not in plan_of(QUERIES[name](space))
+
+
 def scans(node):
     """Columns and partitions read of every file scan, inside query stages too."""
     name = node.getClass().getSimpleName()

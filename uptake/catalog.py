@@ -15,11 +15,14 @@ from uptake.operators import components, contracts, keys, staging, volumes
 from uptake.operators.filters import Filters
 from uptake.params import Override
 from uptake.plans import customers, extensions, marts, portfolio, products, quality
+from uptake.sources.shared import fresh_folder
 from uptake.sources.star import FIRST_MONTH, FROM_USAGE, LAST_MONTH, Star
 from uptake.sources.store import Store
+from uptake.sources.tables import conform, read_csv, write_csv
 
 AS_OF = LAST_MONTH
 SOME = Filters(segments=("Enterprise",), regions=("ASIA", "EUROPE", "AMERICA"), platforms=("hardware_ngfw", "sase"))
+SOME_PLATFORMS = Filters(platforms=("hardware_ngfw", "sase"))
 CUSTOMER, PRODUCT = "C2", "P71726adf"
 PLATFORM, MODEL = "sase", "MEDIUM"
 COHORTS = {"pilot": 3, "control": 4}
@@ -69,6 +72,10 @@ class Workspace:
             lambda: marts.sku_month_full(self.sku, self.source("customers"), self.source("products")),
         )
 
+    @property
+    def calendar(self) -> DataFrame:
+        return self.store.table("mart_calendar", lambda: portfolio.calendar(self.full), schemas.CALENDAR)
+
     def stored(self) -> dict[str, list[StructType]]:
         """The schemas of the written files of the source tables and the SKU mart."""
         _ = self.raw, self.sku
@@ -159,6 +166,12 @@ def _contract_features(w: Workspace) -> DataFrame:
     return pairs.select("entitlement_id", "product_id", "feature_id")
 
 
+def _through_csv(df: DataFrame, name: str) -> DataFrame:
+    path = fresh_folder(df.sparkSession, name)
+    write_csv(df, path)
+    return read_csv(df.sparkSession, path, df.schema)
+
+
 Query = Callable[[Workspace], DataFrame]
 
 QUERIES: dict[str, Query] = {
@@ -179,8 +192,8 @@ QUERIES: dict[str, Query] = {
     "mart_sku_month_full": lambda w: marts.sku_month_full(w.sku, w.source("customers"), w.source("products")),
     "mart_feature_full": lambda w: marts.feature_full(w.feature),
     # portfolio
-    "months": lambda w: portfolio.months(w.full),
-    "latest_month": lambda w: portfolio.latest_month(w.full),
+    "months": lambda w: portfolio.months(w.calendar),
+    "latest_month": lambda w: portfolio.latest_month(w.calendar),
     "snapshot": lambda w: portfolio.snapshot(w.full, AS_OF),
     "snapshot_filtered": lambda w: portfolio.snapshot(w.full, AS_OF, SOME),
     "portfolio_trend": lambda w: _rounded(portfolio.portfolio_trend(w.full), "vrs"),
@@ -189,11 +202,11 @@ QUERIES: dict[str, Query] = {
     "band_trend": lambda w: portfolio.band_trend(w.full),
     "portfolio_kpis": lambda w: portfolio.portfolio_kpis(w.full, AS_OF),
     "portfolio_kpis_filtered": lambda w: portfolio.portfolio_kpis(w.full, AS_OF, SOME),
-    "kpi_movement": lambda w: portfolio.kpi_movement(w.full),
+    "kpi_movement": lambda w: portfolio.kpi_movement(w.full, known=w.calendar),
     "band_mix": lambda w: portfolio.band_mix(w.full, AS_OF),
     "band_share_history": lambda w: portfolio.band_share_history(w.full),
-    "band_share_change_qoq": lambda w: portfolio.band_share_change_qoq(w.full, AS_OF),
-    "top_movers": lambda w: portfolio.top_movers(w.full, AS_OF),
+    "band_share_change_qoq": lambda w: portfolio.band_share_change_qoq(w.full, AS_OF, known=w.calendar),
+    "top_movers": lambda w: portfolio.top_movers(w.full, AS_OF, known=w.calendar),
     "state_distribution": lambda w: portfolio.state_distribution(w.full),
     # accounts
     "play_of_customer": lambda w: customers.play_of_customer(w.full, AS_OF),
@@ -203,6 +216,7 @@ QUERIES: dict[str, Query] = {
     "play_worklist": lambda w: customers.play_worklist(w.full, AS_OF),
     "play_worklist_activate": lambda w: customers.play_worklist(w.full, AS_OF, "Activate"),
     "customer_products": lambda w: customers.customer_products(w.full, CUSTOMER, AS_OF),
+    "customer_products_filtered": lambda w: customers.customer_products(w.full, CUSTOMER, AS_OF, SOME_PLATFORMS),
     "customer_names": lambda w: customers.customer_names(w.full, AS_OF),
     "feature_detail": lambda w: customers.feature_detail(w.feature, CUSTOMER, PRODUCT, AS_OF),
     "sku_series": lambda w: customers.sku_series(w.sku, CUSTOMER, PRODUCT),
@@ -217,6 +231,12 @@ QUERIES: dict[str, Query] = {
     "build_parity": lambda w: quality.build_parity(w.sku, marts.customer_sku_month(w.raw)),
     "source_profile": lambda w: quality.source_profile(w.raw),
     "overlap_pairs": lambda w: contracts.overlap_pairs(w.source("entitlements")),
+    # exported copies, read back
+    "entitlements_csv_roundtrip": lambda w: _through_csv(w.source("entitlements"), "entitlements-csv"),
+    "sku_full_csv_roundtrip": lambda w: _through_csv(w.full, "sku-full-csv"),
+    "feature_full_csv_roundtrip": lambda w: _through_csv(
+        conform(marts.feature_full(w.feature), schemas.FEATURE_FULL), "feature-full-csv"
+    ),
     # contract and key operators
     "month_spine": _month_spine,
     "hash_bucket": _hash_bucket,

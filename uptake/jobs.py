@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 
 from uptake import schemas
 from uptake.params import DEFAULTS, ScoreParams
-from uptake.plans import marts, quality
+from uptake.plans import marts, portfolio, quality
 from uptake.sources import tables
 
 EXPORTS = ("mart_sku_month_full", "mart_feature_full")
@@ -50,7 +50,8 @@ def build(
     feature = write("mart_customer_feature_month", marts.customer_feature_month(raw, p))
     write("mart_customer_month", marts.customer_month(sku, raw["customers"]))
     write("mart_product_month", marts.product_month(sku, raw["products"]))
-    write("mart_sku_month_full", marts.sku_month_full(sku, raw["customers"], raw["products"]))
+    full = write("mart_sku_month_full", marts.sku_month_full(sku, raw["customers"], raw["products"]))
+    tables.write_table(tables.conform(portfolio.calendar(full), schemas.CALENDAR), f"{target}/mart_calendar")
     write("mart_feature_full", marts.feature_full(feature))
 
 

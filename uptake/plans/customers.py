@@ -183,10 +183,10 @@ def customer_names(full: DataFrame, month: str, filters: Filters = EVERYTHING) -
     return filters.apply(as_of(full, month)).select("cust_name").distinct().orderBy("cust_name")
 
 
-def customer_products(full: DataFrame, cust_id: str, month: str) -> DataFrame:
+def customer_products(full: DataFrame, cust_id: str, month: str, filters: Filters = EVERYTHING) -> DataFrame:
     """Products of one account, worst score first; the state shown is the score band."""
     return (
-        as_of(full, month)
+        filters.apply(as_of(full, month))
         .where(F.col("cust_id") == cust_id)
         .select(
             "product_name",

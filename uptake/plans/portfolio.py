@@ -46,7 +46,13 @@ STILL_POINTS = 0.05
 # ---- the calendar of the mart ---------------------------------------------
 
 
+def calendar(full: DataFrame) -> DataFrame:
+    """The mart's months and their rows. A build stores this, so that readers need not scan the mart to learn its months."""
+    return full.groupBy("month").agg(F.count("*").alias("rows"))
+
+
 def months(full: DataFrame) -> DataFrame:
+    """The months of the mart or its stored calendar, as text."""
     return full.select("month").distinct().select(month_text(F.col("month")).alias("month")).orderBy("month")
 
 
@@ -150,15 +156,15 @@ def at_risk_share(full: DataFrame, filters: Filters = EVERYTHING) -> DataFrame:
     return kpi.select("month", "arr", "at_risk_arr", rnd(share, 2).alias("at_risk_pct")).orderBy("month")
 
 
-def kpi_movement(full: DataFrame, filters: Filters = EVERYTHING) -> DataFrame:
+def kpi_movement(full: DataFrame, filters: Filters = EVERYTHING, known: DataFrame | None = None) -> DataFrame:
     """Headline figures with their change over one and three positions in the month list.
 
     The month list is that of the whole mart; a month the filters leave empty
     keeps its place and yields no difference. The window runs over one row per
-    month.
+    month. ``known`` is the stored calendar; without it the mart is asked.
     """
-    calendar = full.select("month").distinct()
-    per_month = calendar.join(kpis_by_month(full, filters), "month", "left")
+    listed = (full if known is None else known).select("month").distinct()
+    per_month = listed.join(kpis_by_month(full, filters), "month", "left")
     order = Window.orderBy("month")
     moved = []
     for name, kind in KPIS.items():
@@ -213,9 +219,11 @@ def band_share_history(full: DataFrame, filters: Filters = EVERYTHING, last: int
     return shares.select("month", *[rnd(F.col(c), 4).alias(c) for c in BAND_COLUMNS.values()]).orderBy("month")
 
 
-def band_share_change_qoq(full: DataFrame, month: str, filters: Filters = EVERYTHING) -> DataFrame:
-    """Change of each band's share against three positions earlier, in points."""
-    quarter = month_before(full, month, 3)
+def band_share_change_qoq(
+    full: DataFrame, month: str, filters: Filters = EVERYTHING, known: DataFrame | None = None
+) -> DataFrame:
+    """Change of each band's share against three positions earlier, in points; ``known`` is the stored calendar."""
+    quarter = month_before(full if known is None else known, month, 3)
     both = full.where((F.col("month") == day(month)) | (F.col("month") == quarter))
     shares = band_shares(both, filters)
     is_now = F.col("month") == day(month)
@@ -242,14 +250,16 @@ def band_share_change_qoq(full: DataFrame, month: str, filters: Filters = EVERYT
 # ---- movers ---------------------------------------------------------------
 
 
-def top_movers(full: DataFrame, month: str, filters: Filters = EVERYTHING, top: int = 7) -> DataFrame:
+def top_movers(
+    full: DataFrame, month: str, filters: Filters = EVERYTHING, top: int = 7, known: DataFrame | None = None
+) -> DataFrame:
     """Largest score swings against the previous month, accounts with a play first.
 
     Both months are read in one scan and folded into one row per customer;
-    customers missing from either month drop out.
+    customers missing from either month drop out. ``known`` is the stored calendar.
     """
     now = F.col("month") == day(month)
-    both = full.where(now | (F.col("month") == month_before(full, month, 1)))
+    both = full.where(now | (F.col("month") == month_before(full if known is None else known, month, 1)))
 
     def score(test: Column) -> Column:
         arr = F.when(test, F.col("arr"))

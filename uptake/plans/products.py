@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from uptake import vocabulary as v
 from uptake.functions import labels, scoring
 from uptake.functions.numeric import MONEY, SCORE, SIGNAL, headline_score, ratio, rnd, total
 from uptake.operators.filters import EVERYTHING, Filters, as_of
@@ -10,7 +11,7 @@ from uptake.plans.customers import SIGNALS, account_facts, at_risk_revenue, sign
 
 
 def platform_cards(full: DataFrame, month: str, filters: Filters = EVERYTHING) -> DataFrame:
-    """Score, revenue and share at risk per platform."""
+    """Score, revenue and share at risk per platform, in the cards' order; other platforms come last."""
     cards = (
         filters.apply(as_of(full, month))
         .groupBy("product_platform")
@@ -21,6 +22,7 @@ def platform_cards(full: DataFrame, month: str, filters: Filters = EVERYTHING) -
         )
     )
     share = F.coalesce(ratio(F.col("arr_at_risk"), F.col("arr")) * F.lit(100.0), F.lit(0.0))
+    place = F.array_position(F.array(*[F.lit(code) for code in v.CARD_ORDER]), F.col("product_platform"))
     return cards.select(
         "product_platform",
         labels.platform_label(F.col("product_platform")).alias("platform"),
@@ -28,7 +30,7 @@ def platform_cards(full: DataFrame, month: str, filters: Filters = EVERYTHING) -
         "arr",
         "arr_at_risk",
         rnd(share, 2).alias("at_risk_pct"),
-    )
+    ).orderBy(F.when(place > 0, place).asc_nulls_last(), "product_platform")
 
 
 def product_model_table(

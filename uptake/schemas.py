@@ -86,5 +86,7 @@ MARTS = {
     "mart_feature_full": FEATURE_FULL,
 }
 
+CALENDAR = schema("month:date rows:long")
+
 # The columns of the SKU mart whose presence and type the schema assertion counts.
 SKU_MONTH_ASSERTED = StructType([f for f in SKU_MONTH if f.name not in ("ttv_days", "ever_active_before")])

@@ -25,6 +25,9 @@ PLATFORM_LABELS = {
     "cloud_ngfw": "Cloud NGFW",
 }
 
+# order of the platform cards
+CARD_ORDER = ("sase", "hardware_ngfw", "cloud_ngfw", "software_ngfw")
+
 # platform code -> entitlement unit
 PLATFORM_UNITS = {
     "hardware_ngfw": "device_license",
