@@ -35,6 +35,13 @@ def row_order(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(-(2**63)))
 
 
+def first_of_groups(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of one row of each ``_group``: the smallest ``doc_id``, then a hash of the row, then ``_uid``, which no two rows share."""
+    rank = F.struct(row_order().alias("ord"), F.xxhash64(*columns).alias("hash"), "_uid")
+    chosen = rows.groupBy("_group").agg(F.min(rank).alias("_first")).select(F.col("_first._uid").alias("_uid"))
+    return rows.join(chosen, "_uid", "left_semi").select(*columns)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``limit`` bytes of text each; a longer text comes alone."""
     for batch in batches:
