@@ -424,6 +424,16 @@ def test_links_of_close_fingerprints(spark, nothing):
     assert near.near_components(nothing).count() == 0 and near.one_of_each(nothing).count() == 0
 
 
+def test_components_that_share_an_id_keep_a_row_each(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"{rng.randrange(10**6)}" for _ in range(80)) for _ in range(6)]
+    rows = [(None, texts[0]), (5, texts[0]), (None, texts[1]), (9, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[3]), (7, texts[4]), (7, texts[4])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, texts[4])], key=str)
+    for operator in (near.one_of_each, alike.one_of_each):
+        assert sorted(map(tuple, operator(df).collect()), key=str) == want
+
+
 def brute_shingles(text):
     words = re.findall(rb"[^ \t\n\v\f\r]+", (text or "").encode().lower())
     return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uptake.llm.common import chunks, row_order, written
+from uptake.llm.common import chunks, first_of_groups, row_order, written
 from uptake.llm.components import connected
 from uptake.llm.hashing import U, bit_votes, pack_bits
 
@@ -134,8 +134,10 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The row of each component with the smallest ``doc_id``; of rows that share that id, one."""
-    found = near_components(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(row_order().alias("_ord")).distinct()
-    marked = docs.withColumn("_ord", row_order())
-    return marked.join(kept, "_ord", "left_semi").dropDuplicates(["_ord"]).select(*docs.columns)
+    """One row of each component: that with the smallest ``doc_id``, nulls first. Components that share that id keep a row each."""
+    marked = written(docs.withColumn("_uid", F.monotonically_increasing_id()), "numbered")
+    texts = marked.select(F.col("_uid").alias("row"), row_order().alias("ord"), "text")
+    fps = written(texts.mapInArrow(_fingerprints, "row long, ord long, fp long"), "fingerprints")
+    groups = connected(fingerprint_links(fps.select("fp").distinct())).withColumnRenamed("node", "fp")
+    of_row = fps.join(groups, "fp", "left").select(F.col("row").alias("_uid"), F.coalesce("root", "fp").alias("_group"))
+    return first_of_groups(marked.join(of_row, "_uid"), docs.columns)
