@@ -294,6 +294,12 @@ def test_probabilities_are_those_of_a_plain_count(spark):
         assert math.isclose(model.evidence(pa.array([text]))[0, 0], want, abs_tol=1e-6)
 
 
+def test_final_counts_cover_all_labelled_rows(spark):
+    rows = spark.createDataFrame([(k, f"text word{k} of id{k}", k % 2) for k in range(60)], "doc_id long, text string, toxic int")
+    got, want = toxicity.fit(rows), toxicity.fit_counts(rows)
+    assert all((g == w).all() for g, w in zip(got.counts + got.totals, want.counts + want.totals, strict=True))
+
+
 def test_toxicity_edges(spark, odd, nothing):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = toxicity.toxicity(odd, none).collect()

@@ -5,9 +5,10 @@ classes back off to the same Kneser-Ney distribution, made of continuation count
 expression was seen) over all labelled texts: an expression that one class never showed gets its shared probability, and
 contexts that neither class knows weigh for neither. Bytes rather than words let inflected and rare forms of a word count together. A text's
 evidence is the difference of its two log-likelihoods divided by its length, and the same of the words for which it is positive; a
-logistic curve of both, fitted on labelled texts that the counts did not see, turns them into a score.
+logistic curve of both turns them into a score. The curve is fitted on a fifth of the labelled texts with counts of the other four fifths,
+which did not see them; then the counts are made anew from all.
 
-Counts are exact in Spark and cover every labelled text. The model that goes to the tasks hashes expressions into ``SLOTS``
+Counts are exact in Spark and those of the final model cover every labelled text that it is given. The model that goes to the tasks hashes expressions into ``SLOTS``
 slots, which bounds its size whatever the corpus; two expressions in one slot share counts.
 """
 
@@ -33,6 +34,8 @@ DISCOUNT = 0.75
 CURVE_TEXTS = 20_000
 THRESHOLD = 0.7
 _BLOCK = 1 << 13
+#: Bytes of text scored at once; each takes about a hundred bytes of arrays.
+_SCORED = 1 << 20
 _GAP = 32
 
 #: ASCII letters in lower case; ASCII other than letters and digits is a gap.
@@ -206,20 +209,27 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[tuple[float, float], float]
 
 
 def fit(labelled: DataFrame) -> Model:
-    """The model from labelled rows ``doc_id, text, toxic``: four fifths give the counts, the others the logistic curve."""
+    """The model from labelled rows ``doc_id, text, toxic``: all of them give the counts, and the curve comes from ``_curve``."""
     known = labelled.where("toxic is not null and toxic in (0, 1)").select("doc_id", "text", "toxic")
+    slopes, offset = _curve(known)
+    model = fit_counts(known)
+    model.slopes, model.offset = slopes, offset
+    return model
+
+
+def _curve(known: DataFrame) -> tuple[tuple[float, float], float]:
+    """The logistic curve, fitted on a fifth of the rows by a model that counts only the others."""
     part = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(5))
-    model = fit_counts(known.where((part != 0) | part.isNull()))
     rest = known.where(part == 0).orderBy(F.xxhash64("doc_id", F.lit("curve"))).limit(CURVE_TEXTS)
-    shipped = rest.sparkSession.sparkContext.broadcast(model)
+    shipped = rest.sparkSession.sparkContext.broadcast(fit_counts(known.where((part != 0) | part.isNull())))
     seen = rest.select("text", "toxic").mapInArrow(_evidence_rows(shipped), "toxic int, all double, peaks double").toPandas()
-    model.slopes, model.offset = _logistic(seen[["all", "peaks"]].to_numpy(), seen["toxic"].to_numpy(dtype=float))
-    return model
+    shipped.destroy()
+    return _logistic(seen[["all", "peaks"]].to_numpy(), seen["toxic"].to_numpy(dtype=float))
 
 
 def _evidence_rows(shipped):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", _SCORED):
             found = shipped.value.evidence(batch.column("text"))
             columns = [batch.column("toxic").cast(pa.int32()), pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())]
             yield pa.RecordBatch.from_arrays(columns, ["toxic", "all", "peaks"])
@@ -233,7 +243,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     kind = StructType([*docs.schema.fields, StructField("_score", DoubleType())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", _SCORED):
             found = shipped.value.scores(shipped.value.evidence(batch.column("text")))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, "_score"])
 
