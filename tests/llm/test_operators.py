@@ -570,6 +570,21 @@ def test_added_rules_and_redaction(spark, odd):
     assert secrets.redact(odd).columns == odd.columns and secrets.redact(odd).count() == odd.count()
 
 
+def test_redaction_leaves_nothing_of_a_private_key(spark):
+    rng = random.Random(6)
+    lines = ["".join(rng.choice("ABCxyz019+/") for _ in range(64)) for _ in range(5)] + ["Zq9/AB=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n"
+    bodies = ["\n" + "\n".join(lines) + "\n", "\r\n" + "\r\n".join(lines) + "\r\n", "\\n" + "\\n".join(lines) + "\\n",
+              "\n" + headers + "\n".join(lines) + "\n", " " + " ".join(lines) + " ", "\n> " + "\n> ".join(lines) + "\n> "]
+    texts = [f"é {begin}{b}{end} after." for b in bodies] + [f"é {begin}{b[: b.rindex('==') + 2]}" for b in bodies]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert all(got[k] == ("é [private] after." if k < len(bodies) else "é [private]") for k in got)
+    spans = {r.doc_id: r.spans.split(",")[0] for r in secrets.scan(df).collect()}
+    assert all(s.startswith("private:2:") for s in spans.values())
+
+
 def test_minimal_automaton_agrees_with_the_subset_one():
     nfa = secrets.Nfa()
     start = nfa.state()

@@ -108,6 +108,16 @@ BASE = (
     Rule("access", text("AKIA"), many(one_of("A-Z0-9"), 1), text("AKIA"), least_total=20),
     Rule("hex", then(), many(one_of("0-9a-f"), 1), many(one_of("0-9a-f"), 24), least_total=24),
 )
+# A private key's body: after a line break (also a written "\\n") lines of any length, maybe after header lines of an encrypted key; on
+# the same line only a long run. If an END line comes, all up to it, also between quotes and marks of quoted lines; else the runs alone.
+_base64, _blank = one_of("A-Za-z0-9+/"), one_of(" \t")
+_break = then(many(one_of(" \t\"',")), either(one_of("\r\n"), text("\\n"), text("\\r")), many(either(one_of(" \t\r\n>#\"',"), text("\\n"), text("\\r"))))
+_run = then(many(_base64, 1), many(one_of("=")))
+_headers = many(then(_break, many(one_of("A-Za-z0-9-"), 1), text(":"), many(one_of(" -[]-~"))))
+_lines = then(_headers, many(then(_break, _run)))
+_inline = then(many(then(many(_blank, 1), many(_base64, 16), many(one_of("="))), 1), maybe(then(many(_blank, 1), _run)))
+_framed = then(_headers, many(one_of("A-Za-z0-9+/= \t\r\n\\\"',>#")), text("-----END "), many(one_of("A-Z ")), text("PRIVATE KEY-----"))
+_body = either(_framed, _lines, _inline)
 # Rules beside the base ones.
 MORE = (
     Rule("hosting", then(text("gh"), one_of("pousr"), text("_")), many(one_of("A-Za-z0-9"), 36), then(text("gh"), one_of("pousr"), text("_"))),
@@ -118,7 +128,7 @@ MORE = (
         many(one_of(_word + "-"), 8),
         text(".eyJ"),
     ),
-    Rule("private", then(text("-----BEGIN "), many(one_of("A-Z ")), text("PRIVATE KEY-----")), then(), text("PRIVATE KEY-----")),
+    Rule("private", then(text("-----BEGIN "), many(one_of("A-Z ")), text("PRIVATE KEY-----")), _body, text("PRIVATE KEY-----")),
 )
 RULES = BASE + MORE
 
