@@ -56,7 +56,7 @@ def texts_of(df):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql_agrees(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations", "benchmark"):
         db.execute(f"create view {t} as select * from '{TABLES}/{t}.parquet'")
     got = QUERIES[name](spark, TABLES)
     columns = sorted(got.columns)

@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uptake.llm import fingerprints, html, mixing, mtree, near, packing, quoting, secrets, substrings, toxicity
+from uptake.llm import (
+    fingerprints,
+    html,
+    mixing,
+    mtree,
+    near,
+    oracles,
+    packing,
+    quoting,
+    repair,
+    resampling,
+    secrets,
+    substrings,
+    suffixes,
+    toxicity,
+)
 from uptake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +37,16 @@ def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    originals = table(spark, sf_dir, "conversations")
+    return repair.audit(repair.damaged(originals), originals)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quotations": lambda spark, sf_dir: quoting.reply_order(table(spark, sf_dir, "conversations")),
     "op2_fingerprints": _documents(lambda docs: fingerprints.with_neighbours(fingerprints.fingerprint_edits(docs))),
@@ -33,9 +58,12 @@ QUERIES: dict[str, Query] = {
     "op8_near_dedup": _documents(near.near_components),
     "op9_mixing": _documents(mixing.mixture),
     "op10_secrets": _documents(secrets.scan),
+    "op11_suffix_dedup": _documents(lambda docs: suffixes.remove_repeats(docs, digest=True)),
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
-ORACLES: dict[str, str] = {
+ORACLES: dict[str, str] = oracles.ORACLES | {
     "op3_substring_dedup": r"""
         WITH lists AS (
             SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents
