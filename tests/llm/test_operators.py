@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from uptake.llm import alike, fingerprints, html, mixing, mtree, near, packing, quoting, secrets, substrings, toxicity
+from uptake.llm import fingerprints, html, mixing, mtree, near, packing, quoting, secrets, substrings, toxicity
 from uptake.llm.queries import ORACLES, QUERIES
 
 TABLES = "/root/testdata/sf0.001"
@@ -436,48 +436,7 @@ def test_components_that_share_an_id_keep_a_row_each(spark):
     rows = [(None, texts[0]), (5, texts[0]), (None, texts[1]), (9, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[3]), (7, texts[4]), (7, texts[4])]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = sorted([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, texts[4])], key=str)
-    for operator in (near.one_of_each, alike.one_of_each):
-        assert sorted(map(tuple, operator(df).collect()), key=str) == want
-
-
-def brute_shingles(text):
-    words = re.findall(rb"[^ \t\n\v\f\r]+", (text or "").encode().lower())
-    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
-
-
-def brute_alike(rows):
-    """Of each component by five-word Jaccard similarity of at least 0.8, the smallest id, -1 for none."""
-    sets, todo, out = [brute_shingles(t) for _, t in rows], set(range(len(rows))), []
-    while todo:
-        group, edge = set(), {todo.pop()}
-        while edge:
-            group |= edge
-            new = {k for k in todo for j in edge if 5 * len(sets[k] & sets[j]) >= 4 * len(sets[k] | sets[j])}
-            todo -= new
-            edge = new
-        out.append(min(-1 if rows[k][0] is None else rows[k][0] for k in group))
-    return sorted(out)
-
-
-def edited_rows():
-    """Groups of near copies with similarities on both sides of 0.8, and chains of them."""
-    rng = random.Random(12)
-    rows = []
-    for _ in range(12):
-        words = [f"w{rng.randrange(500)}" for _ in range(rng.choice([4, 6, 9, 40, 120]))]
-        for _ in range(12):
-            for _ in range(rng.randrange(3)):
-                words[rng.randrange(len(words))] = f"e{rng.randrange(500)}"
-            rows.append((len(rows), " ".join(words)))
-    return rows
-
-
-@pytest.mark.parametrize("which", ["odd", "docs", "nothing", "edited"])
-def test_one_of_each_alike(spark, which, request):
-    df = spark.createDataFrame(edited_rows(), "doc_id long, text string") if which == "edited" else request.getfixturevalue(which)
-    kept = alike.one_of_each(df)
-    assert kept.columns == df.columns
-    assert sorted(-1 if r.doc_id is None else r.doc_id for r in kept.collect()) == brute_alike(texts_of(df))
+    assert sorted(map(tuple, near.one_of_each(df).collect()), key=str) == want
 
 
 # ---- 9 ---------------------------------------------------------------------------------

@@ -35,11 +35,17 @@ def row_order(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(-(2**63)))
 
 
-def first_of_groups(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` of one row of each ``_group``: the smallest ``doc_id``, then a hash of the row, then ``_uid``, which no two rows share."""
-    rank = F.struct(row_order().alias("ord"), F.xxhash64(*columns).alias("hash"), "_uid")
-    chosen = rows.groupBy("_group").agg(F.min(rank).alias("_first")).select(F.col("_first._uid").alias("_uid"))
-    return rows.join(chosen, "_uid", "left_semi").select(*columns)
+def numbered(docs: DataFrame) -> DataFrame:
+    """``whole`` (each row of ``docs`` as one struct, so that no helper column can clash with its own) and ``uid``, written once."""
+    return written(docs.select(F.struct(*docs.columns).alias("whole"), F.monotonically_increasing_id().alias("uid")), "numbered")
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with as many underscores in front as it takes to differ from all columns."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from uptake.llm.common import prefix_sums, written
+from uptake.llm.common import numbered, prefix_sums, written
 
 WEIGHTS = (5, 2, 1)
 #: No source gives more than so many times what it has.
@@ -45,8 +45,8 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EP
     )
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
-    """``_row`` columns and how much each row gives: ``doc_id, source, _key, size, source_size, target, taken``.
+def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCHS, keep: Sequence[str] = ()) -> DataFrame:
+    """How much each row gives: ``doc_id, source, _key, size, source_size, target, taken``, and the columns ``keep``.
 
     Rows are ordered within their source by a hash of id and text, so that reruns agree. The target, cut to
     whole words, holds full passes over the source and a remainder; the remainder goes to the first rows of the order, the last of them in
@@ -54,9 +54,9 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCHS)
     id and text share a place in the order and are told apart only by which of them the budget cuts.
     """
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("#"), F.coalesce("text", F.lit(""))))
-    rows = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("_key")), "sizes")
+    rows = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("_key"), *keep), "sizes")
     goal = written(targets(rows, weights, epochs), "targets").withColumnRenamed("source", "_source")
-    placed = prefix_sums(rows, ["source"], ["_key", "doc_id"], "size", "_before")
+    placed = prefix_sums(rows, ["source"], ["_key", "doc_id", *keep], "size", "_before")
     budget = F.floor("target").cast("long")
     passes = F.when(F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(0)
     rest = budget - passes * F.col("source_size")
@@ -81,26 +81,24 @@ def mixture(docs: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPO
 def mixed_rows(docs: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
     """The mix itself: each row as often as it is taken, the last time cut to its first words; ``n_chars`` follows the text.
 
-    A cut text keeps its words and the white space between them. Rows that give nothing are left out, but rows without words stay once.
+    A cut text keeps its words and the white space between them. Rows that give nothing are left out, but rows without words, null
+    texts among them, stay once. A null source is a source of its own; repeated rows are taken each for itself; columns may
+    have any name; an empty table gives an empty result.
     """
-    marks = mix(docs, weights, epochs)
-    # Rows that are equal in id and text may be taken differently; they are matched by their number among equals.
-    same = Window.partitionBy("_id", "_key").orderBy("_key")
-    marks = marks.select(F.col("doc_id").alias("_id"), "_key", F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    marks = marks.withColumn("_same", F.row_number().over(same))
-    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("#"), F.coalesce("text", F.lit(""))))
-    rows = docs.withColumns({"_id": F.col("doc_id"), "_key": key}).withColumn("_same", F.row_number().over(same))
-    where = F.col("l._id").eqNullSafe(F.col("r._id")) & (F.col("l._key") == F.col("r._key")) & (F.col("l._same") == F.col("r._same"))
-    joined = rows.alias("l").join(marks.alias("r"), where).select("l.*", "_size", "_taken").drop("_id", "_key", "_same")
-    full = F.when(F.col("_size") > 0, F.expr("_taken div _size")).otherwise(1).cast("int")
-    part = F.when(F.col("_size") > 0, F.col("_taken") % F.col("_size")).otherwise(0).cast("int")
+    rows = numbered(docs)
+    marks = mix(rows.select("uid", "whole.doc_id", "whole.source", "whole.text"), weights, epochs, ["uid"])
+    joined = rows.join(marks.select("uid", "size", "taken"), "uid")
+    full = F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(1).cast("int")
+    part = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0).cast("int")
     lengths = F.concat(
-        F.array_repeat(F.col("_size").cast("int"), full), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>"))
+        F.array_repeat(F.col("size").cast("int"), full), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>"))
     )
-    taken = joined.withColumn("_words", F.explode(lengths))
-    pattern = F.concat(F.lit(r"^(?>[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){"), F.col("_words").cast("string"), F.lit("}"))
-    text = F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(F.regexp_substr("text", pattern))
-    out = taken.withColumn("text", text)
+    taken = joined.withColumn("words", F.explode(lengths))
+    pattern = F.concat(F.lit(r"^(?>[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){"), F.col("words").cast("string"), F.lit("}"))
+    whole = F.col("whole")
+    cut = F.when(F.col("words") == F.col("size"), whole["text"]).otherwise(F.regexp_substr(whole["text"], pattern))
+    out = taken.withColumn("text", cut)
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[new.get(c, whole[c]).alias(c) for c in docs.columns])

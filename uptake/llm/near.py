@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uptake.llm.common import chunks, first_of_groups, row_order, written
+from uptake.llm.common import chunks, numbered, row_order, written
 from uptake.llm.components import connected
 from uptake.llm.hashing import U, bit_votes, pack_bits
 
@@ -134,10 +134,16 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of each component: that with the smallest ``doc_id``, nulls first. Components that share that id keep a row each."""
-    marked = written(docs.withColumn("_uid", F.monotonically_increasing_id()), "numbered")
-    texts = marked.select(F.col("_uid").alias("row"), row_order().alias("ord"), "text")
+    """All columns of one row of each component: that with the smallest ``doc_id``, nulls first, then with the smallest hash.
+
+    Components that share that id keep a row each. Null and empty texts are one component, repeated
+    rows keep one; columns may have any name; an empty table gives an empty result.
+    """
+    marked = numbered(docs)
+    texts = marked.select(F.col("uid").alias("row"), row_order("whole.doc_id").alias("ord"), F.col("whole.text").alias("text"))
     fps = written(texts.mapInArrow(_fingerprints, "row long, ord long, fp long"), "fingerprints")
     groups = connected(fingerprint_links(fps.select("fp").distinct())).withColumnRenamed("node", "fp")
-    of_row = fps.join(groups, "fp", "left").select(F.col("row").alias("_uid"), F.coalesce("root", "fp").alias("_group"))
-    return first_of_groups(marked.join(of_row, "_uid"), docs.columns)
+    hashes = marked.select(F.col("uid").alias("row"), F.xxhash64("whole").alias("hash"))
+    of_row = fps.join(groups, "fp", "left").withColumn("group", F.coalesce("root", "fp")).join(hashes, "row")
+    chosen = of_row.groupBy("group").agg(F.min(F.struct("ord", "hash", "row")).alias("first")).select(F.col("first.row").alias("uid"))
+    return marked.join(chosen, "uid", "left_semi").select("whole.*")

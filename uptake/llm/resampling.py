@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uptake.llm.common import chunks, prefix_sums, row_order, written
+from uptake.llm.common import chunks, numbered, prefix_sums, row_order, written
 from uptake.llm.hashing import buffers
 
 #: Distances from a span's end that the table covers; at least 4.
@@ -216,7 +216,7 @@ def importance(
 def drawn(docs: DataFrame, target: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that ``importance`` draws, with all their columns and nothing else."""
     settings = {"run": RUN, "buckets": BUCKETS, "seed": SEED, "least_words": LEAST_WORDS, "percent": PERCENT} | settings
-    whole = written(docs.select(F.struct(*docs.columns).alias("whole"), F.monotonically_increasing_id().alias("uid")), "numbered")
+    whole = numbered(docs)
     rows = whole.select("uid", F.col("whole.doc_id").alias("row"), row_order("whole.doc_id").alias("ord"), F.col("whole.text").alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     scored = _scored(rows, target, id_type, settings["run"], settings["buckets"], settings["seed"])

@@ -30,7 +30,7 @@ from uptake.llm.hashing import U, buffers, mix
 
 SLOTS = 1 << 20
 DISCOUNT = 0.75
-#: At most so many labelled texts fit the logistic curve; they are those with the smallest hashes.
+#: About so many labelled texts at most fit the logistic curve, chosen by a hash.
 CURVE_TEXTS = 20_000
 THRESHOLD = 0.7
 _BLOCK = 1 << 13
@@ -209,8 +209,11 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[tuple[float, float], float]
 
 
 def fit(labelled: DataFrame) -> Model:
-    """The model from labelled rows ``doc_id, text, toxic``: all of them give the counts, and the curve comes from ``_curve``."""
-    known = labelled.where("toxic is not null and toxic in (0, 1)").select("doc_id", "text", "toxic")
+    """The model from labelled rows ``doc_id, text, toxic``: all of them give the counts, and the curve comes from ``_curve``.
+
+    The rows are written once, so that their texts are joined with the labels only once.
+    """
+    known = written(labelled.where("toxic is not null and toxic in (0, 1)").select("doc_id", "text", "toxic"), "labelled")
     slopes, offset = _curve(known)
     model = fit_counts(known)
     model.slopes, model.offset = slopes, offset
@@ -218,9 +221,11 @@ def fit(labelled: DataFrame) -> Model:
 
 
 def _curve(known: DataFrame) -> tuple[tuple[float, float], float]:
-    """The logistic curve, fitted on a fifth of the rows by a model that counts only the others."""
+    """The logistic curve, fitted on rows of one fifth by a model that counts only the others."""
     part = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(5))
-    rest = known.where(part == 0).orderBy(F.xxhash64("doc_id", F.lit("curve"))).limit(CURVE_TEXTS)
+    fifth = known.where(part == 0)
+    share = min(1.0, CURVE_TEXTS / max(1, fifth.count()))
+    rest = fifth.where(F.pmod(F.xxhash64("doc_id", F.lit("curve")), F.lit(1 << 32)) < int(share * (1 << 32)))
     shipped = rest.sparkSession.sparkContext.broadcast(fit_counts(known.where((part != 0) | part.isNull())))
     seen = rest.select("text", "toxic").mapInArrow(_evidence_rows(shipped), "toxic int, all double, peaks double").toPandas()
     shipped.destroy()
@@ -237,15 +242,15 @@ def _evidence_rows(shipped):
     return rows
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` with ``_score``, from ``text`` alone."""
+def score(docs: DataFrame, model: Model, name: str = "_score") -> DataFrame:
+    """All columns of ``docs`` with the score as ``name``, from ``text`` alone."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    kind = StructType([*docs.schema.fields, StructField("_score", DoubleType())])
+    kind = StructType([*docs.schema.fields, StructField(name, DoubleType())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text", _SCORED):
             found = shipped.value.scores(shipped.value.evidence(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, name])
 
     return docs.mapInArrow(rows, kind)
 
@@ -262,7 +267,8 @@ def is_held_out(doc_id: int) -> bool:
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, text, toxic`` of the labelled rows that are not held out; contradicting labels of one id count as toxic."""
     marks = labels.where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return docs.where(~held_out()).select("doc_id", "text").join(marks, "doc_id")
+    # The same plan at every size: a broadcast of labels would end where they outgrow the threshold.
+    return docs.where(~held_out()).select("doc_id", "text").join(marks.hint("merge"), "doc_id")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
