@@ -54,7 +54,7 @@ def odd_rows():
 
 
 def test_odd_rows(spark):
-    got = check(spark, odd_rows(), 100, 20)
+    got = check(spark, odd_rows(), 100, suffixes.GRAM)
     assert sum(r[2] for r in got) > 5000
     kept = suffixes.remove_repeats(spark.createDataFrame([(1, "q" * 150), (2, "q" * 120 + "é")], "doc_id long, text string")).collect()
     assert {r.doc_id: bytes(r.kept) for r in kept} == {1: b"q", 2: "é".encode()}
@@ -80,11 +80,11 @@ def test_crowded_anchors_give_way_and_change_nothing(spark):
     lines = [word(60) for _ in range(30)]
     rows = [(k, word(80) + line + rng.choice(lines) + line + word(90)) for k in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    found = suffixes.crowded_anchors(df.coalesce(1), 100, 20)
+    found = suffixes.crowded_anchors(df.coalesce(1), 100, suffixes.GRAM)
     assert len(found.names)
-    names = suffixes.gram_names(np.frombuffer(line.encode(), np.uint8), 20)
+    names = suffixes.gram_names(np.frombuffer(line.encode(), np.uint8), suffixes.GRAM)
     assert set(found.names) <= set(names.tolist())
-    check(spark, rows, 100, 20)
+    check(spark, rows, 100, suffixes.GRAM)
 
 
 def test_columns_agree_with_sorted_suffixes():

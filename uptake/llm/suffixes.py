@@ -33,7 +33,7 @@ from uptake.llm.hashing import U, buffers, mix
 
 WIDTH = 100
 #: Bytes of an anchor.
-GRAM = 20
+GRAM = 16
 #: Bytes of text whose pieces one collection holds, on average.
 COLLECTION_BYTES = 16 << 20
 #: An anchor with so many distinct pieces in one chunk gives way to others wherever a window has another.
@@ -43,7 +43,7 @@ MOST_CROWDED = 1 << 16
 
 _LETTER = (mix(np.arange(1, 257, dtype=U)) >> U(32)).astype(np.uint32)
 _STEP = {1: 0x9E3779B1, 2: 0x85EBCA6B, 4: 0xC2B2AE35, 8: 0x27D4EB2F, 16: 0x165667B1}
-_CODEC = "zstd"
+_CODEC, _LEVEL = "zstd", 3
 
 
 def gram_names(data: np.ndarray, size: int) -> np.ndarray:
@@ -120,10 +120,14 @@ class Pieces:
 _SCHEMA = "bucket int, size long, blob binary"
 
 
+def _squeeze(raw: bytes) -> bytes:
+    return pa.Codec(_CODEC, compression_level=_LEVEL).compress(raw, asbytes=True)
+
+
 def _pack(bucket: int, columns: list[np.ndarray], marks: list[np.ndarray], data: bytes) -> dict:
     head = np.array([len(columns[0]), len(marks[0])], np.int64)
     raw = b"".join([x.tobytes() for x in (head, *columns, *marks)]) + data
-    return {"bucket": bucket, "size": len(raw), "blob": pa.compress(raw, _CODEC, asbytes=True)}
+    return {"bucket": bucket, "size": len(raw), "blob": _squeeze(raw)}
 
 
 _COLUMNS = [np.int64, np.int64, np.int64, np.uint8, np.uint8]
@@ -329,7 +333,7 @@ def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, "text"):
         data, offsets = buffers(batch.column("text"))
         raw, at = data.tobytes(), offsets.tolist()
-        blobs = [pa.compress(raw[a:b], _CODEC, asbytes=True) for a, b in zip(at[:-1], at[1:], strict=True)]
+        blobs = [_squeeze(raw[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("row"), batch.column("ord"), batch.column("rid"), pa.array(np.diff(offsets)), pa.array(blobs, pa.binary())],
             ["row", "ord", "rid", "n_bytes", "blob"],
