@@ -35,7 +35,9 @@ WIDTH = 100
 #: Bytes of an anchor.
 GRAM = 16
 #: Bytes of text whose pieces one collection holds, on average.
-COLLECTION_BYTES = 16 << 20
+COLLECTION_BYTES = 8 << 20
+#: Bytes of text that a task cuts into pieces at once; each takes about a hundred bytes of arrays.
+CUT_BYTES = 3 << 20
 #: An anchor with so many distinct pieces in one chunk gives way to others wherever a window has another.
 CROWDED = 64
 #: At most so many anchors give way, the most frequent first.
@@ -62,7 +64,11 @@ def gram_names(data: np.ndarray, size: int) -> np.ndarray:
             break
         names = names[:-power] * np.uint32(_STEP[power] ^ 0x5BD1E994) + names[power:]
         power *= 2
-    return (mix(out.astype(U)) >> U(16)).astype(np.uint32)
+    out = out ^ (out >> np.uint32(16))
+    out *= np.uint32(0x7FEB352D)
+    out ^= out >> np.uint32(15)
+    out *= np.uint32(0x846CA68B)
+    return out ^ (out >> np.uint32(16))
 
 
 def _spread(names: np.ndarray) -> np.ndarray:
@@ -96,7 +102,9 @@ class Pieces:
             self.name = np.zeros(0, np.uint32)
             return
         names = gram_names(data, gram)
-        rank = (names.astype(U) << U(31)) | np.arange(len(names), dtype=U)
+        rank = names.astype(U)
+        rank <<= U(31)
+        rank |= np.arange(len(names), dtype=U)
         if len(crowded.names):
             rank[crowded.at(names)] |= U(1 << 63)
         reach, level = 1, rank
@@ -146,7 +154,7 @@ def _unpack(size: int, blob: bytes) -> tuple[list[np.ndarray], list[np.ndarray],
 
 def _piece_rows(width: int, gram: int, buckets: int, crowded):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", CUT_BYTES):
             data, offsets = buffers(batch.column("text"))
             p = Pieces(data, offsets, width, gram, crowded.value)
             if not len(p.start):
@@ -189,7 +197,7 @@ def _crowded_rows(width: int, gram: int):
     none = Crowded([])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", CUT_BYTES):
             p = Pieces(*buffers(batch.column("text")), width, gram, none)
             raw = p.data.tobytes()
             ends = p.start + p.runs + width - 1
@@ -286,6 +294,7 @@ def _marks(pieces: list, width: int, gram: int) -> Iterator[pa.RecordBatch]:
     columns = [np.concatenate([p[0][k] for p in pieces]) for k in range(5)]
     known = [np.concatenate([p[1][k] for p in pieces]) for k in range(4)]
     data = np.concatenate([p[2] for p in pieces])
+    pieces.clear()
     yield _mark_batch(*known)
     keep = _anchored_twice(data, columns[3], columns[4], width, gram)
     if not len(keep):
