@@ -83,12 +83,12 @@ def _slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _arrays(frame: DataFrame, values: list[str]) -> list[np.ndarray]:
-    """``values`` of ``frame`` (its first column is a key) summed by slot. They reach the driver as blocks of bytes, ``8 * SLOTS`` for each value."""
+    """``values`` of ``frame`` (its first column is a key) summed by slot. They reach the driver as blocks of bytes, ``4 * SLOTS`` for each value."""
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         out = {}
         for v in values:
-            block = np.zeros(_BLOCK)
+            block = np.zeros(_BLOCK, np.float32)
             block[rows["slot"].to_numpy() % _BLOCK] = rows[v]
             out[v] = [block.tobytes()]
         return pd.DataFrame({"block": [key[0]], **out})
@@ -97,10 +97,10 @@ def _arrays(frame: DataFrame, values: list[str]) -> list[np.ndarray]:
     sums = hashed.groupBy("slot").agg(*[F.sum(v).alias(v) for v in values])
     blocks = sums.withColumn("block", F.floor(F.col("slot") / _BLOCK).cast("int"))
     rows = blocks.groupBy("block").applyInPandas(pack, "block int, " + ", ".join(f"{v} binary" for v in values)).collect()
-    arrays = [np.zeros(SLOTS) for _ in values]
+    arrays = [np.zeros(SLOTS, np.float32) for _ in values]
     for row in rows:
         for k, v in enumerate(values):
-            arrays[k][row.block * _BLOCK : (row.block + 1) * _BLOCK] = np.frombuffer(row[v])
+            arrays[k][row.block * _BLOCK : (row.block + 1) * _BLOCK] = np.frombuffer(row[v], np.float32)
     return arrays
 
 
@@ -111,12 +111,12 @@ def _discounted(count: np.ndarray, total: np.ndarray) -> np.ndarray:
 
 def _spare(kinds: np.ndarray, total: np.ndarray) -> np.ndarray:
     """What discounting leaves for the backoff; all of it in a context never seen."""
-    return np.where(total > 0, np.minimum(1, DISCOUNT * kinds / np.maximum(total, 1)), 1.0)
+    return np.where(total > 0, np.minimum(1, DISCOUNT * kinds / np.maximum(total, 1)), 1).astype(np.float32)
 
 
 @dataclass
 class Model:
-    """Arrays of ``SLOTS`` values, for the classes ordinary (0) and toxic (1), and the shared ones; ``last`` has one for each byte."""
+    """Arrays of ``SLOTS`` single-precision values, for the classes ordinary (0) and toxic (1), and the shared ones; ``last`` has one for each byte."""
 
     counts: list[np.ndarray]
     totals: list[np.ndarray]
@@ -133,7 +133,7 @@ class Model:
         whole, context = slots(keys), slots(keys >> np.uint32(8))
         base = self.backoff(keys)
         logs = [
-            np.log(_discounted(self.counts[c][whole], self.totals[c][context]) + self.spares[c][context] * base) for c in (0, 1)
+            np.log(_discounted(self.counts[c][whole].astype(float), self.totals[c][context]) + self.spares[c][context] * base) for c in (0, 1)
         ]
         gain = logs[1] - logs[0]
         # A word's bytes and the gap after it.
@@ -175,7 +175,7 @@ def fit_counts(labelled: DataFrame) -> Model:
     # Each three-byte slot's discounted share needs its context's total, which the keys tell.
     share = _shares(short, total)
     return Model(
-        [n0, n1], [c0, c1], [_spare(t0, c0), _spare(t1, c1)], share if s.any() else np.zeros(SLOTS), _spare(follow, total), last / last.sum()
+        [n0, n1], [c0, c1], [_spare(t0, c0), _spare(t1, c1)], share if s.any() else np.zeros(SLOTS, np.float32), _spare(follow, total), last / last.sum()
     )
 
 
@@ -191,7 +191,8 @@ def _shares(short: DataFrame, total: np.ndarray) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array((share * scale).astype(np.int64))], ["key", "n"])
 
     (share,) = _arrays(short.select("key", "n").mapInArrow(rows, "key long, n long"), ["n"])
-    return share / scale
+    shipped.destroy()
+    return share / np.float32(scale)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[tuple[float, float], float]:
