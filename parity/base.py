@@ -71,9 +71,9 @@ SIGNAL_NAMES = ("util_health", "feature_adoption", "sustained_usage", "ttv_score
 SIGNALS = ", ".join(f"{signal(c)} AS {c}" for c in SIGNAL_NAMES)
 
 
-def band(x: str) -> str:
+def band(x: str, middle: str = "50") -> str:
     return (
-        f"CASE WHEN {x} >= 70 THEN 'Value Realized' WHEN {x} >= 50 THEN 'Developing' "
+        f"CASE WHEN {x} >= 70 THEN 'Value Realized' WHEN {x} >= {middle} THEN 'Developing' "
         f"WHEN {x} >= 30 THEN 'At Risk' ELSE 'Critical' END"
     )
 
@@ -245,7 +245,7 @@ relation(
 # ---- components and the headline mart -------------------------------------
 
 
-def components(p: dict[str, str], source: str) -> str:
+def components(p: dict[str, str], source: str, breadth: str = "m_breadth") -> str:
     """SQL of the components; ``p`` maps parameter names to SQL expressions.
 
     Rows of a SKU are numbered and earlier rows are found by number, where the
@@ -271,7 +271,7 @@ def components(p: dict[str, str], source: str) -> str:
               WHEN lur < {p["full_from"]}
               THEN {p["healthy_base"]} + (lur - {p["healthy_from"]}) * {p["healthy_slope"]}
               WHEN lur <= {p["overage_above"]} THEN 1e0 ELSE {p["overage_score"]} END AS util_health
-  FROM {source} s LEFT JOIN m_breadth b USING (cust_id, product_id, month))
+  FROM {source} s LEFT JOIN {breadth} b USING (cust_id, product_id, month))
 SELECT t.* EXCLUDE (n, active),
        ({now} * t.active + {back1} * coalesce(x.active, 0) + {back2} * coalesce(y.active, 0))
        / ({now} + {known("x", back1)} + {known("y", back2)}) AS sustained_usage,
@@ -287,7 +287,7 @@ def parameters(p: ScoreParams = DEFAULTS, **overrides: str) -> dict[str, str]:
     return values | overrides
 
 
-def mart(p: dict[str, str], source: str = "m_sku", first: str = "m_first") -> str:
+def mart(p: dict[str, str], source: str = "m_sku", first: str = "m_first", breadth: str = "m_breadth") -> str:
     """SQL of the headline mart under the given parameters."""
     lur_at = "c.lur"
     return f"""SELECT cust_id, product_id, month, {rs("lur", 3)} AS lur, {r("util_health", 3)} AS util_health,
@@ -299,7 +299,7 @@ def mart(p: dict[str, str], source: str = "m_sku", first: str = "m_first") -> st
             WHEN coalesce(prior_lur, 0) >= 0.6e0 AND sustained_usage < 0.34e0 THEN 'Churn Signal'
             WHEN util_health = 0 THEN CASE WHEN ever_active_before = 1 THEN 'Lapsed' ELSE 'Shelfware Risk' END
             WHEN ttv_score < 0.5e0 AND feature_adoption < 0.3e0 THEN 'Onboarding Stall'
-            ELSE {band("score")} END AS state
+            ELSE {band("score", p["band_middle"])} END AS state
 FROM (
   SELECT *, 100e0 * ({"{wu}"} * util_health + CASE WHEN has_features THEN {"{wf}"} * feature_adoption ELSE 0e0 END
                      + {"{ws}"} * sustained_usage + CASE WHEN grace THEN 0e0 ELSE {"{wt}"} * ttv_score END)
@@ -316,7 +316,7 @@ FROM (
            (c.product_id IN (SELECT product_id FROM src_features)
             AND c.feature_adoption < 0.25e0 AND {lur_at} >= 0.9e0) AS fragile,
            {lur_at} > {p["overage_above"]} AS expanding
-    FROM ({components(p, source)}) c
+    FROM ({components(p, source, breadth)}) c
     JOIN m_start e USING (cust_id, product_id)
     LEFT JOIN {first} f USING (cust_id, product_id)))""".format(
         wu=p["weight_utilization"], wf=p["weight_features"], ws=p["weight_sustained"], wt=p["weight_speed"]

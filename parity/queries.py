@@ -50,11 +50,11 @@ relation("m_now", f"SELECT * FROM m_full WHERE {AT}")
 relation("m_some", f"SELECT * FROM m_full WHERE {CHOSEN}")
 
 
-def kpi_sql(rows: str) -> str:
-    return f"""SELECT month, {SCORE} AS vrs, {total()} AS arr, {total("vrs < 50")} AS at_risk_arr,
+def kpi_sql(rows: str, middle: str = "50") -> str:
+    return f"""SELECT month, {SCORE} AS vrs, {total()} AS arr, {total(f"vrs < {middle}")} AS at_risk_arr,
        (SELECT count(*) FROM (SELECT cust_id FROM {rows} i WHERE i.month = o.month
           GROUP BY cust_id HAVING {SCORE} < 50)) AS customers_at_risk,
-       count(*) FILTER (vrs < 50) AS skus_at_risk, count(DISTINCT cust_id) AS customers,
+       count(*) FILTER (vrs < {middle}) AS skus_at_risk, count(DISTINCT cust_id) AS customers,
        {total("flag_expansion")} AS expansion_arr,
        count(DISTINCT cust_id) FILTER (flag_expansion) AS expansion_customers
 FROM {rows} o GROUP BY month"""
@@ -160,6 +160,48 @@ DQ_SQL = "SELECT *, CASE WHEN val = expect THEN 'PASS' ELSE 'FAIL' END AS result
     for cat, test, expect, sql in DQ
 ) + ")"
 
+# ---- the register ---------------------------------------------------------
+
+RULED = {
+    "weight_utilization": f"(CASE WHEN {_BIG_SASE} THEN 0.45e0 WHEN segment = 'Enterprise' THEN 0.3e0 ELSE 0.35e0 END)",
+    "weight_features": "(CASE WHEN segment = 'Enterprise' THEN 0.3e0 ELSE 0.25e0 END)",
+    "overage_score": "(CASE WHEN product_platform <> 'hardware_ngfw' THEN 0.8e0 WHEN month < DATE '2026-01-01' THEN 0.6e0 ELSE 0.5e0 END)",
+    "feature_idle": "(CASE WHEN product_platform = 'sase' AND month >= DATE '2026-01-01' AND month < DATE '2026-05-01' THEN 0.2e0 ELSE 0.3e0 END)",
+    "band_middle": "(CASE WHEN segment = 'Enterprise' THEN 55e0 WHEN month >= DATE '2026-06-01' THEN 45e0 ELSE 50e0 END)",
+}
+relation(
+    "r_feature",
+    f"""SELECT f.* EXCLUDE (feature_score), feature_score AS plain,
+       CASE WHEN feature_score = 0.3e0 THEN {RULED["feature_idle"]} ELSE feature_score END AS feature_score
+FROM m_feature f JOIN (SELECT cust_id, segment FROM src_customers) USING (cust_id)
+JOIN (SELECT product_id, product_platform FROM src_products) USING (product_id)""",
+)
+relation(
+    "r_breadth",
+    """SELECT cust_id, product_id, month, sum(round(feature_score * 1000)::BIGINT)::DOUBLE / (1000e0 * count(*)) AS feature_adoption
+FROM r_feature GROUP BY ALL""",
+)
+relation("r_mart", mart(parameters(**RULED), source="m_sku_attributes", breadth="r_breadth"))
+relation(
+    "r_full",
+    f"""SELECT *, {RULED["band_middle"]} AS middle, {RULED["overage_score"]} AS ceiling FROM (
+  SELECT m.* EXCLUDE (ttv_days), cust_name, segment, region, product_name, product_platform
+  FROM r_mart m JOIN src_customers USING (cust_id) JOIN src_products USING (product_id))""",
+)
+relation("c_mart", mart(parameters(HARSH_OVERAGE)))
+relation("c_full", "SELECT m.*, 0.6e0 AS ceiling FROM c_mart m")
+
+
+def dq_of(mart_name: str, full_name: str) -> str:
+    """The assertions over another mart, with its rows' own overage score."""
+    over = f"(SELECT count(*) FROM {full_name} WHERE lur > 1.2e0 AND (util_health <> ceiling OR NOT flag_expansion))"
+    parts = []
+    for cat, test, expect, sql in DQ:
+        sql = over if test == "overage_capped_and_flagged" else sql.replace("m_mart", mart_name).replace("m_full", full_name)
+        parts.append(f"SELECT '{cat}' AS cat, '{test}' AS test, coalesce({sql}::BIGINT, 0) AS val, {expect}::BIGINT AS expect")
+    return "SELECT *, CASE WHEN val = expect THEN 'PASS' ELSE 'FAIL' END AS result FROM (" + "\nUNION ALL ".join(parts) + ")"
+
+
 # ---- one SELECT per query -------------------------------------------------
 
 _COMPONENT_SQL = ", ".join(
@@ -204,6 +246,13 @@ _MIX = "\nUNION ALL ".join(
     f"FROM m_band WHERE {AT}"
     for i, (label, c) in enumerate(zip(("Value Realized", "Developing", "At Risk", "Critical"), BANDS, strict=True))
 )
+relation(
+    "r_band",
+    f"""SELECT month, {total("vrs >= 70")} AS value_realized, {total("vrs >= middle AND vrs < 70")} AS developing,
+       {total("vrs >= 30 AND vrs < middle")} AS at_risk, {total("coalesce(vrs < 30, true)")} AS critical
+FROM r_full GROUP BY month""",
+)
+_MIX_RULED = _MIX.replace("m_band", "r_band")
 _CATALOG = "\nUNION ALL ".join(
     f"""SELECT '{play}' AS play, '{who}' AS owner, '{kind}' AS trigger_type, '{trigger}' AS trigger,
        '{side}' AS kind, '{addresses}' AS addresses,
@@ -388,6 +437,21 @@ WHERE NOT EXISTS (SELECT 1 FROM src_feature_adoption a WHERE a.cust_id = e.cust_
        CASE WHEN ttv_score IS NULL THEN 'Grace period' WHEN ttv_days <= 30 THEN 'Fast' WHEN ttv_days <= 90 THEN 'Slow'
             ELSE 'Onboarding stall' END AS speed_category FROM m_mart""",
     "params_override": f"SELECT * FROM ({mart(OVERRIDDEN, source='m_sku_attributes')})",
+    "mart_parameters": f"""SELECT segment, product_platform, month, {", ".join(f"{RULED[n]} AS param_{n}" for n in sorted(RULED))}
+FROM (SELECT DISTINCT segment, product_platform FROM src_entitlements JOIN src_customers USING (cust_id)
+      JOIN src_products USING (product_id)), star_months
+WHERE month >= (SELECT min(month) FROM src_consumption) AND month <= (SELECT max(month) FROM src_consumption)""",
+    "sku_mart_override": "SELECT * FROM r_mart",
+    "feature_mart_override": """SELECT cust_id, product_id, feature_id, feature_name, month, usage_events, feature_score,
+       CASE plain WHEN 0e0 THEN 'not_enabled' WHEN 0.3e0 THEN 'enabled_idle' WHEN 0.7e0 THEN 'active' ELSE 'deep' END AS adoption_level
+FROM r_feature""",
+    "customer_month_override": f"""SELECT cust_id, cust_name, segment, region, month, {_ROLL.replace("vrs < 50", "vrs < middle")},
+       {r("sum(vrs::DECIMAL(5,1))::DOUBLE / count(vrs)", 1)} AS vrs_simple_avg, count(*) AS skus
+FROM r_full GROUP BY cust_id, cust_name, segment, region, month""",
+    "portfolio_kpis_override": f"SELECT * EXCLUDE (month) FROM ({kpi_sql('r_full', 'middle')}) WHERE {AT}",
+    "band_mix_override": _MIX_RULED,
+    "dq_report_override": dq_of("r_mart", "r_full"),
+    "dq_report_capped": dq_of("c_mart", "c_full"),
     "smooth_curve": f"SELECT * FROM ({mart(parameters(SMOOTH_ACTIVATION))})",
     "overage_cap_60": f"SELECT * FROM ({mart(parameters(HARSH_OVERAGE))})",
     "ttv_first_signal": f"SELECT * FROM ({mart(parameters(), first='m_first_signal')})",

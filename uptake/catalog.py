@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from uptake import schemas
+from uptake import register, schemas
 from uptake.functions.numeric import rnd
 from uptake.operators import components, contracts, keys, staging, volumes
 from uptake.operators.filters import Filters
-from uptake.params import Override
+from uptake.params import HARSH_OVERAGE, Override
+from uptake.register import Rule
 from uptake.plans import customers, extensions, marts, portfolio, products, quality
 from uptake.sources.shared import fresh_folder
 from uptake.sources.star import FIRST_MONTH, FROM_USAGE, LAST_MONTH, Star
@@ -32,6 +33,17 @@ OVERRIDES = [
     Override({"overage_score": 0.6}, platform="hardware_ngfw"),
 ]
 
+RULES = [
+    Rule("weight_utilization", 0.45, "Enterprise", "sase", priority=2),
+    Rule("weight_utilization", 0.30, "Enterprise", priority=1),
+    Rule("weight_features", 0.30, "Enterprise"),
+    Rule("overage_score", 0.6, platform="hardware_ngfw"),
+    Rule("overage_score", 0.5, platform="hardware_ngfw", valid_from="2026-01-01"),
+    Rule("feature_idle", 0.2, platform="sase", valid_from="2026-01-01", valid_to="2026-05-01"),
+    Rule("band_middle", 55.0, "Enterprise", priority=1),
+    Rule("band_middle", 45.0, valid_from="2026-06-01"),
+]
+
 USAGE = schemas.schema("suppkey:long p_type:string size_class:int month:date quantity:double lines:long")
 
 
@@ -76,6 +88,27 @@ class Workspace:
     def calendar(self) -> DataFrame:
         return self.store.table("mart_calendar", lambda: portfolio.calendar(self.full), schemas.CALENDAR)
 
+    @property
+    def parameters(self) -> DataFrame:
+        """The register resolved for every cell, stored beside the marts built with it."""
+        rules = register.rule_table(self.star.spark, RULES)
+        return self.store.table("mart_parameters", lambda: register.resolve(rules, register.cells(self.raw)), register.PARAMETERS)
+
+    @property
+    def sku_ruled(self) -> DataFrame:
+        return self.store.table(
+            "mart_customer_sku_month_ruled",
+            lambda: marts.customer_sku_month(self.raw, parameters=self.parameters),
+            schemas.SKU_MONTH,
+            by_month=True,
+        )
+
+    @property
+    def full_ruled(self) -> DataFrame:
+        """The denormalised mart with each row's stored parameters."""
+        full = marts.sku_month_full(self.sku_ruled, self.source("customers"), self.source("products"))
+        return register.attach(full, self.parameters)
+
     def stored(self) -> dict[str, list[StructType]]:
         """The schemas of the written files of the source tables and the SKU mart."""
         _ = self.raw, self.sku
@@ -172,6 +205,9 @@ def _through_csv(df: DataFrame, name: str) -> DataFrame:
     return read_csv(df.sparkSession, path, df.schema)
 
 
+#: The parameters that ``RULES`` change.
+RULED = sorted({r.name for r in RULES})
+
 Query = Callable[[Workspace], DataFrame]
 
 QUERIES: dict[str, Query] = {
@@ -256,6 +292,18 @@ QUERIES: dict[str, Query] = {
     "feature_shelfware": lambda w: extensions.feature_shelfware(w.raw),
     "component_categories": lambda w: extensions.component_categories(w.sku),
     "params_override": lambda w: extensions.params_override(w.raw, OVERRIDES),
+    "mart_parameters": lambda w: w.parameters.select(*register.CELL, *[f"param_{n}" for n in RULED]),
+    "sku_mart_override": lambda w: marts.customer_sku_month(w.raw, parameters=w.parameters),
+    "feature_mart_override": lambda w: marts.customer_feature_month(w.raw, parameters=w.parameters),
+    "customer_month_override": lambda w: marts.customer_month(
+        w.full_ruled.drop("cust_name", "segment", "region"), w.source("customers"), register.columns()
+    ),
+    "portfolio_kpis_override": lambda w: portfolio.portfolio_kpis(w.full_ruled, AS_OF, p=register.columns()),
+    "band_mix_override": lambda w: portfolio.band_mix(w.full_ruled, AS_OF, p=register.columns()),
+    "dq_report_override": lambda w: quality.report(w.raw, w.sku_ruled, stored=w.stored(), parameters=w.parameters),
+    "dq_report_capped": lambda w: quality.report(
+        w.raw, marts.customer_sku_month(w.raw, HARSH_OVERAGE), stored=w.stored(), p=HARSH_OVERAGE
+    ),
     "smooth_curve": lambda w: extensions.smooth_curve(w.raw),
     "overage_cap_60": lambda w: extensions.overage_cap_60(w.raw),
     "ttv_first_signal": lambda w: extensions.ttv_first_signal(w.raw),

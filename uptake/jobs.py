@@ -1,28 +1,31 @@
 """Jobs for spark-submit.
 
-    spark-submit --py-files uptake.zip uptake/jobs.py build SOURCE TARGET [--format csv] [--months M ...] [--export DIR]
+    spark-submit --py-files uptake.zip uptake/jobs.py build SOURCE TARGET [--format csv] [--months M ...] [--export DIR] [--params FILE]
     spark-submit --py-files uptake.zip uptake/jobs.py check SOURCE TARGET [--format csv] [--expect FILE] [--against DIR]
 
 The same works as ``python -m uptake.jobs``.
 
 ``build`` writes every mart below TARGET, one folder each. ``check`` runs the
 assertions on SOURCE and TARGET and exits with 1 when one fails; the comparison
-with an exported copy only warns. FILE is JSON with fields of ``Expectations``.
+with an exported copy only warns. The FILE of ``--expect`` is JSON with fields of ``Expectations``, that of
+``--params`` is JSON lines with the fields of ``register.Rule``; ``check`` reads the resolved register from TARGET.
 """
 
 import argparse
 import json
 import sys
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from uptake import schemas
+from uptake import register, schemas
 from uptake.params import DEFAULTS, ScoreParams
 from uptake.plans import marts, portfolio, quality
 from uptake.sources import tables
 
 EXPORTS = ("mart_sku_month_full", "mart_feature_full")
+PARAMETERS = "mart_parameters"
 
 
 def mart(spark: SparkSession, target: str, name: str) -> DataFrame:
@@ -35,9 +38,13 @@ def build(
     target: str,
     months: list[str] | None = None,
     p: ScoreParams = DEFAULTS,
+    rules: DataFrame | None = None,
 ) -> None:
     """Writes the marts; roll-ups and denormalised forms read the written SKU mart.
 
+    ``rules`` is a parameter register. It is resolved once and stored as ``mart_parameters``, from where the marts,
+    their roll-ups and later checks read it.
+
     With ``months`` only those partitions are replaced, also by nothing. Histories
     are always read in full, since a row depends on the rows before it.
     """
@@ -46,11 +53,19 @@ def build(
         tables.write_by_month(tables.conform(df, schemas.MARTS[name]), f"{target}/{name}", months)
         return mart(spark, target, name)
 
-    sku = write("mart_customer_sku_month", marts.customer_sku_month(raw, p))
-    feature = write("mart_customer_feature_month", marts.customer_feature_month(raw, p))
-    write("mart_customer_month", marts.customer_month(sku, raw["customers"]))
-    write("mart_product_month", marts.product_month(sku, raw["products"]))
+    kept = None
+    if rules is not None:
+        resolved = register.resolve(rules, register.cells(raw), p)
+        tables.write_table(tables.conform(resolved, register.PARAMETERS), f"{target}/{PARAMETERS}")
+        kept = tables.read_parquet(spark, f"{target}/{PARAMETERS}", register.PARAMETERS)
+    sku = write("mart_customer_sku_month", marts.customer_sku_month(raw, p, parameters=kept))
+    feature = write("mart_customer_feature_month", marts.customer_feature_month(raw, p, kept))
     full = write("mart_sku_month_full", marts.sku_month_full(sku, raw["customers"], raw["products"]))
+    rolled = sku
+    if kept is not None:
+        rolled, p = register.attach(full, kept).drop("cust_name", "segment", "region", "product_name", "product_platform"), register.columns()
+    write("mart_customer_month", marts.customer_month(rolled, raw["customers"], p))
+    write("mart_product_month", marts.product_month(rolled, raw["products"], p))
     tables.write_table(tables.conform(portfolio.calendar(full), schemas.CALENDAR), f"{target}/mart_calendar")
     write("mart_feature_full", marts.feature_full(feature))
 
@@ -61,6 +76,17 @@ def export(spark: SparkSession, target: str, folder: str) -> None:
         tables.write_csv(mart(spark, target, name), f"{folder}/{name}")
 
 
+def stored_parameters(spark: SparkSession, target: str) -> DataFrame | None:
+    """The resolved register a target was built with, if it was built with one."""
+    try:
+        found = spark.read.parquet(f"{target}/{PARAMETERS}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return found.select(*register.PARAMETERS.names)
+
+
 def check(
     spark: SparkSession,
     raw: dict[str, DataFrame],
@@ -76,7 +102,7 @@ def check(
     sku = mart(spark, target, quality.MART)
     known = dict(stored or {name: [df.schema] for name, df in raw.items()})
     known[quality.MART] = tables.stored_schemas(spark, f"{target}/{quality.MART}")
-    results = quality.report(raw, sku, expect, known).collect()  # 36 rows
+    results = quality.report(raw, sku, expect, known, parameters=stored_parameters(spark, target)).collect()  # 36 rows
     for r in results:
         print(f"{r['result']}  {r['cat']:<12} {r['test']:<42} {r['val']:>10} {r['expect']:>10}")
     failed = sum(r["result"] != "PASS" for r in results)
@@ -99,6 +125,7 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
         if name == "build":
             job.add_argument("--months", nargs="+")
             job.add_argument("--export")
+            job.add_argument("--params")
         else:
             job.add_argument("--expect")
             job.add_argument("--against")
@@ -111,7 +138,8 @@ def main(argv: list[str]) -> int:
     # A missing column ends a build; the check goes on and reports it.
     raw = tables.read_raw(spark, args.source, args.format, strict=args.job == "build")
     if args.job == "build":
-        build(spark, raw, args.target, args.months)
+        rules = register.read_rules(spark, args.params) if args.params else None
+        build(spark, raw, args.target, args.months, rules=rules)
         if args.export:
             export(spark, args.target, args.export)
         return 0

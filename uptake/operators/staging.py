@@ -37,21 +37,27 @@ def feature_month(
     The feature table carries no broadcast hint: Catalyst and AQE broadcast it
     when its measured size allows, else they sort-merge and split hot features.
     """
+    return grade(feature_events(feature_adoption, attributes), features, p)
+
+
+def feature_events(feature_adoption: DataFrame, attributes: tuple[str, ...] = ()) -> DataFrame:
+    """Events summed over concurrent contracts."""
+    return feature_adoption.groupBy(*SKU, "feature_id", "month", *attributes).agg(F.sum("usage_events").alias("usage_events"))
+
+
+def grade(events: DataFrame, features: DataFrame, p: ScoreParams = DEFAULTS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Summed events graded by the feature's own thresholds; ``keep`` are further columns of ``events`` to pass on."""
     thresholds = features.select("feature_id", "feature_name", "meaningful_floor_events", "deep_threshold_events")
-    return (
-        feature_adoption.groupBy(*SKU, "feature_id", "month", *attributes)
-        .agg(F.sum("usage_events").alias("usage_events"))
-        .join(thresholds, "feature_id")
-        .select(
-            *SKU,
-            "feature_id",
-            "month",
-            "feature_name",
-            "usage_events",
-            scoring.feature_points(
-                F.col("usage_events"), F.col("meaningful_floor_events"), F.col("deep_threshold_events"), p
-            ).alias("feature_score"),
-        )
+    return events.join(thresholds, "feature_id").select(
+        *SKU,
+        "feature_id",
+        "month",
+        "feature_name",
+        "usage_events",
+        scoring.feature_points(
+            F.col("usage_events"), F.col("meaningful_floor_events"), F.col("deep_threshold_events"), p
+        ).alias("feature_score"),
+        *keep,
     )
 
 

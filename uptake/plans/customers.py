@@ -7,6 +7,7 @@ from uptake import vocabulary as v
 from uptake.functions import labels, scoring
 from uptake.functions.numeric import MONEY, headline_score, signal, total, total_where
 from uptake.operators.filters import EVERYTHING, Filters, as_of
+from uptake.params import DEFAULTS, ScoreParams
 
 SIGNALS = ["util_health", "feature_adoption", "sustained_usage", "ttv_score"]
 
@@ -104,12 +105,12 @@ def customer_summary(full: DataFrame, month: str, filters: Filters = EVERYTHING)
     return _summary(filters.apply(as_of(full, month)))
 
 
-def customer_kpis(full: DataFrame, month: str, filters: Filters = EVERYTHING) -> DataFrame:
+def customer_kpis(full: DataFrame, month: str, filters: Filters = EVERYTHING, p: ScoreParams = DEFAULTS) -> DataFrame:
     """At-risk and expansion revenue with their accounts, and accounts with either.
 
     One row per customer first, so the distinct counts are plain counts.
     """
-    risky = F.coalesce(scoring.at_risk(F.col("vrs")), F.lit(False))
+    risky = F.coalesce(scoring.at_risk(F.col("vrs"), p), F.lit(False))
     growing = F.coalesce("flag_expansion", F.lit(False))
     arr = F.col("arr").cast(MONEY)
     accounts = (
@@ -183,7 +184,9 @@ def customer_names(full: DataFrame, month: str, filters: Filters = EVERYTHING) -
     return filters.apply(as_of(full, month)).select("cust_name").distinct().orderBy("cust_name")
 
 
-def customer_products(full: DataFrame, cust_id: str, month: str, filters: Filters = EVERYTHING) -> DataFrame:
+def customer_products(
+    full: DataFrame, cust_id: str, month: str, filters: Filters = EVERYTHING, p: ScoreParams = DEFAULTS
+) -> DataFrame:
     """Products of one account, worst score first; the state shown is the score band."""
     return (
         filters.apply(as_of(full, month))
@@ -192,7 +195,7 @@ def customer_products(full: DataFrame, cust_id: str, month: str, filters: Filter
             "product_name",
             labels.platform_label(F.col("product_platform")).alias("platform"),
             "vrs",
-            scoring.band(F.col("vrs")).alias("state"),
+            scoring.band(F.col("vrs"), p).alias("state"),
             *SIGNALS,
             "arr",
         )

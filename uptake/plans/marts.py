@@ -5,7 +5,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from uptake import schemas
+from uptake import register, schemas
 from uptake.functions import scoring
 from uptake.functions.numeric import SCORE, exact_sum, ratio, rnd, rnd_signed, total_where, weighted_mean
 from uptake.operators import components, contracts, staging
@@ -41,7 +41,11 @@ def time_to_value(entitlements: DataFrame, first_value: DataFrame, p: ScoreParam
 
 
 def scored_sku_months(
-    raw: Raw, p: ScoreParams = DEFAULTS, with_attributes: bool = False, from_features: bool = False
+    raw: Raw,
+    p: ScoreParams = DEFAULTS,
+    with_attributes: bool = False,
+    from_features: bool = False,
+    parameters: DataFrame | None = None,
 ) -> DataFrame:
     """Every score input and the unrounded composite, one row per SKU and month.
 
@@ -50,7 +54,8 @@ def scored_sku_months(
     SKU-months.
     The first month of value comes from the window the components need anyway.
     ``with_attributes`` adds segment and platform for parameters that depend on
-    them; ``from_features`` lets a feature event count as first value, too.
+    them; ``from_features`` lets a feature event count as first value, too. ``parameters``
+    is a resolved register: facts are folded first, then meet their SKU's side, which carries the attributes, once.
     """
     bearing = raw["features"].select("product_id").distinct().withColumn("has_features", F.lit(True))
     skus = contracts.ent_start(
@@ -58,6 +63,12 @@ def scored_sku_months(
         F.bool_or(F.coalesce("has_features", F.lit(False))).alias("has_features"),
     )
     stg, events, attributes = staging.sku_month(raw["consumption"]), raw["feature_adoption"], ()
+    if parameters is not None:
+        p = register.columns()
+        traits = register.sku_traits(raw)
+        rows = register.attach(stg.join(skus, SKU).join(traits, SKU, "left"), parameters)
+        graded = _graded(raw, parameters)
+        return _scored(components.with_history(rows, staging.feature_adoption_avg(graded), p), p, F.col("first_value_month"))
     if with_attributes:
         skus = skus.join(raw["customers"].select("cust_id", "segment"), "cust_id", "left").join(
             raw["products"].select("product_id", "product_platform"), "product_id", "left"
@@ -73,6 +84,16 @@ def scored_sku_months(
         seen = events.where(F.col("usage_events") > 0).groupBy(*SKU).agg(F.min("month").alias("first_event"))
         rows = rows.join(seen, SKU, "left")
         first = F.least("first_value_month", "first_event")
+    return _scored(rows, p, first)
+
+
+def _graded(raw: Raw, parameters: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Graded feature months under a resolved register."""
+    folded = staging.feature_events(raw["feature_adoption"])
+    return staging.grade(register.attach(folded.join(register.sku_traits(raw), SKU, "left"), parameters), raw["features"], register.columns(), keep)
+
+
+def _scored(rows: DataFrame, p: ScoreParams, first: Column) -> DataFrame:
     rows = rows.withColumn("ttv_days", F.datediff(first, "start_date"))
     rows = rows.withColumns(
         {
@@ -94,9 +115,10 @@ def scored_sku_months(
     )
 
 
-def customer_sku_month(raw: Raw, p: ScoreParams = DEFAULTS, **options: bool) -> DataFrame:
+def customer_sku_month(raw: Raw, p: ScoreParams = DEFAULTS, **options) -> DataFrame:
     """The headline mart. Flags and state read unrounded values, columns are rounded."""
-    return present(scored_sku_months(raw, p, **options), p)
+    shown = p if options.get("parameters") is None else register.columns()
+    return present(scored_sku_months(raw, p, **options), shown)
 
 
 def present(scored: DataFrame, p: ScoreParams = DEFAULTS) -> DataFrame:
@@ -135,8 +157,12 @@ def customer_sku_month_overridden(raw: Raw, overrides: list[Override], p: ScoreP
     return customer_sku_month(raw, resolve(overrides, p), with_attributes=True)
 
 
-def customer_feature_month(raw: Raw, p: ScoreParams = DEFAULTS) -> DataFrame:
-    graded = staging.feature_month(raw["feature_adoption"], raw["features"], p)
+def customer_feature_month(raw: Raw, p: ScoreParams = DEFAULTS, parameters: DataFrame | None = None) -> DataFrame:
+    if parameters is not None:
+        p = register.columns()
+        graded = _graded(raw, parameters, tuple(f"param_{n}" for n in register.NAMES))
+    else:
+        graded = staging.feature_month(raw["feature_adoption"], raw["features"], p)
     return graded.withColumn("adoption_level", scoring.adoption_level(F.col("feature_score"), p)).select(
         *schemas.FEATURE_MONTH.names
     )
@@ -145,30 +171,30 @@ def customer_feature_month(raw: Raw, p: ScoreParams = DEFAULTS) -> DataFrame:
 # ---- roll-ups -------------------------------------------------------------
 
 
-def _roll_up() -> list[Column]:
+def _roll_up(p: ScoreParams = DEFAULTS) -> list[Column]:
     vrs, arr = F.col("vrs"), F.col("arr")
     return [
         rnd(weighted_mean(vrs, arr), 1).alias("vrs_arr_weighted"),
         rnd(exact_sum(arr).cast("double"), 0).alias("total_arr"),
-        rnd(total_where(scoring.at_risk(vrs), arr), 0).alias("arr_at_risk"),
+        rnd(total_where(scoring.at_risk(vrs, p), arr), 0).alias("arr_at_risk"),
     ]
 
 
-def customer_month(sku_month: DataFrame, customers: DataFrame) -> DataFrame:
-    """Aggregated first, named second: the join moves customer-months, not SKU-months."""
+def customer_month(sku_month: DataFrame, customers: DataFrame, p: ScoreParams = DEFAULTS) -> DataFrame:
+    """Aggregated first, named second: the join moves customer-months, not SKU-months. ``p`` may read columns of ``sku_month``."""
     plain = ratio(exact_sum(F.col("vrs"), SCORE), F.count("vrs"))
     return (
         sku_month.groupBy("cust_id", "month")
-        .agg(*_roll_up(), rnd(plain, 1).alias("vrs_simple_avg"), F.count("*").alias("skus"))
+        .agg(*_roll_up(p), rnd(plain, 1).alias("vrs_simple_avg"), F.count("*").alias("skus"))
         .join(customers, "cust_id")
         .select(*schemas.CUSTOMER_MONTH.names)
     )
 
 
-def product_month(sku_month: DataFrame, products: DataFrame) -> DataFrame:
+def product_month(sku_month: DataFrame, products: DataFrame, p: ScoreParams = DEFAULTS) -> DataFrame:
     return (
         sku_month.groupBy("product_id", "month")
-        .agg(*_roll_up(), F.countDistinct("cust_id").alias("customers"))
+        .agg(*_roll_up(p), F.countDistinct("cust_id").alias("customers"))
         .join(products, "product_id")
         .select(*schemas.PRODUCT_MONTH.names)
     )

@@ -13,6 +13,7 @@ from uptake.functions import labels, scoring
 from uptake.functions.calendar import day, month_text
 from uptake.functions.numeric import MONEY, SCORE, headline_score, ratio, rnd, rnd_signed, total, total_where, weighted_mean
 from uptake.operators.filters import EVERYTHING, Filters, as_of
+from uptake.params import DEFAULTS, ScoreParams
 
 SNAPSHOT_COLUMNS = [
     "cust_id",
@@ -79,15 +80,15 @@ def portfolio_trend(full: DataFrame, filters: Filters = EVERYTHING) -> DataFrame
     return filters.apply(full).groupBy("month").agg(score.alias("vrs")).orderBy("month")
 
 
-def risk_trend(full: DataFrame, filters: Filters = EVERYTHING) -> DataFrame:
-    lost = total_where(scoring.at_risk(F.col("vrs")), F.col("arr"))
+def risk_trend(full: DataFrame, filters: Filters = EVERYTHING, p: ScoreParams = DEFAULTS) -> DataFrame:
+    lost = total_where(scoring.at_risk(F.col("vrs"), p), F.col("arr"))
     return filters.apply(full).groupBy("month").agg(lost.alias("arr_at_risk")).orderBy("month")
 
 
-def band_trend(full: DataFrame, filters: Filters = EVERYTHING) -> DataFrame:
+def band_trend(full: DataFrame, filters: Filters = EVERYTHING, p: ScoreParams = DEFAULTS) -> DataFrame:
     return (
         filters.apply(full)
-        .groupBy("month", scoring.band(F.col("vrs")).alias("band"))
+        .groupBy("month", scoring.band(F.col("vrs"), p).alias("band"))
         .agg(total(F.col("arr")).alias("arr"))
         .orderBy("month", "band")
     )
@@ -107,13 +108,15 @@ KPIS = {
 }
 
 
-def kpis_by_month(full: DataFrame, filters: Filters = EVERYTHING) -> DataFrame:
+def kpis_by_month(full: DataFrame, filters: Filters = EVERYTHING, p: ScoreParams = DEFAULTS) -> DataFrame:
     """The eight headline figures per month, through one row per customer and month.
 
+    ``p`` may read columns of ``full`` and holds for rows; a customer's own score is judged by the default limit.
+
     Sums stay decimal between the two levels, so the detour changes no digit.
     """
     vrs, arr = F.col("vrs").cast(SCORE), F.col("arr").cast(MONEY)
-    risky = scoring.at_risk(F.col("vrs"))
+    risky = scoring.at_risk(F.col("vrs"), p)
     expanding = F.coalesce(F.col("flag_expansion"), F.lit(False))
     accounts = (
         filters.apply(full)
@@ -145,8 +148,8 @@ def kpis_by_month(full: DataFrame, filters: Filters = EVERYTHING) -> DataFrame:
     )
 
 
-def portfolio_kpis(full: DataFrame, month: str, filters: Filters = EVERYTHING) -> DataFrame:
-    return kpis_by_month(as_of(full, month), filters).drop("month")
+def portfolio_kpis(full: DataFrame, month: str, filters: Filters = EVERYTHING, p: ScoreParams = DEFAULTS) -> DataFrame:
+    return kpis_by_month(as_of(full, month), filters, p).drop("month")
 
 
 def at_risk_share(full: DataFrame, filters: Filters = EVERYTHING) -> DataFrame:
@@ -177,9 +180,9 @@ def kpi_movement(full: DataFrame, filters: Filters = EVERYTHING, known: DataFram
 # ---- bands ----------------------------------------------------------------
 
 
-def _band_sums() -> list[Column]:
+def _band_sums(p: ScoreParams = DEFAULTS) -> list[Column]:
     """Revenue per band as one column each; absent bands are 0."""
-    band = scoring.band(F.col("vrs"))
+    band = scoring.band(F.col("vrs"), p)
     return [total_where(band == name, F.col("arr")).alias(column) for name, column in BAND_COLUMNS.items()]
 
 
@@ -190,9 +193,9 @@ def _all_bands() -> Column:
     return first
 
 
-def band_mix(full: DataFrame, month: str, filters: Filters = EVERYTHING) -> DataFrame:
+def band_mix(full: DataFrame, month: str, filters: Filters = EVERYTHING, p: ScoreParams = DEFAULTS) -> DataFrame:
     """Revenue and share per band; always four rows."""
-    sums = filters.apply(as_of(full, month)).agg(*_band_sums()).withColumn("all", _all_bands())
+    sums = filters.apply(as_of(full, month)).agg(*_band_sums(p)).withColumn("all", _all_bands())
     rows = [
         F.struct(
             F.lit(i + 1).alias("position"),

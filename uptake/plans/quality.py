@@ -14,12 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from uptake import schemas
+from uptake import register, schemas
 from uptake import vocabulary as v
 from uptake.functions.calendar import day
-from uptake.functions.numeric import MONEY, SCORE, exact_mean, exact_sum
+from uptake.functions.numeric import MONEY, SCORE, exact_mean, exact_sum, rnd
 from uptake.operators.contracts import licensed_by_month, overlap_pairs
 from uptake.operators.staging import SKU_MONTH, sku_month
+from uptake.params import DEFAULTS, ScoreParams, as_column
 
 OVERAGE = 1.2
 RISK_STATES = (v.CHURN, v.SHELFWARE, v.LAPSED, v.STALL)
@@ -204,10 +205,11 @@ def _account_checks(raw: Mapping[str, DataFrame], mart: DataFrame, e: Expectatio
     return [_measured(accounts, measures), _one(overlap_pairs(raw["entitlements"]), 11, pairs)]
 
 
-def _mart_checks(mart: DataFrame, e: Expectations) -> list[DataFrame]:
+def _mart_checks(mart: DataFrame, e: Expectations, p: ScoreParams = DEFAULTS) -> list[DataFrame]:
     lur, health, vrs = F.col("lur"), F.col("util_health"), F.col("vrs")
     speed, days = F.col("ttv_score"), F.col("ttv_days")
     partial = (speed > 0) & (speed < 1)
+    over = lur > as_column(p.overage_above)
 
     def outside(name: str) -> Column:
         # NULL components (grace, no features) are inside by definition.
@@ -222,10 +224,10 @@ def _mart_checks(mart: DataFrame, e: Expectations) -> list[DataFrame]:
         6: F.count_if((vrs < 0) | (vrs > 100)),
         7: F.count_if(strays),
         20: F.coalesce(F.max(F.when(partial, 1)), F.lit(0)),
-        29: F.count_if((lur < 0.10) & (health != 0)),
-        30: F.count_if((lur > 1.2) & ((health != 0.8) | ~F.col("flag_expansion"))),
-        31: F.count_if((lur >= 1.0) & (lur <= 1.2) & (health != 1.0)),
-        32: F.count_if(partial & ((days < 31) | (days > 90))),
+        29: F.count_if((lur < as_column(p.use_floor)) & (health != 0)),
+        30: F.count_if(over & ((health != rnd(as_column(p.overage_score), 3)) | ~F.col("flag_expansion"))),
+        31: F.count_if((lur >= as_column(p.full_from)) & ~over & (health != rnd(as_column(p.full_score), 3))),
+        32: F.count_if(partial & ((days <= as_column(p.fast_days)) | (days > as_column(p.slow_days)))),
         33: F.count("*"),
         34: _off(exact_sum(vrs, SCORE), e.vrs_sum, e.vrs_tolerance),
         35: _off(F.sum(F.when(latest, arr)), e.latest_arr_sum, e.arr_tolerance),
@@ -266,8 +268,18 @@ def report(
     mart: DataFrame,
     e: Expectations = Expectations(),
     stored: Mapping[str, Sequence[StructType]] | None = None,
+    p: ScoreParams = DEFAULTS,
+    parameters: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per assertion: cat, test, val, expect, result, in a fixed order. ``stored`` as in ``schema_checks``."""
+    """One row per assertion: cat, test, val, expect, result, in a fixed order. ``stored`` as in ``schema_checks``.
+
+    The rules' own assertions hold the mart against ``p``, or against the resolved register it was built with.
+    """
+    judged = mart
+    if parameters is not None:
+        people, things = raw["customers"].select("cust_id", "segment"), raw["products"].select("product_id", "product_platform")
+        named = mart.join(people, "cust_id", "left").join(things, "product_id", "left")
+        judged, p = register.attach(named, parameters), register.columns()
     matches = [
         F.struct(F.lit(number).alias("ord"), F.lit(n).cast("long").alias("val"))
         for number, n in schema_checks(raw, mart, stored).items()
@@ -275,7 +287,7 @@ def report(
     measured = [
         *_consumption_checks(raw),
         *_account_checks(raw, mart, e),
-        *_mart_checks(mart, e),
+        *_mart_checks(judged, e, p),
         mart.sparkSession.range(1).select(F.inline(F.array(*matches))),
     ]
     checks = F.array(
