@@ -160,6 +160,20 @@ DQ_SQL = "SELECT *, CASE WHEN val = expect THEN 'PASS' ELSE 'FAIL' END AS result
     for cat, test, expect, sql in DQ
 ) + ")"
 
+# ---- carried state --------------------------------------------------------
+
+
+def state_sql(through: str) -> str:
+    """The last rows of every SKU by number, found by self joins."""
+    return f"""SELECT * FROM (WITH past AS (SELECT *, row_number() OVER (PARTITION BY cust_id, product_id ORDER BY month DESC) AS n,
+       (lur >= 0.1e0)::INTEGER AS active FROM m_sku WHERE month <= {through})
+SELECT a.cust_id, a.product_id, a.lur AS lur1, b.lur AS lur2, c.lur AS lur3, a.active AS active1, b.active AS active2,
+       (SELECT max(active) FROM past x WHERE x.cust_id = a.cust_id AND x.product_id = a.product_id) AS ever_active,
+       (SELECT min(month) FROM past x WHERE x.cust_id = a.cust_id AND x.product_id = a.product_id AND active = 1) AS first_value_month
+FROM past a LEFT JOIN past b ON b.cust_id = a.cust_id AND b.product_id = a.product_id AND b.n = 2
+LEFT JOIN past c ON c.cust_id = a.cust_id AND c.product_id = a.product_id AND c.n = 3 WHERE a.n = 1)"""
+
+
 # ---- the register ---------------------------------------------------------
 
 RULED = {
@@ -298,6 +312,11 @@ FROM m_mart JOIN src_customers USING (cust_id) GROUP BY cust_id, cust_name, segm
     "mart_product_month": f"""SELECT product_id, product_name, product_platform, month, {_ROLL},
        count(DISTINCT cust_id) AS customers
 FROM m_mart JOIN src_products USING (product_id) GROUP BY product_id, product_name, product_platform, month""",
+    "sku_state": state_sql("DATE '2026-05-01'"),
+    "sku_state_advanced": state_sql("DATE '2026-06-01'"),
+    "mart_month_append": "SELECT * FROM m_mart WHERE month = DATE '2026-06-01'",
+    "mart_month_restated": """SELECT m.* FROM m_mart m JOIN m_first f USING (cust_id, product_id)
+WHERE f.first_value_month = DATE '2026-06-01' AND m.month < DATE '2026-06-01'""",
     "mart_sku_month_full": "SELECT * FROM m_full",
     "mart_feature_full": """SELECT cust_id, product_id, feature_name, month, usage_events, feature_score,
        CASE WHEN feature_score = 0 THEN 'not_enabled' WHEN feature_score < 0.5e0 THEN 'enabled_idle'

@@ -15,13 +15,14 @@ from uptake.operators import components, contracts, keys, staging, volumes
 from uptake.operators.filters import Filters
 from uptake.params import HARSH_OVERAGE, Override
 from uptake.register import Rule
-from uptake.plans import customers, extensions, marts, portfolio, products, quality
+from uptake.plans import customers, extensions, marts, monthly, portfolio, products, quality
 from uptake.sources.shared import fresh_folder
 from uptake.sources.star import FIRST_MONTH, FROM_USAGE, LAST_MONTH, Star
 from uptake.sources.store import Store
 from uptake.sources.tables import conform, read_csv, write_csv
 
 AS_OF = LAST_MONTH
+MONTH_BEFORE = "2026-05-01"
 SOME = Filters(segments=("Enterprise",), regions=("ASIA", "EUROPE", "AMERICA"), platforms=("hardware_ngfw", "sase"))
 SOME_PLATFORMS = Filters(platforms=("hardware_ngfw", "sase"))
 CUSTOMER, PRODUCT = "C2", "P71726adf"
@@ -88,6 +89,11 @@ class Workspace:
     def calendar(self) -> DataFrame:
         return self.store.table("mart_calendar", lambda: portfolio.calendar(self.full), schemas.CALENDAR)
 
+    @property
+    def state(self) -> DataFrame:
+        """What the month before the last one carries over."""
+        return self.store.table("sku_state", lambda: monthly.state_through(self.raw, MONTH_BEFORE), monthly.STATE)
+
     @property
     def parameters(self) -> DataFrame:
         """The register resolved for every cell, stored beside the marts built with it."""
@@ -222,6 +228,11 @@ QUERIES: dict[str, Query] = {
     # marts, computed from the source tables
     "mart_customer_sku_month": lambda w: marts.customer_sku_month(w.raw),
     "mart_customer_feature_month": lambda w: marts.customer_feature_month(w.raw),
+    # the last month from carried state
+    "sku_state": lambda w: w.state,
+    "sku_state_advanced": lambda w: monthly.advance(w.state, w.raw, LAST_MONTH),
+    "mart_month_append": lambda w: monthly.month_rows(w.state, w.raw, LAST_MONTH),
+    "mart_month_restated": lambda w: monthly.restated(w.raw, monthly.first_valued(w.state, w.raw, LAST_MONTH), LAST_MONTH),
     # roll-ups and denormalised forms, read from the written mart
     "mart_customer_month": lambda w: marts.customer_month(w.sku, w.source("customers")),
     "mart_product_month": lambda w: marts.product_month(w.sku, w.source("products")),

@@ -1,6 +1,7 @@
 """Jobs for spark-submit.
 
     spark-submit --py-files uptake.zip uptake/jobs.py build SOURCE TARGET [--format csv] [--months M ...] [--export DIR] [--params FILE]
+    spark-submit --py-files uptake.zip uptake/jobs.py append SOURCE TARGET --month M [--format csv]
     spark-submit --py-files uptake.zip uptake/jobs.py check SOURCE TARGET [--format csv] [--expect FILE] [--against DIR]
 
 The same works as ``python -m uptake.jobs``.
@@ -12,16 +13,18 @@ with an exported copy only warns. The FILE of ``--expect`` is JSON with fields o
 """
 
 import argparse
+import datetime as dt
 import json
 import sys
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from uptake import register, schemas
 from uptake.params import DEFAULTS, ScoreParams
-from uptake.plans import marts, portfolio, quality
+from uptake.plans import marts, monthly, portfolio, quality
 from uptake.sources import tables
 
 EXPORTS = ("mart_sku_month_full", "mart_feature_full")
@@ -70,6 +73,47 @@ def build(
     write("mart_feature_full", marts.feature_full(feature))
 
 
+def append(spark: SparkSession, raw: dict[str, DataFrame], target: str, month: str, p: ScoreParams = DEFAULTS) -> None:
+    """Adds ``month`` to a built SKU mart from the state the month before left, and stores the state after it.
+
+    Facts are read for that month alone. Where a SKU's first value falls into the month, its earlier rows
+    are replaced by restated ones. Appending a month again, after a correction, gives the same as a full build up to
+    it; the months after it have to follow. Roll-ups are not touched.
+    """
+    before = _state_before(spark, raw, target, month, p)
+    name = "mart_customer_sku_month"
+    schema = schemas.MARTS[name]
+    fresh = tables.conform(monthly.month_rows(before, raw, month, p), schema)
+    tables.write_by_month(fresh, f"{target}/{name}", [month])
+    tables.write_table(tables.conform(monthly.advance(before, raw, month, p), monthly.STATE), _state_path(target, month))
+    again = monthly.first_valued(before, raw, month, p)
+    changed = tables.conform(monthly.restated(raw, again, month, p), schema)
+    months = [str(r.month) for r in changed.select("month").distinct().collect()]
+    if months:
+        old = mart(spark, target, name).where(F.col("month").isin([dt.date.fromisoformat(m) for m in months]))
+        kept = old.join(again, ["cust_id", "product_id"], "left_anti")
+        staged = f"{target}/restated/{month}"
+        tables.write_table(tables.conform(kept.unionByName(changed), schema), staged)
+        tables.write_by_month(tables.read_parquet(spark, staged, schema), f"{target}/{name}", months)
+
+
+def _state_path(target: str, month: str) -> str:
+    return f"{target}/sku_state/{month}"
+
+
+def _state_before(spark: SparkSession, raw: dict[str, DataFrame], target: str, month: str, p: ScoreParams) -> DataFrame:
+    """The stored state of the calendar month before ``month``; made from history, once, where none is stored."""
+    earlier = str((dt.date.fromisoformat(month).replace(day=1) - dt.timedelta(days=1)).replace(day=1))
+    path = _state_path(target, earlier)
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        tables.write_table(tables.conform(monthly.state_through(raw, earlier, p), monthly.STATE), path)
+    return tables.read_parquet(spark, path, monthly.STATE)
+
+
 def export(spark: SparkSession, target: str, folder: str) -> None:
     """CSV copies of the two denormalised marts."""
     for name in EXPORTS:
@@ -117,7 +161,7 @@ def check(
 def _arguments(argv: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="uptake.jobs")
     jobs = parser.add_subparsers(dest="job", required=True)
-    for name in ("build", "check"):
+    for name in ("build", "append", "check"):
         job = jobs.add_parser(name)
         job.add_argument("source")
         job.add_argument("target")
@@ -126,6 +170,8 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
             job.add_argument("--months", nargs="+")
             job.add_argument("--export")
             job.add_argument("--params")
+        elif name == "append":
+            job.add_argument("--month", required=True)
         else:
             job.add_argument("--expect")
             job.add_argument("--against")
@@ -136,13 +182,16 @@ def main(argv: list[str]) -> int:
     args = _arguments(argv)
     spark = SparkSession.builder.appName(f"uptake {args.job}").getOrCreate()
     # A missing column ends a build; the check goes on and reports it.
-    raw = tables.read_raw(spark, args.source, args.format, strict=args.job == "build")
+    raw = tables.read_raw(spark, args.source, args.format, strict=args.job != "check")
     if args.job == "build":
         rules = register.read_rules(spark, args.params) if args.params else None
         build(spark, raw, args.target, args.months, rules=rules)
         if args.export:
             export(spark, args.target, args.export)
         return 0
+    if args.job == "append":
+        append(spark, raw, args.target, args.month)
+        return 0
     expect = quality.Expectations()
     if args.expect:
         text = "\n".join(r.value for r in spark.read.text(args.expect, wholetext=True).collect())

@@ -40,6 +40,15 @@ def time_to_value(entitlements: DataFrame, first_value: DataFrame, p: ScoreParam
 # ---- headline mart --------------------------------------------------------
 
 
+def sku_side(raw: Raw) -> DataFrame:
+    """What contracts and features say of a SKU: its start, revenue and whether it has features."""
+    bearing = raw["features"].select("product_id").distinct().withColumn("has_features", F.lit(True))
+    return contracts.ent_start(
+        raw["entitlements"].join(bearing, "product_id", "left"),
+        F.bool_or(F.coalesce("has_features", F.lit(False))).alias("has_features"),
+    )
+
+
 def scored_sku_months(
     raw: Raw,
     p: ScoreParams = DEFAULTS,
@@ -57,18 +66,14 @@ def scored_sku_months(
     them; ``from_features`` lets a feature event count as first value, too. ``parameters``
     is a resolved register: facts are folded first, then meet their SKU's side, which carries the attributes, once.
     """
-    bearing = raw["features"].select("product_id").distinct().withColumn("has_features", F.lit(True))
-    skus = contracts.ent_start(
-        raw["entitlements"].join(bearing, "product_id", "left"),
-        F.bool_or(F.coalesce("has_features", F.lit(False))).alias("has_features"),
-    )
+    skus = sku_side(raw)
     stg, events, attributes = staging.sku_month(raw["consumption"]), raw["feature_adoption"], ()
     if parameters is not None:
         p = register.columns()
         traits = register.sku_traits(raw)
         rows = register.attach(stg.join(skus, SKU).join(traits, SKU, "left"), parameters)
         graded = _graded(raw, parameters)
-        return _scored(components.with_history(rows, staging.feature_adoption_avg(graded), p), p, F.col("first_value_month"))
+        return scored(components.with_history(rows, staging.feature_adoption_avg(graded), p), p, F.col("first_value_month"))
     if with_attributes:
         skus = skus.join(raw["customers"].select("cust_id", "segment"), "cust_id", "left").join(
             raw["products"].select("product_id", "product_platform"), "product_id", "left"
@@ -84,7 +89,7 @@ def scored_sku_months(
         seen = events.where(F.col("usage_events") > 0).groupBy(*SKU).agg(F.min("month").alias("first_event"))
         rows = rows.join(seen, SKU, "left")
         first = F.least("first_value_month", "first_event")
-    return _scored(rows, p, first)
+    return scored(rows, p, first)
 
 
 def _graded(raw: Raw, parameters: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -93,7 +98,8 @@ def _graded(raw: Raw, parameters: DataFrame, keep: tuple[str, ...] = ()) -> Data
     return staging.grade(register.attach(folded.join(register.sku_traits(raw), SKU, "left"), parameters), raw["features"], register.columns(), keep)
 
 
-def _scored(rows: DataFrame, p: ScoreParams, first: Column) -> DataFrame:
+def scored(rows: DataFrame, p: ScoreParams, first: Column) -> DataFrame:
+    """Days to the month ``first``, grace and the composite, added to rows that have the other components."""
     rows = rows.withColumn("ttv_days", F.datediff(first, "start_date"))
     rows = rows.withColumns(
         {
