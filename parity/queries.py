@@ -22,7 +22,7 @@ from parity.base import (
     rs,
     total,
 )
-from uptake.catalog import AS_OF, CUSTOMER, MODEL as MODEL_CHOSEN, PLATFORM, PRODUCT, SOME
+from uptake.catalog import AS_OF, CUSTOMER, MODEL as MODEL_CHOSEN, MONTH_BEFORE as MONTH_BEFORE_DAY, OTHER, PLATFORM, PRODUCT, SOME
 from uptake.params import HARSH_OVERAGE, SMOOTH_ACTIVATION
 from uptake.schemas import RAW, SKU_MONTH_ASSERTED
 
@@ -291,6 +291,10 @@ _ANOMALY_TEXT = """CASE WHEN shelfware_accounts + drop_accounts + overage_accoun
          CASE WHEN overage_accounts > 0 THEN overage_accounts || ' overage' END) END"""
 _MD5 = "('0x' || substr(md5({k}), 1, 8))::BIGINT"
 
+_CHANGED = f"""SELECT cust_id, product_id, month, 1::BIGINT AS left_n, CASE WHEN cust_id = '{CUSTOMER}' THEN 1::BIGINT END AS right_n,
+       CASE WHEN cust_id = '{CUSTOMER}' THEN 'differs' ELSE 'left only' END AS kind
+FROM m_full WHERE cust_id = '{CUSTOMER}' AND {AT} AND vrs IS NOT NULL OR cust_id = '{OTHER}' AND month = DATE '{MONTH_BEFORE_DAY}'"""
+
 SELECTS = {
     "stg_sku_month": "SELECT * FROM m_sku",
     "stg_feature_month": "SELECT * FROM m_feature",
@@ -394,6 +398,12 @@ GROUP BY cust_id, cust_name, segment, region ORDER BY 6, 1""",
        unnest([n, v, a]) AS left_value, unnest([0e0, 2e0, 5e0]) AS tolerance, unnest([n, v, a]) AS right_value,
        'OK' AS verdict
 FROM (SELECT count(*)::DOUBLE AS n, sum(vrs::DECIMAL(5,1))::DOUBLE AS v, sum(arr::DECIMAL(18,2))::DOUBLE AS a FROM m_mart)""",
+    "export_parity": """SELECT count(*) AS left_rows, count(*) AS right_rows, 0::BIGINT AS keys, 0::BIGINT AS customers,
+       'OK' AS verdict FROM m_full""",
+    "changed_export_parity": f"""SELECT (SELECT count(*) FROM m_full) AS left_rows,
+       (SELECT count(*) FROM m_full) - count(*) FILTER (kind = 'left only') AS right_rows, count(*) AS keys,
+       count(DISTINCT cust_id) AS customers, 'WARNING' AS verdict FROM ({_CHANGED})""",
+    "changed_export_keys": _CHANGED,
     "source_profile": "\nUNION ALL ".join(
         [f"SELECT 'rows {name}' AS metric, count(*) AS value FROM src_{name}" for name in RAW]
         + [

@@ -1,5 +1,6 @@
 """Contract calendar, overlaps, ids, cohorts and volumes, against brute force."""
 
+import hashlib
 import itertools
 import random
 import statistics
@@ -166,3 +167,17 @@ def test_expected_volume_is_the_median(spark):
 def test_thresholds_are_a_fifth_and_four_fifths(spark):
     row = spark.range(1).select(*volumes.feature_thresholds(F.lit(803.0))).first()
     assert (row.meaningful_floor_events, row.deep_threshold_events) == (161, 642)
+
+
+def test_cohorts_sort_only_where_a_quota_ends(spark, capsys):
+    df = spark.range(3000).select(F.concat(F.lit("c"), "id").alias("cust_id"), (F.col("id") % 7).alias("other"))
+    quotas = {"a": 1000, "b": 1, "none": 0, "c": 1500}
+    got = keys.quota_cohort(df, "cust_id", quotas, "rest", seed="s")
+    assert got.columns == ["cust_id", "other", "cohort"]
+    order = sorted((r.cust_id for r in df.collect()), key=lambda c: (int(hashlib.md5(f"s{c}".encode()).hexdigest()[:8], 16), c))
+    want = dict(zip(order, ["a"] * 1000 + ["b"] + ["c"] * 1500 + ["rest"] * 499, strict=True))
+    assert {r.cust_id: r.cohort for r in got.collect()} == want
+    assert keys.quota_cohort(df, "cust_id", {"all": 5000}, "rest").where("cohort = 'all'").count() == 3000
+    got.explain()
+    plan = capsys.readouterr().out
+    assert "rangepartitioning" not in plan and "FileScan" not in plan

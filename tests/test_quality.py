@@ -176,3 +176,22 @@ def test_profile(sound):
     assert got["rows consumption"] == 78
     assert got["label normal"] == 2
     assert (got["accounts without use"], got["accounts above 1.2 on average"], got["overlapping contract pairs"]) == (1, 1, 1)
+
+
+def test_differences_name_their_keys(spark):
+    left = marts.customer_sku_month(sound_book(spark).raw()).persist()
+    assert quality.build_differences(left, left.repartition(3)).count() == 0
+    assert [tuple(r) for r in quality.difference_report(left, left).select("keys", "verdict").collect()] == [(0, "OK")]
+    row = left.orderBy("cust_id", "product_id", "month").first()
+    at = (F.col("cust_id") == row.cust_id) & (F.col("product_id") == row.product_id) & (F.col("month") == F.lit(row.month))
+    key = (row.cust_id, row.product_id, row.month)
+    cases = {
+        "differs": (left.withColumn("arr", F.when(at, F.col("arr") + 1).otherwise(F.col("arr"))), (1, 1)),
+        "left only": (left.where(~at), (1, None)),
+    }
+    for kind, (right, n) in cases.items():
+        assert [tuple(r) for r in quality.build_differences(left, right).collect()] == [(*key, *n, kind)]
+    assert [r.kind for r in quality.build_differences(left.where(~at), left).collect()] == ["right only"]
+    twice = quality.build_differences(left, left.unionByName(left.where(at))).collect()
+    assert [(r.left_n, r.right_n, r.kind) for r in twice] == [(1, 2, "differs")]
+    assert quality.difference_report(left, cases["differs"][0]).first().verdict == "WARNING"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from uptake import register, schemas
+from uptake.functions.calendar import day
 from uptake.functions.numeric import rnd
 from uptake.operators import components, contracts, keys, staging, volumes
 from uptake.operators.filters import Filters
@@ -26,6 +27,7 @@ MONTH_BEFORE = "2026-05-01"
 SOME = Filters(segments=("Enterprise",), regions=("ASIA", "EUROPE", "AMERICA"), platforms=("hardware_ngfw", "sase"))
 SOME_PLATFORMS = Filters(platforms=("hardware_ngfw", "sase"))
 CUSTOMER, PRODUCT = "C2", "P71726adf"
+OTHER = "C3"
 PLATFORM, MODEL = "sase", "MEDIUM"
 COHORTS = {"pilot": 3, "control": 4}
 OVERRIDES = [
@@ -205,6 +207,13 @@ def _contract_features(w: Workspace) -> DataFrame:
     return pairs.select("entitlement_id", "product_id", "feature_id")
 
 
+def _changed(full: DataFrame) -> DataFrame:
+    """A copy of the mart in which one customer's last scores are higher and another one lacks a month."""
+    higher = (F.col("cust_id") == CUSTOMER) & (F.col("month") == day(AS_OF))
+    rows = full.where(~((F.col("cust_id") == OTHER) & (F.col("month") == day(MONTH_BEFORE))))
+    return rows.withColumn("vrs", F.when(higher, F.col("vrs") + 1.0).otherwise(F.col("vrs")))
+
+
 def _through_csv(df: DataFrame, name: str) -> DataFrame:
     path = fresh_folder(df.sparkSession, name)
     write_csv(df, path)
@@ -276,6 +285,9 @@ QUERIES: dict[str, Query] = {
     "source_reconciliation": lambda w: w.star.reconciliation(w.source("consumption"), w.source("feature_adoption")),
     "dq_report": lambda w: quality.report(w.raw, w.sku, stored=w.stored()),
     "build_parity": lambda w: quality.build_parity(w.sku, marts.customer_sku_month(w.raw)),
+    "export_parity": lambda w: quality.difference_report(w.full, _through_csv(w.full, "sku-full-copy")),
+    "changed_export_parity": lambda w: quality.difference_report(w.full, _through_csv(_changed(w.full), "sku-full-changed")),
+    "changed_export_keys": lambda w: quality.build_differences(w.full, _through_csv(_changed(w.full), "sku-full-changed")),
     "source_profile": lambda w: quality.source_profile(w.raw),
     "overlap_pairs": lambda w: contracts.overlap_pairs(w.source("entitlements")),
     # exported copies, read back

@@ -29,6 +29,8 @@ from uptake.sources import tables
 
 EXPORTS = ("mart_sku_month_full", "mart_feature_full")
 PARAMETERS = "mart_parameters"
+#: So many keys that differ from an exported copy are printed.
+NAMED = 50
 
 
 def mart(spark: SparkSession, target: str, name: str) -> DataFrame:
@@ -155,6 +157,9 @@ def check(
         copy = tables.read_csv(spark, f"{against}/{EXPORTS[0]}", schemas.MARTS[EXPORTS[0]])
         for r in quality.build_parity(sku, copy).collect():  # 3 rows
             print(f"{r['verdict']:<8} {r['check']}: {r['left_value']:,.1f} / {r['right_value']:,.1f}")
+        full = mart(spark, target, EXPORTS[0])
+        for r in quality.build_differences(full, copy).orderBy("cust_id", "product_id", "month").limit(NAMED).collect():
+            print(f"WARNING  {r['kind']}: {r['cust_id']} {r['product_id']} {r['month']}")
     return 1 if failed else 0
 
 

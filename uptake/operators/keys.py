@@ -74,16 +74,38 @@ def surrogate_key(df: DataFrame, order: list[str | Column], name: str, pattern:
     return ranked.withColumn(name, F.format_string(pattern, "_rank")).drop("_rank")
 
 
+#: The high bits of the 32-bit hash, by which rows are counted.
+_RADIX_BITS = 16
+
+
 def quota_cohort(
     keys: DataFrame, key: str, quotas: Mapping[str, int], rest: str, name: str = "cohort", seed: str = ""
 ) -> DataFrame:
-    """Cohorts of exact sizes by rank of a hash; what is left over gets ``rest``."""
+    """Cohorts of exact sizes by rank of a hash; what is left over gets ``rest``. Keys are meant to be unique.
+
+    Selection by radix: a histogram of the hash's high bits, at most 65,536 rows, tells how many rows lie before each of
+    its buckets. Wherever no quota ends inside a bucket, all its rows belong to one cohort and are labelled as they are
+    read; only rows of the few buckets in which a quota ends are sorted. Nothing is written and the bulk of the rows never moves.
+    """
     hashed = keys.withColumn("_hash", portable_hash(F.concat(F.lit(seed), F.col(key).cast("string"))))
-    ranked = dense_rank_rows(hashed, ["_hash", key], "_rank")
-    label, upper = None, 0
+    hashed = hashed.withColumn("_radix", F.shiftright("_hash", 32 - _RADIX_BITS))
+    label, ends, upper = None, [], 0
     for cohort, size in quotas.items():
         upper += size
+        ends.append(upper)
         test = F.col("_rank") <= upper
         label = F.when(test, cohort) if label is None else label.when(test, cohort)
-    chosen = F.lit(rest) if label is None else label.otherwise(rest)
-    return ranked.withColumn(name, chosen).drop("_hash", "_rank")
+    chosen = (F.lit(rest) if label is None else label.otherwise(rest)).alias(name)
+    counts = hashed.groupBy("_radix").agg(F.count("*").alias("_n"))
+    running = Window.orderBy("_radix").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.select("_radix", "_n", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before"))
+    cut = F.lit(False)
+    for end in ends:
+        cut |= (F.col("_before") < end) & (F.lit(end) < F.col("_before") + F.col("_n"))
+    placed = placed.select(F.col("_radix").alias("_bucket"), "_before", cut.alias("_cut"))
+    of_rows = hashed.join(placed, F.col("_radix").eqNullSafe(F.col("_bucket")))
+    others = [f.name for f in keys.schema if isinstance(f.dataType, AtomicType) and f.name != key]
+    inside = F.row_number().over(Window.partitionBy("_radix").orderBy("_hash", key, *others))
+    whole = of_rows.where(~F.col("_cut")).withColumn("_rank", F.col("_before") + 1)
+    sorted_rows = of_rows.where("_cut").withColumn("_rank", F.col("_before") + inside)
+    return whole.unionByName(sorted_rows).select(*keys.columns, chosen)

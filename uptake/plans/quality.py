@@ -361,6 +361,53 @@ def build_parity(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+#: Customers are dealt into so many parts a month when two builds are compared.
+PARTS = 1024
+
+
+def _hashed(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    part = F.pmod(F.xxhash64("cust_id"), F.lit(PARTS)).cast("int")
+    return df.select(*keys, part.alias("part"), F.xxhash64(*names).cast("decimal(20,0)").alias("hash"))
+
+
+def _sums(rows: DataFrame, by: Sequence[str], side: str) -> DataFrame:
+    """Number and sum of hashes, which do not depend on the order of rows."""
+    return rows.groupBy(*by).agg(F.count("*").alias(f"{side}_n"), F.sum("hash").alias(f"{side}_sum"))
+
+
+def _unequal(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    other = right.withColumnsRenamed({c: f"right_{c}" for c in by})
+    pairs = [F.col(c).eqNullSafe(F.col(f"right_{c}")) for c in by]
+    joined = left.join(other, reduce(Column.__and__, pairs), "full")
+    same = F.col("left_n").eqNullSafe(F.col("right_n")) & F.col("left_sum").eqNullSafe(F.col("right_sum"))
+    named = [F.coalesce(c, f"right_{c}").alias(c) for c in by]
+    return joined.where(~same).select(*named, "left_n", "right_n")
+
+
+def build_differences(left: DataFrame, right: DataFrame, keys: Sequence[str] = tuple(SKU_MONTH)) -> DataFrame:
+    """The keys at which two builds differ, with the number of rows on each side and ``kind``.
+
+    Both builds are folded to one hash a month and part of the customers. Parts that agree are never joined; of the
+    others, only the rows are compared key by key. Columns are those both builds have, by name.
+    """
+    names = sorted(set(left.columns) & set(right.columns))
+    one, two = _hashed(left, keys, names), _hashed(right, keys, names)
+    at = ["month", "part"]
+    parts = _unequal(_sums(one, at, "left"), _sums(two, at, "right"), at).select(*[F.col(c).alias(f"odd_{c}") for c in at])
+    odd = F.col("month").eqNullSafe(F.col("odd_month")) & F.col("part").eqNullSafe(F.col("odd_part"))
+    sides = [_sums(rows.join(parts, odd, "left_semi"), keys, side) for rows, side in ((one, "left"), (two, "right"))]
+    kind = F.when(F.col("right_n").isNull(), "left only").when(F.col("left_n").isNull(), "right only").otherwise("differs")
+    return _unequal(*sides, keys).select(*keys, "left_n", "right_n", kind.alias("kind"))
+
+
+def difference_report(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row: the rows of both builds, the keys and customers that differ, and the verdict. Advisory only."""
+    found = build_differences(left, right).agg(F.count("*").alias("keys"), F.countDistinct("cust_id").alias("customers"))
+    rows = left.agg(F.count("*").alias("left_rows")).join(right.agg(F.count("*").alias("right_rows")), F.lit(True))
+    verdict = F.when(F.col("keys") == 0, "OK").otherwise("WARNING").alias("verdict")
+    return rows.join(found, F.lit(True)).select("left_rows", "right_rows", "keys", "customers", verdict)
+
+
 # ---- profile of the source tables -----------------------------------------
 
 
