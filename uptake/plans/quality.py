@@ -403,9 +403,9 @@ def build_differences(left: DataFrame, right: DataFrame, keys: Sequence[str] = t
 def difference_report(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: the rows of both builds, the keys and customers that differ, and the verdict. Advisory only."""
     found = build_differences(left, right).agg(F.count("*").alias("keys"), F.countDistinct("cust_id").alias("customers"))
-    rows = left.agg(F.count("*").alias("left_rows")).join(right.agg(F.count("*").alias("right_rows")), F.lit(True))
     verdict = F.when(F.col("keys") == 0, "OK").otherwise("WARNING").alias("verdict")
-    return rows.join(found, F.lit(True)).select("left_rows", "right_rows", "keys", "customers", verdict)
+    rows = [df.agg(F.count("*")).scalar().alias(name) for df, name in ((left, "left_rows"), (right, "right_rows"))]
+    return found.select(*rows, "keys", "customers", verdict)
 
 
 # ---- profile of the source tables -----------------------------------------
