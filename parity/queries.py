@@ -22,7 +22,7 @@ from parity.base import (
     rs,
     total,
 )
-from uptake.catalog import AS_OF, CUSTOMER, MODEL as MODEL_CHOSEN, MONTH_BEFORE as MONTH_BEFORE_DAY, OTHER, PLATFORM, PRODUCT, SOME
+from uptake.catalog import AS_OF, CUSTOMER, LATE_VALUE, MODEL as MODEL_CHOSEN, MONTH_BEFORE as MONTH_BEFORE_DAY, OTHER, PLATFORM, PRODUCT, SOME
 from uptake.params import HARSH_OVERAGE, SMOOTH_ACTIVATION
 from uptake.schemas import RAW, SKU_MONTH_ASSERTED
 
@@ -160,6 +160,11 @@ DQ_SQL = "SELECT *, CASE WHEN val = expect THEN 'PASS' ELSE 'FAIL' END AS result
     for cat, test, expect, sql in DQ
 ) + ")"
 
+relation(
+    "m_first_late",
+    f"SELECT cust_id, product_id, min(month) AS first_value_month FROM m_sku WHERE lur >= {LATE_VALUE.use_floor}e0 GROUP BY ALL",
+)
+
 # ---- carried state --------------------------------------------------------
 
 
@@ -319,8 +324,8 @@ FROM m_mart JOIN src_products USING (product_id) GROUP BY product_id, product_na
     "sku_state": state_sql("DATE '2026-05-01'"),
     "sku_state_advanced": state_sql("DATE '2026-06-01'"),
     "mart_month_append": "SELECT * FROM m_mart WHERE month = DATE '2026-06-01'",
-    "mart_month_restated": """SELECT m.* FROM m_mart m JOIN m_first f USING (cust_id, product_id)
-WHERE f.first_value_month = DATE '2026-06-01' AND m.month < DATE '2026-06-01'""",
+    "mart_month_restated": f"""SELECT m.* FROM ({mart(parameters(LATE_VALUE), first="m_first_late")}) m
+JOIN m_first_late f USING (cust_id, product_id) WHERE f.first_value_month = DATE '2026-06-01' AND m.month < DATE '2026-06-01'""",
     "mart_sku_month_full": "SELECT * FROM m_full",
     "mart_feature_full": """SELECT cust_id, product_id, feature_name, month, usage_events, feature_score,
        CASE WHEN feature_score = 0 THEN 'not_enabled' WHEN feature_score < 0.5e0 THEN 'enabled_idle'

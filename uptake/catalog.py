@@ -14,7 +14,7 @@ from uptake.functions.calendar import day
 from uptake.functions.numeric import rnd
 from uptake.operators import components, contracts, keys, staging, volumes
 from uptake.operators.filters import Filters
-from uptake.params import HARSH_OVERAGE, Override
+from uptake.params import DEFAULTS, HARSH_OVERAGE, Override
 from uptake.register import Rule
 from uptake.plans import customers, extensions, marts, monthly, portfolio, products, quality
 from uptake.sources.shared import fresh_folder
@@ -29,6 +29,8 @@ SOME_PLATFORMS = Filters(platforms=("hardware_ngfw", "sase"))
 CUSTOMER, PRODUCT = "C2", "P71726adf"
 OTHER = "C3"
 PLATFORM, MODEL = "sase", "MEDIUM"
+#: A floor that some SKUs reach for the first time in the last month.
+LATE_VALUE = DEFAULTS.with_values(use_floor=0.5)
 COHORTS = {"pilot": 3, "control": 4}
 OVERRIDES = [
     Override({"weight_utilization": 0.45, "weight_speed": 0.05}, segment="Enterprise", platform="sase"),
@@ -214,6 +216,11 @@ def _changed(full: DataFrame) -> DataFrame:
     return rows.withColumn("vrs", F.when(higher, F.col("vrs") + 1.0).otherwise(F.col("vrs")))
 
 
+def _restated(w: Workspace) -> DataFrame:
+    before = monthly.state_through(w.raw, MONTH_BEFORE, LATE_VALUE)
+    return monthly.restated(w.raw, monthly.first_valued(before, w.raw, LAST_MONTH, LATE_VALUE), LAST_MONTH, LATE_VALUE)
+
+
 def _through_csv(df: DataFrame, name: str) -> DataFrame:
     path = fresh_folder(df.sparkSession, name)
     write_csv(df, path)
@@ -241,7 +248,7 @@ QUERIES: dict[str, Query] = {
     "sku_state": lambda w: w.state,
     "sku_state_advanced": lambda w: monthly.advance(w.state, w.raw, LAST_MONTH),
     "mart_month_append": lambda w: monthly.month_rows(w.state, w.raw, LAST_MONTH),
-    "mart_month_restated": lambda w: monthly.restated(w.raw, monthly.first_valued(w.state, w.raw, LAST_MONTH), LAST_MONTH),
+    "mart_month_restated": _restated,
     # roll-ups and denormalised forms, read from the written mart
     "mart_customer_month": lambda w: marts.customer_month(w.sku, w.source("customers")),
     "mart_product_month": lambda w: marts.product_month(w.sku, w.source("products")),
