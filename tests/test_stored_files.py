@@ -56,6 +56,44 @@ def test_every_footer_counts(spark, tmp_path):
         tables.read_parquet(spark, path, schemas.FEATURES, strict=True)
 
 
+def test_thousands_of_footers_with_a_bad_one(spark, tmp_path):
+    whole = one_sku(spark, [0.5]).raw()["features"].coalesce(1)
+    good, bad = tmp_path / "good", tmp_path / "bad"
+    whole.write.parquet(str(good))
+    whole.drop("feature_name").write.parquet(str(bad))
+    (one,), (other,) = good.glob("*.parquet"), bad.glob("*.parquet")
+    path = tmp_path / "features"
+    path.mkdir()
+    for k in range(3000):
+        shutil.copy(other if k == 1777 else one, path / f"part-{k:05d}.parquet")
+    examples = tables.schema_examples(spark, str(path))
+    assert sorted(r.files for r in examples.collect()) == [1, 2999]
+    stored = tables.stored_schemas(spark, str(path))
+    assert sorted(len(s) for s in stored) == [len(schemas.FEATURES) - 1, len(schemas.FEATURES)]
+    assert quality.schema_matches(stored, schemas.FEATURES) == len(schemas.FEATURES) - 1
+    with pytest.raises(tables.MissingColumn, match="feature_name"):
+        tables.read_parquet(spark, str(path), schemas.FEATURES, strict=True)
+
+
+def test_partition_folders_are_part_of_the_schema(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "2025-01-01"), (2, "2025-02-01"), (3, "a b")], "n int, month string")
+    rows.where("n < 3").write.partitionBy("month").parquet(str(tmp_path / "months"))
+    (only,) = tables.stored_schemas(spark, str(tmp_path / "months"))
+    assert only.simpleString() == "struct<n:int,month:date>"
+    rows.where("n = 3").write.mode("append").partitionBy("month").parquet(str(tmp_path / "months"))
+    kinds = {s["month"].dataType.simpleString() for s in tables.stored_schemas(spark, str(tmp_path / "months"))}
+    assert kinds == {"date", "string"}
+
+
+def test_files_that_tasks_cannot_open_are_asked_through_spark(spark, tmp_path):
+    whole = one_sku(spark, [0.5]).raw()["features"].coalesce(1)
+    spark.conf.set("fs.viewfs.mounttable.shelf.link./in", f"file://{tmp_path}")
+    whole.write.parquet(str(tmp_path / "features"))
+    whole.drop("feature_name").write.mode("append").parquet(str(tmp_path / "features"))
+    stored = tables.stored_schemas(spark, "viewfs://shelf/in/features")
+    assert quality.schema_matches(stored, schemas.FEATURES) == len(schemas.FEATURES) - 1
+
+
 def test_stored_schemas_reach_the_report(spark):
     raw = one_sku(spark, [0.5]).raw()
     stored = {name: [df.schema] for name, df in raw.items()} | {quality.MART: [schemas.SKU_MONTH_ASSERTED]}

@@ -3,9 +3,16 @@
 Schemas are always explicit: nothing is inferred from file contents.
 """
 
-from collections.abc import Callable
+import hashlib
+import re
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date
+from io import TextIOWrapper
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs, parquet
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
@@ -27,9 +34,10 @@ def _all_there(path: str, stored: list[str], schema: StructType) -> None:
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType, strict: bool = False) -> DataFrame:
-    """Parquet by column name. With ``strict`` a column that the first footer lacks is an error, else it is NULL."""
+    """Parquet by column name. With ``strict`` a column that any file's footer lacks is an error, else it is NULL there."""
     if strict:
-        _all_there(path, spark.read.parquet(path).columns, schema)
+        for stored in stored_schemas(spark, path) or [StructType()]:
+            _all_there(path, stored.names, schema)
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
@@ -83,15 +91,63 @@ def read_raw(spark: SparkSession, root: str, fmt: str = "parquet", strict: bool
     return {name: readers[fmt](_raw_path(root, name, fmt), schema) for name, schema in schemas.RAW.items()}
 
 
+def _shape(path: str) -> str:
+    """The partition folders on the way to a file, each value as a date or by the kinds of its characters."""
+
+    def kind(value: str) -> str:
+        try:
+            return f"date {len(date.fromisoformat(value).isoformat()) == len(value)}"
+        except ValueError:
+            return re.sub(r"\d", "9", value)
+
+    folders = [part.partition("=") for part in path.rpartition("/")[0].split("/") if "=" in part]
+    return "/".join(f"{name}={kind(value)}" for name, _, value in folders)
+
+
+def _stored_head(path: str, fmt: str) -> str:
+    """What a file says of its columns: the parquet footer's schema, or the CSV header line."""
+    store, place = fs.FileSystem.from_uri(path)
+    if fmt == "csv":
+        with store.open_input_stream(place) as stream:
+            return TextIOWrapper(stream, "utf-8", newline="").readline()
+    with store.open_input_file(place) as file:
+        footer = parquet.read_metadata(file)
+    written_by_spark = (footer.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b"").decode()
+    # The first line of the text names the object, not the schema.
+    return str(footer.schema).partition("\n")[2] + written_by_spark
+
+
+def schema_examples(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """One file's ``path`` for each different footer (or header line) below ``path``, and how many ``files`` share it.
+
+    Tasks read the footers only, so this is one job at any number of files. A file that tasks can't open by themselves, on a
+    store that only Spark knows, is an example of its own.
+    """
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            files, found = batch.column("path").to_pylist(), []
+            for file in files:
+                try:
+                    found.append(f"{_shape(file)}\n{_stored_head(quote(file, safe=":/="), fmt)}")
+                except (OSError, ValueError):
+                    found.append(file)
+            digests = [hashlib.sha256(text.encode()).hexdigest() for text in found]
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.string()), pa.array(files, pa.string())], ["head", "path"])
+
+    listed = spark.read.format("binaryFile").load(path).select("path")
+    return listed.mapInArrow(heads, "head string, path string").groupBy("head").agg(F.min("path").alias("path"), F.count("*").alias("files"))
+
+
 def stored_schemas(spark: SparkSession, path: str, fmt: str = "parquet", expected: StructType | None = None) -> list[StructType]:
-    """The schema of every file below ``path``, or of the catalog table ``path``.
+    """The different schemas of the files below ``path``, or that of the catalog table ``path``.
 
-    Files are asked one by one, since one file's schema says nothing of the others: Spark reads a footer (or header line) each,
-    several at a time. Partition columns count as stored. CSV stores names only, so its types are those of ``expected``.
+    Every file's footer (or header line) is read, since one file's schema says nothing of the others; Spark then gives the schema of
+    one file for each different footer. Partition columns count as stored. CSV stores names only, so its types are those of ``expected``.
     """
     if fmt == "table":
         return [spark.table(path).schema]
-    files = [row.path for row in spark.read.format("binaryFile").load(path).select("path").collect()]
+    files = [row.path for row in schema_examples(spark, path, fmt).collect()]
     types = {f.name: f.dataType for f in expected or []}
 
     def schema_of(file: str) -> StructType:
@@ -101,7 +157,7 @@ def stored_schemas(spark: SparkSession, path: str, fmt: str = "parquet", expecte
         return StructType([StructField(name, types.get(name, StringType())) for name in names])
 
     with ThreadPoolExecutor(16) as pool:
-        return list(pool.map(schema_of, files))
+        return list(pool.map(schema_of, sorted(files)))
 
 
 def stored_raw(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, list[StructType]]:
