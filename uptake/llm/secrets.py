@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections import deque
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cache
 
 import numpy as np
@@ -260,15 +260,33 @@ def single(rule: Rule) -> tuple[Dfa, Dfa]:
     return out[0], out[1]
 
 
+def backwards(node: Node) -> Node:
+    """The expression of the same byte strings, each read from its end."""
+    return replace(node, parts=tuple(backwards(p) for p in reversed(node.parts)))
+
+
+@cache
+def starts_of(rule: Rule) -> tuple[list[list[int]], list[bool]]:
+    """An automaton that reads a text from its end and accepts wherever a match of the rule begins."""
+    nfa = Nfa()
+    start = nfa.state()
+    dfa = minimal(subsets(nfa, start, {nfa.add(backwards(rule.whole), start): 0}, True))
+    return _table(dfa), (dfa.marks > 0).tolist()
+
+
 def _table(dfa: Dfa) -> list[list[int]]:
     return dfa.next.tolist()
 
 
+#: Bytes that a start may be followed in vain before the rule's starts are found by reading backwards.
+PATIENCE = 64
+
+
 class Scanner:
     """Scans texts for the spans of ``rules``. One is made in each task."""
 
-    def __init__(self, rules: tuple[Rule, ...] = RULES):
-        self.rules = rules
+    def __init__(self, rules: tuple[Rule, ...] = RULES, patience: int = PATIENCE):
+        self.rules, self.patience = rules, patience
         whole = combined(rules)
         # Bytes that every state treats alike share a class; the array is states x classes, a state is its row's offset.
         columns, self.classes = np.unique(whole.next, axis=1, return_inverse=True)
@@ -307,28 +325,43 @@ class Scanner:
         return sorted(out, key=lambda x: (x[1], rank[x[0]]))
 
     def _matches(self, k: int, data: bytes) -> Iterator[tuple[int, int, int]]:
+        """Start, end and head's end of the rule's matches. Flagged bytes may begin a match.
+
+        After a start that led nowhere after many bytes, the automaton that reads backwards leaves flags only where a match does
+        begin, so that no text takes quadratic time.
+        """
         opens = bytes(self.opens[k])
-        skip = bytes(255 * (b in opens) for b in range(256))
-        flags = data.translate(skip)
+        flags, sieved = data.translate(bytes(255 * (b in opens) for b in range(256))), False
         at = flags.find(b"\xff")
         while at >= 0:
-            end = self._longest(*self.own[k][0], data, at, len(data))
+            end, read = self._longest(*self.own[k][0], data, at, len(data))
             if end > at:
-                head = self._longest(*self.own[k][1], data, at, end - 1) if self.rules[k].least_value else at
-                yield at, end, head
+                yield at, end, self._longest(*self.own[k][1], data, at, end - 1)[0] if self.rules[k].least_value else at
+            elif read - at > self.patience and not sieved:
+                flags, sieved = self._starts(k, data, at), True
             at = flags.find(b"\xff", max(end, at + 1))
 
+    def _starts(self, k: int, data: bytes, first: int) -> bytes:
+        """A flag at each byte from ``first`` on at which a match of the rule begins."""
+        table, accepts = starts_of(self.rules[k])
+        state, flags = 0, bytearray(len(data))
+        for at in range(len(data) - 1, first - 1, -1):
+            state = table[state][data[at]]
+            if accepts[state]:
+                flags[at] = 255
+        return bytes(flags)
+
     @staticmethod
-    def _longest(table: list[list[int]], accepts: set[int], dead: int, data: bytes, at: int, stop: int) -> int:
-        """The end of the longest match that begins at ``at``, at most ``stop``; -1 if none."""
-        state, end = 0, at if 0 in accepts else -1
+    def _longest(table: list[list[int]], accepts: set[int], dead: int, data: bytes, at: int, stop: int) -> tuple[int, int]:
+        """The end of the longest match that begins at ``at``, at most ``stop``, or -1 if none; and how far was read."""
+        state, end, k = 0, at if 0 in accepts else -1, at
         for k in range(at, stop):
             state = table[state][data[k]]
             if state == dead:
                 break
             if state in accepts:
                 end = k + 1
-        return end
+        return end, k
 
 
 @cache
