@@ -1,0 +1,106 @@
+"""Main text: pages that mislead names, tags and nesting, and generated pages with known articles."""
+
+import random
+
+import pytest
+
+from uptake.llm import html
+
+
+def words(n, stem="w"):
+    return " ".join(f"{stem}{k}" for k in range(n))
+
+
+LONG = words(60)
+PAGES = {
+    "footer, comments and notice after a long paragraph": (
+        f"<h1>Title here now</h1><p>Short first one.</p><p>{LONG}</p><footer>{words(41)}</footer><div class=comment>{words(30)}</div><div class=comment>{words(22)}</div>"
+        f"<div class='cookie-notice'>{words(25)}</div>",
+        f"Title here now\nShort first one.\n{LONG}",
+    ),
+    "link list inside an article": (
+        f"<article><p>{LONG}</p><ul><li><a href=a>one more</a><li><a href=b>two more</a><li><a href=c>three more</a></ul><p>The end.</p></article>",
+        f"{LONG}\nThe end.",
+    ),
+    "title above the article": (f"<h1>My title</h1><article><p>{LONG}</p></article><h2>Other things</h2><p>x y z</p>", f"My title\n{LONG}"),
+    "header of the entry": (f"<article><div class='entry-header'><h1>My title</h1></div><p>{LONG}</p></article>", f"My title\n{LONG}"),
+    "header of a post without an article": (f"<div class='post-header'><h1>My title</h1></div><p>{LONG}</p>", f"My title\n{LONG}"),
+    "wrapper named after its layout": (f"<div id='left-side-page'><article><p>{LONG}</p></article></div>", LONG),
+    "article in a form": (f"<form><article><p>{LONG}</p></article><p>Send</p></form>", LONG),
+    "comments as articles": (f"<article><p>{LONG}</p></article><div class=comments><article><p>{words(50)}</p></article></div>", LONG),
+    "head without an end": (f"<html><head><title>T</title><meta charset=utf-8><p>{LONG}</p>", LONG),
+    "head with text": (f"<head><title>T</title> {LONG}", LONG),
+    "head closed by a block": (f"<head><link href=x><div><p>{LONG}</p></div>", LONG),
+    "hidden beside other attributes": (f"<article><div hidden class=x>{words(9)}</div><p>{LONG}</p><p data-hidden=no>Kept too.</p></article>", f"{LONG}\nKept too."),
+    "nested unseen elements": (f"<article><svg><svg><text>a</text></svg><text>leak</text></svg><p>{LONG}</p></article>", LONG),
+    "names inside words": (f"<div class='shadow loader'><p>{LONG}</p></div><div class='ad-slot'>{words(40)}</div>", LONG),
+    "a layout that has a sidebar": (f"<div class='has-sidebar'><main><p>{LONG}</p></main></div><div class='sidebar-left'><p>{words(70)}</p></div>", LONG),
+}
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_misleading_pages(name):
+    page, want = PAGES[name]
+    assert html.main_text(page) == want
+
+
+def test_labelled_table_is_learnt():
+    rows, labels = html.labelled_rows()
+    assert (html.tree().labels(rows) == labels).all()
+
+
+def asked(tree):
+    return {html.FEATURES[tree.measure]} | asked(tree.low) | asked(tree.high) if tree.measure >= 0 else set()
+
+
+def test_densities_decide_with_and_without_a_main_part():
+    """The same places, other densities: other results."""
+    assert {"density", "where"} <= asked(html.tree())
+    for start, end in (("<article>", "</article>"), ("", "")):
+        page = f"{start}<p>{LONG}</p><p>%s</p><p>%s</p><p>{LONG}</p>{end}"
+        text, links = "some words", "<a href=x>some words</a>"
+        assert html.main_text(page % (text, text)).count("some words") == 2
+        assert "some words" not in html.main_text(page % (links, links))
+
+
+def generated(rng, marked):
+    """A page, its article's text, and whether few words follow a list of links in it; ``marked``: an <article> tells where it is."""
+    title = words(rng.randrange(2, 9), "t")
+    blocks = [(f"<h1>{title}</h1>", title)]
+    for k in range(rng.randrange(1, 7)):
+        text = words(rng.choice([3, 8, 20, 60, 200]), f"p{k}x")
+        blocks.append((rng.choice([f"<p>{text}</p>", f"<p> {text}\n</p>", f"<div>{text}</div>", f"<p><b>{text}</b>"]), text))
+        if rng.random() < 0.2:
+            blocks.append(("<ul>" + "".join(f"<li><a href=x>{words(rng.randrange(1, 6), 'l')}</a></li>" for _ in range(rng.randrange(2, 5))) + "</ul>", None))
+    if blocks[-1][1] is None:
+        blocks.append((f"<p>{LONG}</p>", LONG))
+    unclear = any(a is None and len(b.split()) <= 6 for (_, a), (_, b) in zip(blocks, blocks[1:]))
+    before = rng.sample([
+        f"<nav><ul><li><a href=x>{words(2, 'n')}</a></li></ul></nav>", f"<div class='ad'>{words(rng.randrange(1, 50), 'a')}</div>", f"<header>{words(4, 'h')}</header>",
+        f"<div class=\"top cookie-banner\">{words(rng.randrange(5, 60), 'c')}</div>", "<script>var x = '<p>no</p>';</script>",
+    ], rng.randrange(4))
+    after = rng.sample([
+        f"<footer><p>{words(rng.randrange(3, 90), 'f')}</p></footer>", f"<div id=comments><p>{words(50, 'r')}</p><p>{words(5, 'r')}</p></div>",
+        f"<aside>{words(rng.randrange(3, 60), 's')}</aside>", f"<form>{words(6, 'q')}<input></form>", f"<div class='related-posts'><a href=x>{words(5, 'l')}</a></div>",
+        f"<div role=dialog>{words(25, 'd')}</div>", f"<p hidden>{words(30, 'z')}</p>",
+    ], rng.randrange(6))
+    body = "".join(markup for markup, _ in blocks)
+    inside = f"<article>{body}</article>" if marked else f"<div class=page>{body}</div>"
+    head = rng.choice(["<head><title>x</title></head><body>", "<head><title>x</title><body>", ""])
+    return f"<html>{head}{''.join(before)}{inside}{''.join(after)}</html>", "\n".join(text for _, text in blocks if text), unclear
+
+
+def test_generated_pages(spark):
+    rng = random.Random(44)
+    pages = [(k, *generated(rng, k % 2 == 0)) for k in range(400)]
+    df = spark.createDataFrame([(k, "u", page) for k, page, *_ in pages], "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html.extract(df).collect()}
+    # Without an <article>, few words after a list of links may be the page's end as well as the article's.
+    assert not [page for k, page, want, unclear in pages if got[k] != want and (k % 2 == 0 or not unclear)]
+    assert sum(got[k] == want for k, _, want, _ in pages) >= 380
+
+
+def test_many_unclosed_tags_stay_cheap():
+    assert html.main_text("<svg>" * 100_000) == ""
+    assert html.main_text("<div class='a-b ad'>" * 50_000 + LONG) == ""
+    assert html.main_text("<article>" * 50_000 + LONG) == LONG
