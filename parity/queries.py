@@ -371,6 +371,17 @@ WHERE cust_id = '{CUSTOMER}' AND product_platform IN ('hardware_ngfw', 'sase') O
     "entitlements_csv_roundtrip": """SELECT entitlement_id, product_id, cust_id, units_purchased, licensed_amount,
        unit_price, arr, start_date, end_date, is_expansion FROM src_entitlements""",
     "sku_full_csv_roundtrip": "SELECT * FROM m_full",
+    "raw_csv_roundtrip": "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, count(*) AS rows, sum({_MD5.format(k=schema.names[0])})::BIGINT AS key_sum FROM src_{name}"""
+        for name, schema in RAW.items()
+    ),
+    "catalog_table_roundtrip": "SELECT * FROM m_mart",
+    "persisted_sku_view": "SELECT * FROM m_sku",
+    "persisted_feature_view": "SELECT * FROM m_feature",
+    "dq_gate": f"""SELECT count(*) FILTER (result = 'PASS') AS passed, count(*) FILTER (result <> 'PASS') AS failed,
+       coalesce(string_agg(test, ', ' ORDER BY test) FILTER (result <> 'PASS'), '') AS failed_tests,
+       CASE WHEN count(*) FILTER (result <> 'PASS') = 0 THEN 'PASS' ELSE 'FAIL' END AS verdict
+FROM ({DQ_SQL})""",
     "feature_full_csv_roundtrip": """SELECT cust_id, product_id, feature_name, month, usage_events, feature_score,
        CASE WHEN feature_score = 0 THEN 'not_enabled' WHEN feature_score < 0.5e0 THEN 'enabled_idle'
             WHEN feature_score < 1 THEN 'active' ELSE 'deep' END AS adoption_level FROM m_feature""",

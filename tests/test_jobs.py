@@ -50,6 +50,27 @@ def test_one_month_again(spark, folder):
     assert after == before | {month: before[month] - 1}
 
 
+def test_publish(spark, folder):
+    source, target, space = f"{folder}/source", f"{folder}/published", "uptake_published"
+    jobs.build(spark, tables.read_raw(spark, source, "csv"), target)
+    name = f"{space}.mart_customer_sku_month"
+    try:
+        assert jobs.main(["publish", target, space, "--folder", f"{folder}/warehouse"]) == 0
+        for mart, schema in schemas.MARTS.items():
+            stored = tables.read_table(spark, f"{space}.{mart}", schema)
+            assert stored.exceptAll(jobs.mart(spark, target, mart)).count() == 0 < stored.count()
+        first = str(CALENDAR[0])
+        tables.write_by_month(jobs.mart(spark, target, "mart_customer_sku_month").where("cust_id <> 'C2'"), target + "/mart_customer_sku_month", [first])
+        spark.catalog.refreshByPath(target)
+        assert jobs.main(["publish", target, space, "--months", first]) == 0
+        stored = tables.read_table(spark, name, schemas.SKU_MONTH)
+        fresh = tables.read_parquet(spark, f"{target}/mart_customer_sku_month", schemas.SKU_MONTH)
+        assert stored.exceptAll(fresh).count() == fresh.exceptAll(stored).count() == 0
+        assert not stored.where((F.col("month") == F.lit(CALENDAR[0])) & (F.col("cust_id") == "C2")).count() and stored.where("cust_id = 'C2'").count()
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {space} CASCADE")
+
+
 def _counts(spark, target):
     return jobs.mart(spark, target, "mart_customer_sku_month").groupBy("month").agg(F.count("*").alias("n")).collect()
 

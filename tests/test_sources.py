@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tests.fixtures import CALENDAR, one_sku
 from uptake import schemas
+from uptake.functions.calendar import day
 from uptake.plans import marts
-from uptake.sources import shared, tables
+from uptake.sources import shared, tables, warehouse
 from uptake.sources.store import Store
 
 
@@ -75,21 +76,47 @@ def test_one_month_is_replaced(spark, raw, tmp_path):
     assert len(back) == 3
 
 
-def test_catalog_tables_and_views(spark, raw):
-    tables.create_namespace(spark, "adoption_test")
+def test_catalog_tables_and_views(spark, raw, tmp_path):
+    warehouse.create_namespace(spark, "adoption_test", f"{tmp_path}/adoption")
     try:
         mart = marts.customer_sku_month(raw)
-        tables.save_as_table(mart, "adoption_test.sku_mart")
+        warehouse.save(mart, "adoption_test.sku_mart")
         same(tables.read_table(spark, "adoption_test.sku_mart", schemas.SKU_MONTH), mart)
+        assert list((tmp_path / "adoption" / "sku_mart").glob("month=*"))
         for name, df in raw.items():
-            tables.save_as_table(df, f"adoption_test.{name}", by_month=False)
+            warehouse.save(df, f"adoption_test.{name}")
         same(tables.read_raw(spark, "adoption_test", "table")["features"], raw["features"])
-        tables.register_views({"stg_sku_month": marts.build(raw)["stg_sku_month"]})
+        warehouse.create_views(spark, "adoption_test")
+        built = marts.build(raw)
+        for name in warehouse.VIEWS:
+            same(spark.table(f"adoption_test.{name}"), built[name])
+        assert not spark.catalog.getTable("adoption_test.stg_sku_month").isTemporary
+        tables.register_views({"stg_sku_month": built["stg_sku_month"]})
         assert spark.sql("SELECT max(lur) AS m FROM stg_sku_month").first().m == 1.5
     finally:
         spark.sql("DROP DATABASE adoption_test CASCADE")
 
 
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_months_of_a_catalog_table_are_replaced_alone(spark, raw, tmp_path, mode):
+    mart = marts.customer_sku_month(raw)
+    months = sorted(str(r.month) for r in mart.select("month").distinct().collect())
+    warehouse.create_namespace(spark, "adoption_months", f"{tmp_path}/adoption")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        warehouse.save(mart, "adoption_months.sku_mart")
+        kept = mart.where(F.col("month") != day(months[0])).withColumn("vrs", F.lit(2.0))
+        warehouse.replace_months(kept, "adoption_months.sku_mart", months[:2])
+        want = kept.where(F.col("month") == day(months[1])).unionByName(mart.where(~F.col("month").isin(*map(day, months[:2]))))
+        same(tables.read_table(spark, "adoption_months.sku_mart", schemas.SKU_MONTH), want)
+        with pytest.raises(ValueError):
+            warehouse.replace_months(mart, "adoption_months.sku_mart", ["2025-01-01'); --"])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+        spark.sql("DROP DATABASE adoption_months CASCADE")
+
+
 def test_exports(spark, raw, tmp_path):
     built = marts.build(raw)
     for name in ("mart_sku_month_full", "mart_feature_full"):

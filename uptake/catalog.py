@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from uptake.operators.filters import Filters
 from uptake.params import DEFAULTS, HARSH_OVERAGE, Override
 from uptake.register import Rule
 from uptake.plans import customers, extensions, marts, monthly, portfolio, products, quality
+from uptake.sources import tables, warehouse
 from uptake.sources.shared import fresh_folder
 from uptake.sources.star import FIRST_MONTH, FROM_USAGE, LAST_MONTH, Star
 from uptake.sources.store import Store
@@ -227,6 +230,43 @@ def _through_csv(df: DataFrame, name: str) -> DataFrame:
     return read_csv(df.sparkSession, path, df.schema)
 
 
+def _namespace(w: Workspace) -> str:
+    """A new namespace of its own folder below the shared one."""
+    name = f"uptake_{uuid.uuid4().hex}"
+    warehouse.create_namespace(w.star.spark, name, fresh_folder(w.star.spark, "namespace"))
+    return name
+
+
+def _through_catalog(w: Workspace) -> DataFrame:
+    """The SKU mart as a catalog table, saved with a wrong last month that is then replaced."""
+    name = f"{_namespace(w)}.sku_mart"
+    wrong = w.sku.withColumn("vrs", F.when(F.col("month") == day(AS_OF), F.lit(0.0)).otherwise(F.col("vrs")))
+    warehouse.save(wrong, name)
+    warehouse.replace_months(w.sku, name, [AS_OF])
+    return tables.read_table(w.star.spark, name, schemas.SKU_MONTH)
+
+
+def _stored_view(w: Workspace, view: str, *needed: str) -> DataFrame:
+    """A view that the catalog stores, over tables that it stores."""
+    namespace = _namespace(w)
+    for name in needed:
+        warehouse.save(w.source(name), f"{namespace}.{name}")
+    warehouse.create_views(w.star.spark, namespace, only=(view,))
+    return w.star.spark.table(f"{namespace}.{view}")
+
+
+def _raw_through_csv(w: Workspace) -> DataFrame:
+    """The six source tables written as CSV and read back: rows, and the sum of a hash of each row's first column."""
+    folder = fresh_folder(w.star.spark, "raw-csv")
+    tables.write_raw_csv(w.raw, folder)
+    back = tables.read_raw(w.star.spark, folder, "csv")
+    parts = [
+        df.agg(F.count("*").alias("rows"), F.sum(keys.portable_hash(F.col(df.columns[0]))).alias("key_sum")).select(F.lit(name).alias("table_name"), "rows", "key_sum")
+        for name, df in back.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 #: The parameters that ``RULES`` change.
 RULED = sorted({r.name for r in RULES})
 
@@ -291,6 +331,7 @@ QUERIES: dict[str, Query] = {
     # assertions
     "source_reconciliation": lambda w: w.star.reconciliation(w.source("consumption"), w.source("feature_adoption")),
     "dq_report": lambda w: quality.report(w.raw, w.sku, stored=w.stored()),
+    "dq_gate": lambda w: quality.gate(quality.report(w.raw, w.sku, stored=w.stored())),
     "build_parity": lambda w: quality.build_parity(w.sku, marts.customer_sku_month(w.raw)),
     "export_parity": lambda w: quality.difference_report(w.full, _through_csv(w.full, "sku-full-copy")),
     "changed_export_parity": lambda w: quality.difference_report(w.full, _through_csv(_changed(w.full), "sku-full-changed")),
@@ -303,6 +344,11 @@ QUERIES: dict[str, Query] = {
     "feature_full_csv_roundtrip": lambda w: _through_csv(
         conform(marts.feature_full(w.feature), schemas.FEATURE_FULL), "feature-full-csv"
     ),
+    "raw_csv_roundtrip": _raw_through_csv,
+    # in a catalog
+    "catalog_table_roundtrip": _through_catalog,
+    "persisted_sku_view": lambda w: _stored_view(w, "stg_sku_month", "consumption"),
+    "persisted_feature_view": lambda w: _stored_view(w, "stg_feature_month", "features", "feature_adoption"),
     # contract and key operators
     "month_spine": _month_spine,
     "hash_bucket": _hash_bucket,

@@ -3,9 +3,13 @@
     spark-submit --py-files uptake.zip uptake/jobs.py build SOURCE TARGET [--format csv] [--months M ...] [--export DIR] [--params FILE]
     spark-submit --py-files uptake.zip uptake/jobs.py append SOURCE TARGET --month M [--format csv]
     spark-submit --py-files uptake.zip uptake/jobs.py check SOURCE TARGET [--format csv] [--expect FILE] [--against DIR]
+    spark-submit --py-files uptake.zip uptake/jobs.py publish TARGET NAMESPACE [--months M ...] [--folder DIR]
 
 The same works as ``python -m uptake.jobs``.
 
+``publish`` copies the marts below TARGET into a catalog namespace, whose tables lie below the DIR of ``--folder`` if it is new;
+with ``--months`` only those months of its tables are replaced.
+
 ``build`` writes every mart below TARGET, one folder each. ``check`` runs the
 assertions on SOURCE and TARGET and exits with 1 when one fails; the comparison
 with an exported copy only warns. The FILE of ``--expect`` is JSON with fields of ``Expectations``, that of
@@ -25,7 +29,7 @@ from pyspark.sql.types import StructType
 from uptake import register, schemas
 from uptake.params import DEFAULTS, ScoreParams
 from uptake.plans import marts, monthly, portfolio, quality
-from uptake.sources import tables
+from uptake.sources import tables, warehouse
 
 EXPORTS = ("mart_sku_month_full", "mart_feature_full")
 PARAMETERS = "mart_parameters"
@@ -122,6 +126,17 @@ def export(spark: SparkSession, target: str, folder: str) -> None:
         tables.write_csv(mart(spark, target, name), f"{folder}/{name}")
 
 
+def publish(spark: SparkSession, target: str, namespace: str, months: list[str] | None = None, folder: str | None = None) -> None:
+    """The marts below ``target`` as tables of a catalog namespace; with ``months``, those months of tables that are there."""
+    warehouse.create_namespace(spark, namespace, folder)
+    for name in schemas.MARTS:
+        table = f"{namespace}.{name}"
+        if months is None or not spark.catalog.tableExists(table):
+            warehouse.save(mart(spark, target, name), table)
+        else:
+            warehouse.replace_months(mart(spark, target, name), table, months)
+
+
 def stored_parameters(spark: SparkSession, target: str) -> DataFrame | None:
     """The resolved register a target was built with, if it was built with one."""
     try:
@@ -166,6 +181,11 @@ def check(
 def _arguments(argv: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="uptake.jobs")
     jobs = parser.add_subparsers(dest="job", required=True)
+    job = jobs.add_parser("publish")
+    job.add_argument("target")
+    job.add_argument("namespace")
+    job.add_argument("--months", nargs="+")
+    job.add_argument("--folder")
     for name in ("build", "append", "check"):
         job = jobs.add_parser(name)
         job.add_argument("source")
@@ -186,6 +206,9 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
 def main(argv: list[str]) -> int:
     args = _arguments(argv)
     spark = SparkSession.builder.appName(f"uptake {args.job}").getOrCreate()
+    if args.job == "publish":
+        publish(spark, args.target, args.namespace, args.months, args.folder)
+        return 0
     # A missing column ends a build; the check goes on and reports it.
     raw = tables.read_raw(spark, args.source, args.format, strict=args.job != "check")
     if args.job == "build":

@@ -307,6 +307,14 @@ class QualityError(Exception):
     pass
 
 
+def gate(rows: DataFrame) -> DataFrame:
+    """One row for a scheduler: how many assertions passed and failed, which ones failed, and the verdict."""
+    bad = F.col("result") != "PASS"
+    failed = F.array_sort(F.collect_list(F.when(bad, F.col("test"))))  # of 36 rows
+    out = rows.agg(F.count_if(~bad).alias("passed"), F.count_if(bad).alias("failed"), F.array_join(failed, ", ").alias("failed_tests"))
+    return out.withColumn("verdict", F.when(F.col("failed") == 0, "PASS").otherwise("FAIL"))
+
+
 def enforce(rows: DataFrame) -> str:
     """Raises when an assertion failed, else returns a summary. Collects the report's rows."""
     results = rows.collect()

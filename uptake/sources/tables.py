@@ -211,14 +211,6 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def save_as_table(df: DataFrame, name: str, by_month: bool = True) -> None:
-    """A catalog table, created or replaced."""
-    if by_month:
-        df.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").saveAsTable(name, format="parquet")
-    else:
-        df.write.mode("overwrite").saveAsTable(name, format="parquet")
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV files with a header, one per task."""
     df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
@@ -229,10 +221,6 @@ def write_raw_csv(raw: dict[str, DataFrame], root: str) -> None:
         write_csv(conform(raw[name], schema), f"{root}/{name}.csv")
 
 
-def create_namespace(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
-
-
 def register_views(frames: dict[str, DataFrame]) -> None:
     """Temporary views for SQL users; nothing is computed."""
     for name, df in frames.items():
