@@ -471,6 +471,10 @@ JOIN (SELECT feature_id, deep_threshold_events FROM src_features) USING (feature
 FROM src_entitlements e JOIN src_features f USING (product_id)
 WHERE NOT EXISTS (SELECT 1 FROM src_feature_adoption a WHERE a.cust_id = e.cust_id AND a.product_id = e.product_id
                   AND a.feature_id = f.feature_id AND a.usage_events > 0)""",
+    "feature_shelfware_recent": """SELECT DISTINCT e.cust_id, e.product_id, f.feature_id
+FROM src_entitlements e JOIN src_features f USING (product_id)
+WHERE NOT EXISTS (SELECT 1 FROM src_feature_adoption a WHERE a.cust_id = e.cust_id AND a.product_id = e.product_id
+                  AND a.feature_id = f.feature_id AND a.usage_events > 0 AND a.month >= DATE '2026-06-01')""",
     "component_categories": """SELECT cust_id, product_id, month,
        CASE WHEN lur < 0.1e0 THEN 'Shelfware' WHEN lur < 0.6e0 THEN 'Underutilized' WHEN lur < 1 THEN 'Healthy'
             WHEN lur <= 1.2e0 THEN 'Fully utilized' WHEN lur > 1.2e0 THEN 'Overage' END AS utilization_category,

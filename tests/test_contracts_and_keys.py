@@ -5,6 +5,7 @@ import itertools
 import random
 import statistics
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.fixtures import Book, d
@@ -122,9 +123,29 @@ def test_ties_are_broken_by_the_other_columns(spark):
 
 
 def test_surrogate_key_text(spark):
-    df = spark.createDataFrame([("b",), ("a",), ("c",)], "k string")
-    rows = keys.surrogate_key(df, ["k"], "id", "E%05d").collect()
-    assert {r.k: r.id for r in rows} == {"a": "E00001", "b": "E00002", "c": "E00003"}
+    df = spark.createDataFrame([("b", 1), ("a", 2), ("c", 3), (None, 4)], "k string, wide int")
+    prepared = keys.prepare_keys(df, ["k"])
+    assert prepared.columns == ["k", "_n", "_at"]  # no other column of the rows is written
+    ids = keys.surrogate_key(df, prepared, ["k"], "id", "E%05d")
+    assert ids.columns == ["k", "wide", "id"]
+    assert {r.k: r.id for r in ids.collect()} == {None: "E00001", "a": "E00002", "b": "E00003", "c": "E00004"}
+    later = spark.createDataFrame([("c", 9), ("new", 9)], df.schema)
+    assert {r.k: r.id for r in keys.surrogate_key(later, prepared, ["k"], "id").collect()} == {"c": "4", "new": None}
+
+
+def test_surrogate_key_of_many_ranges(spark):
+    rng = random.Random(2)
+    pairs = rng.sample([(a, b) for a in range(90) for b in range(90)], 4000)
+    df = spark.createDataFrame(pairs, "a long, b long").repartition(5)
+    got = keys.surrogate_key(df, keys.prepare_keys(df, ["a", "b"], 7), ["a", "b"], "id").collect()
+    assert {(r.a, r.b): int(r.id) for r in got} == {pair: n + 1 for n, pair in enumerate(sorted(pairs))}
+
+
+def test_surrogate_key_refuses_repeated_keys(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2)], "k string, wide int")
+    ids = keys.surrogate_key(df, keys.prepare_keys(df, ["k"]), ["k"], "id")
+    with pytest.raises(Exception, match="a key occurs more than once"):
+        ids.collect()
 
 
 def test_cohorts_have_exact_sizes_and_are_stable(spark):

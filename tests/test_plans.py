@@ -1,6 +1,7 @@
 """The shape of the plans: what is shuffled, read and never done."""
 
 import re
+from collections import Counter
 
 import pytest
 
@@ -95,6 +96,32 @@ def test_anomaly_counts_do_not_expand_rows(space):
     assert "Expand" not in plan_of(QUERIES["customer_kpis"](space))
 
 
+def test_report_reads_each_table_a_few_times(space):
+    """One fold of the mart to accounts and one to its grain; of usage to contracts, months and accounts."""
+    reads = Counter(tables_read(QUERIES["dq_report"](space)._jdf.queryExecution().executedPlan()))
+    assert reads["mart_customer_sku_month"] == 2
+    assert reads["consumption"] == 3
+    assert reads["feature_adoption"] == reads["features"] == 1
+    assert reads.total() <= 16
+
+
+def tables_read(node) -> list[str]:
+    """The stored table behind every file scan of a plan that hasn't run yet."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return tables_read(node.executedPlan())
+    if name.startswith("FileSourceScan"):
+        return [node.relation().location().rootPaths().apply(0).getName().rpartition("-")[0]]
+    children = node.children()
+    return [t for i in range(children.size()) for t in tables_read(children.apply(i))]
+
+
+def test_customers_of_a_product_are_counted_after_one_fold(space):
+    plan = plan_of(QUERIES["mart_product_month"](space))
+    assert re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)[0].count("#") == 2  # product and month
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("HashAggregate") == 2
+
+
 def test_spine_needs_no_shuffle(space):
     plan = plan_of(QUERIES["month_spine"](space))
     assert "Exchange" not in plan

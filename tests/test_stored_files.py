@@ -66,7 +66,7 @@ def test_thousands_of_footers_with_a_bad_one(spark, tmp_path):
     path.mkdir()
     for k in range(3000):
         shutil.copy(other if k == 1777 else one, path / f"part-{k:05d}.parquet")
-    examples = tables.schema_examples(spark, str(path))
+    examples = tables.schema_examples(spark, {"features": str(path)})
     assert sorted(r.files for r in examples.collect()) == [1, 2999]
     stored = tables.stored_schemas(spark, str(path))
     assert sorted(len(s) for s in stored) == [len(schemas.FEATURES) - 1, len(schemas.FEATURES)]

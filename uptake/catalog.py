@@ -125,7 +125,7 @@ class Workspace:
     def stored(self) -> dict[str, list[StructType]]:
         """The schemas of the written files of the source tables and the SKU mart."""
         _ = self.raw, self.sku
-        return {name: self.store.stored(name) for name in [*schemas.RAW, quality.MART]}
+        return self.store.stored([*schemas.RAW, quality.MART])
 
     def _mart(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         return self.store.table(name, make, schemas.MARTS[name], by_month=True)
@@ -175,7 +175,7 @@ def _quota_cohort(w: Workspace) -> DataFrame:
 def _surrogate_key(w: Workspace) -> DataFrame:
     rows = w.source("entitlements").select("entitlement_id", "cust_id", "product_id", "is_expansion")
     order = ["cust_id", "is_expansion", "product_id"]
-    return keys.surrogate_key(rows, order, "contract_no", "E%05d")
+    return keys.surrogate_key(rows, keys.prepare_keys(rows, order), order, "contract_no", "E%05d")
 
 
 def _feature_thresholds(w: Workspace) -> DataFrame:
@@ -366,6 +366,7 @@ QUERIES: dict[str, Query] = {
     "net_transitions": lambda w: extensions.net_transitions(w.sku),
     "first_adopted": lambda w: extensions.first_adopted(w.raw),
     "feature_shelfware": lambda w: extensions.feature_shelfware(w.raw),
+    "feature_shelfware_recent": lambda w: extensions.feature_shelfware(w.raw, LAST_MONTH),
     "component_categories": lambda w: extensions.component_categories(w.sku),
     "params_override": lambda w: extensions.params_override(w.raw, OVERRIDES),
     "mart_parameters": lambda w: w.parameters.select(*register.CELL, *[f"param_{n}" for n in RULED]),

@@ -1,6 +1,7 @@
 """Stable buckets, dense ids and exact-size cohorts."""
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,10 +69,35 @@ def dense_rank_rows(df: DataFrame, order: list[str | Column], name: str, partiti
     )
 
 
-def surrogate_key(df: DataFrame, order: list[str | Column], name: str, pattern: str = "%d") -> DataFrame:
-    """Dense text id in a total order, e.g. pattern ``E%05d``."""
-    ranked = dense_rank_rows(df, order, "_rank")
-    return ranked.withColumn(name, F.format_string(pattern, "_rank")).drop("_rank")
+def prepare_keys(df: DataFrame, order: list[str], partitions: int | None = None) -> DataFrame:
+    """The explicit first step of ``surrogate_key``: the columns of ``order`` alone, sorted by range and written.
+
+    Keys are folded before the sort, so that a repeated key is one row with its count and no hot key fills a range. Nothing but
+    ``order``, the count and the place is written.
+    """
+    tasks = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    folded = df.groupBy(*order).agg(F.count("*").alias("_n"))
+    return _stored(positions(folded, list(order), tasks), "keys")
+
+
+def surrogate_key(df: DataFrame, prepared: DataFrame, order: list[str], name: str, pattern: str = "%d") -> DataFrame:
+    """Dense text id in the total order of ``order``, e.g. pattern ``E%05d``; ``prepared`` comes from ``prepare_keys``.
+
+    Lazy: places are turned into ranks by one row count a range, and joined to the rows by key; null keys come first and
+    count as equal. A key is meant to be unique; where it isn't, the query fails, since its rows have no order
+    (``dense_rank_rows`` breaks such ties). Rows of keys that ``prepared`` lacks get no id.
+    """
+    placed = prepared.withColumn("_part", F.shiftrightunsigned("_at", _ROW_BITS))
+    sizes = placed.groupBy("_part").count()
+    # One row per range, so this window is small.
+    running = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("count").over(running), F.lit(0)).alias("_before"))
+    within = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    rank = F.when(F.col("_n") == 1, F.col("_before") + within + 1).otherwise(F.raise_error(F.lit("a key occurs more than once")))
+    ranks = placed.join(offsets, "_part").select(*[F.col(c).alias(f"_key_{c}") for c in order], rank.alias("_rank"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in order])
+    id_text = F.when(F.col("_rank").isNotNull(), F.format_string(pattern, "_rank"))
+    return df.join(ranks, same, "left").select(*df.columns, id_text.alias(name))
 
 
 #: The high bits of the 32-bit hash, by which rows are counted.

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from uptake import vocabulary as v
 from uptake.functions import labels, scoring
+from uptake.functions.calendar import day
 from uptake.functions.numeric import UNITS, exact_sum, headline_score, ratio, rnd
 from uptake.operators.components import sku_history
 from uptake.operators.contracts import contract_features
@@ -98,10 +99,13 @@ def first_adopted(raw: Raw) -> DataFrame:
     )
 
 
-def feature_shelfware(raw: Raw) -> DataFrame:
-    """Features a SKU is entitled to and never used."""
+def feature_shelfware(raw: Raw, since: str | None = None) -> DataFrame:
+    """Features a SKU is entitled to and never used, or not in any month from ``since`` on."""
     entitled = contract_features(raw["entitlements"].select(*SKU).distinct(), raw["features"])
-    used = raw["feature_adoption"].where(F.col("usage_events") > 0).select(*SKU, "feature_id").distinct()
+    events = raw["feature_adoption"].where(F.col("usage_events") > 0)
+    if since is not None:
+        events = events.where(F.col("month") >= day(since))
+    used = events.select(*SKU, "feature_id").distinct()
     return entitled.join(used, [*SKU, "feature_id"], "left_anti").select(*SKU, "feature_id")
 
 

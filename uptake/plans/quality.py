@@ -135,32 +135,44 @@ def schema_matches(stored: Sequence[StructType], expected: StructType) -> int:
 
 
 def _consumption_checks(raw: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Everything asked about rows of usage, from one fold to contracts that meets each dimension once."""
     use = raw["consumption"]
-    # Fold to contracts once; the three look-ups below reuse this exchange.
-    by_contract = use.groupBy("cust_id", "product_id", "entitlement_id").agg(F.count("*").alias("rows"))
-    used = by_contract.groupBy("entitlement_id").agg(F.sum("rows").alias("rows"))
-    known = raw["entitlements"].select("entitlement_id", F.lit(True).alias("known"))
-    both = used.join(known, "entitlement_id", "full")
-    contracts = both.agg(
-        F.sum(F.when(F.col("known").isNull(), F.col("rows"))).alias("orphans"),
-        F.count_if(F.col("rows").isNull()).alias("idle"),
-    )
     bad = (F.col("consumed_units") < 0) | (F.col("licensed_amount") <= 0)
-    monthly = use.groupBy("month").agg(F.count_if(bad).alias("bad"))
+    by_contract = use.groupBy("cust_id", "product_id", "entitlement_id").agg(
+        F.count("*").alias("rows"), F.count_if(bad).alias("bad")
+    )
+
+    def known(name: str, key: str) -> DataFrame:
+        return raw[name].groupBy(key).agg(F.lit(True).alias(f"known_{key}"))
+
+    def strays(key: str) -> Column:
+        # A null key belongs to no dimension either.
+        return F.sum(F.when(F.col(f"known_{key}").isNull(), F.col("rows")))
+
+    # One row a contract of usage, and one for each contract without any; the latter have no rows to count.
+    held = by_contract.join(known("entitlements", "entitlement_id"), "entitlement_id", "full")
+    named = held.join(known("customers", "cust_id"), "cust_id", "left").join(known("products", "product_id"), "product_id", "left")
+    measures = {
+        1: strays("cust_id"),
+        2: strays("product_id"),
+        3: strays("entitlement_id"),
+        8: F.sum("bad"),
+        10: F.count_if(F.col("rows").isNull()),
+    }
     return [
-        _one(orphans(by_contract, raw["customers"], "cust_id"), 1, F.sum("rows")),
-        _one(orphans(by_contract, raw["products"], "product_id"), 2, F.sum("rows")),
-        _unpivot(contracts, {3: "orphans", 10: "idle"}),
+        _measured(named, measures),
         _one(orphans(raw["feature_adoption"], raw["features"], "feature_id"), 4, F.sum("rows")),
-        _unpivot(monthly.agg(F.sum("bad").alias("bad"), F.count("month").alias("months")), {8: "bad", 9: "months"}),
+        # Reads the month alone, of which stored usage may be partitioned.
+        _one(use.groupBy("month").count(), 9, F.count("month")),
     ]
 
 
-def _account_checks(raw: Mapping[str, DataFrame], mart: DataFrame, e: Expectations) -> list[DataFrame]:
-    """Everything asked about accounts, from one row per account.
+def _account_checks(raw: Mapping[str, DataFrame], mart: DataFrame, e: Expectations, p: ScoreParams = DEFAULTS) -> DataFrame:
+    """Everything asked about accounts and about rows of the mart, from one row per account.
 
     Usage, mart and labels are each folded to accounts in one pass and meet in
-    one join; the licence of the active contracts is compared on the way.
+    one join; the licence of the active contracts is compared on the way. The mart's own
+    measures are sums and extremes, so they travel with the same fold.
     """
     active = licensed_by_month(raw["entitlements"], e.first_month, e.latest_month)
     off = F.abs(F.col("licensed_amount") - F.col("lic")) > 0.5
@@ -175,21 +187,26 @@ def _account_checks(raw: Mapping[str, DataFrame], mart: DataFrame, e: Expectatio
         )
     )
     growing = F.coalesce("flag_expansion", F.lit(False))
+    of_rows, finished = _mart_measures(e, p)
     scored = mart.groupBy("cust_id").agg(
         F.count_if(~F.col("state").isin(v.SHELFWARE, v.GRACE)).alias("other_states"),
         F.bool_or(growing).alias("expanding"),
         F.bool_or(F.col("state") == v.STALL).alias("stalled"),
         F.bool_or(F.col("state") == v.CHURN).alias("churning"),
         F.count_if(F.col("state").isin(*RISK_STATES) | growing).alias("risk_rows"),
+        *[measure.alias(name) for name, measure in of_rows.items()],
+    )
+    # One row an account here too, so that a repeated customer repeats no measure.
+    label = F.col("behavior_profile")
+    people = raw["customers"].groupBy("cust_id").agg(
+        F.count_if(label == "slow_onboarder").alias("slow"), F.count_if(label == "normal").alias("normal")
     )
-    people = raw["customers"].select("cust_id", "behavior_profile")
     accounts = use.join(scored, "cust_id", "full").join(people, "cust_id", "full")
 
     def holds(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(False))
 
     silent, heavy = F.col("used") == 0, F.col("mean_lur") > OVERAGE
-    slow, normal = (F.col("behavior_profile") == label for label in ("slow_onboarder", "normal"))
     measures = {
         12: F.sum("off"),
         13: F.count_if(silent),
@@ -197,15 +214,16 @@ def _account_checks(raw: Mapping[str, DataFrame], mart: DataFrame, e: Expectatio
         15: F.count_if(heavy),
         16: F.count_if(heavy & ~holds("expanding")),
         17: F.count_if("churning"),
-        18: F.count_if(slow),
-        19: F.count_if(slow & ~holds("stalled")),
-        21: F.sum(F.when(normal, F.col("risk_rows"))),
+        18: F.sum("slow"),
+        19: F.sum(F.when(~holds("stalled"), F.col("slow"))),
+        21: F.sum(F.col("risk_rows") * F.col("normal")),
+        **finished,
     }
-    pairs = F.least(F.coalesce(F.sum("pairs"), F.lit(0)), F.lit(e.overlap_pairs))
-    return [_measured(accounts, measures), _one(overlap_pairs(raw["entitlements"]), 11, pairs)]
+    return _measured(accounts, measures)
 
 
-def _mart_checks(mart: DataFrame, e: Expectations, p: ScoreParams = DEFAULTS) -> list[DataFrame]:
+def _mart_measures(e: Expectations, p: ScoreParams = DEFAULTS) -> tuple[dict[str, Column], dict[int, Column]]:
+    """What one fold of the mart keeps for each account, and the measurements made of that over all accounts."""
     lur, health, vrs = F.col("lur"), F.col("util_health"), F.col("vrs")
     speed, days = F.col("ttv_score"), F.col("ttv_days")
     partial = (speed > 0) & (speed < 1)
@@ -219,22 +237,30 @@ def _mart_checks(mart: DataFrame, e: Expectations, p: ScoreParams = DEFAULTS) ->
         Column.__or__, [outside(c) for c in ("util_health", "feature_adoption", "sustained_usage", "ttv_score")]
     )
     latest = F.col("month") == day(e.latest_month)
-    arr = F.col("arr").cast(MONEY)
-    measures = {
-        6: F.count_if((vrs < 0) | (vrs > 100)),
-        7: F.count_if(strays),
-        20: F.coalesce(F.max(F.when(partial, 1)), F.lit(0)),
-        29: F.count_if((lur < as_column(p.use_floor)) & (health != 0)),
-        30: F.count_if(over & ((health != rnd(as_column(p.overage_score), 3)) | ~F.col("flag_expansion"))),
-        31: F.count_if((lur >= as_column(p.full_from)) & ~over & (health != rnd(as_column(p.full_score), 3))),
-        32: F.count_if(partial & ((days <= as_column(p.fast_days)) | (days > as_column(p.slow_days)))),
-        33: F.count("*"),
-        34: _off(exact_sum(vrs, SCORE), e.vrs_sum, e.vrs_tolerance),
-        35: _off(F.sum(F.when(latest, arr)), e.latest_arr_sum, e.arr_tolerance),
-        36: F.when(F.max("month") == day(e.latest_month), 0).otherwise(1),
+    counted = {
+        6: (vrs < 0) | (vrs > 100),
+        7: strays,
+        29: (lur < as_column(p.use_floor)) & (health != 0),
+        30: over & ((health != rnd(as_column(p.overage_score), 3)) | ~F.col("flag_expansion")),
+        31: (lur >= as_column(p.full_from)) & ~over & (health != rnd(as_column(p.full_score), 3)),
+        32: partial & ((days <= as_column(p.fast_days)) | (days > as_column(p.slow_days))),
+        33: F.lit(True),
+    }
+    of_rows = {f"n{number}": F.count_if(test) for number, test in counted.items()}
+    of_rows |= {
+        "any_partial": F.max(F.when(partial, 1)),
+        "vrs_sum": exact_sum(vrs, SCORE),
+        "latest_arr": F.sum(F.when(latest, F.col("arr").cast(MONEY))),
+        "last_month": F.max("month"),
+    }
+    finished = {number: F.sum(f"n{number}") for number in counted}
+    finished |= {
+        20: F.coalesce(F.max("any_partial"), F.lit(0)),
+        34: _off(F.sum("vrs_sum"), e.vrs_sum, e.vrs_tolerance),
+        35: _off(F.sum("latest_arr"), e.latest_arr_sum, e.arr_tolerance),
+        36: F.when(F.max("last_month") == day(e.latest_month), 0).otherwise(1),
     }
-    repeated = mart.groupBy(*SKU_MONTH).count().where(F.col("count") > 1)
-    return [_measured(mart, measures), _one(repeated, 5, F.count("*"))]
+    return of_rows, finished
 
 
 def _off(measured: Column, expected: float, tolerance: float) -> Column:
@@ -286,8 +312,9 @@ def report(
     ]
     measured = [
         *_consumption_checks(raw),
-        *_account_checks(raw, mart, e),
-        *_mart_checks(judged, e, p),
+        _account_checks(raw, judged, e, p),
+        _one(mart.groupBy(*SKU_MONTH).count().where(F.col("count") > 1), 5, F.count("*")),
+        _one(overlap_pairs(raw["entitlements"]), 11, F.least(F.coalesce(F.sum("pairs"), F.lit(0)), F.lit(e.overlap_pairs))),
         mart.sparkSession.range(1).select(F.inline(F.array(*matches))),
     ]
     checks = F.array(

@@ -1,13 +1,13 @@
 """Tables that are written once per application and then read by many queries."""
 
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from uptake.sources.shared import fresh_folder
-from uptake.sources.tables import conform, read_parquet, stored_schemas, write_by_month, write_table
+from uptake.sources.tables import conform, read_parquet, stored_schemas_of, write_by_month, write_table
 
 
 class Store:
@@ -42,6 +42,6 @@ class Store:
                 self._written[name] = read_parquet(self.spark, path, schema)
             return self._written[name]
 
-    def stored(self, name: str) -> list[StructType]:
-        """The schemas of a written table's files."""
-        return stored_schemas(self.spark, self._paths[name])
+    def stored(self, names: Iterable[str]) -> dict[str, list[StructType]]:
+        """The schemas of written tables' files."""
+        return stored_schemas_of(self.spark, {name: self._paths[name] for name in names})

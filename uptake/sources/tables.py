@@ -8,12 +8,13 @@ import re
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import reduce
 from io import TextIOWrapper
 from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs, parquet
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
@@ -117,11 +118,11 @@ def _stored_head(path: str, fmt: str) -> str:
     return str(footer.schema).partition("\n")[2] + written_by_spark
 
 
-def schema_examples(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """One file's ``path`` for each different footer (or header line) below ``path``, and how many ``files`` share it.
+def schema_examples(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> DataFrame:
+    """One file's ``path`` for each table and different footer (or header line) below the table's path, and how many ``files`` share it.
 
-    Tasks read the footers only, so this is one job at any number of files. A file that tasks can't open by themselves, on a
-    store that only Spark knows, is an example of its own.
+    ``paths`` maps tables to folders. Tasks read the footers only, so this is one job at any number of tables and files. A file
+    that tasks can't open by themselves, on a store that only Spark knows, is an example of its own.
     """
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,40 +130,53 @@ def schema_examples(spark: SparkSession, path: str, fmt: str = "parquet") -> Dat
             files, found = batch.column("path").to_pylist(), []
             for file in files:
                 try:
-                    found.append(f"{_shape(file)}\n{_stored_head(quote(file, safe=":/="), fmt)}")
+                    found.append(f"{_shape(file)}\n{_stored_head(quote(file, safe=':/='), fmt)}")
                 except (OSError, ValueError):
                     found.append(file)
             digests = [hashlib.sha256(text.encode()).hexdigest() for text in found]
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.string()), pa.array(files, pa.string())], ["head", "path"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("table"), pa.array(digests, pa.string()), pa.array(files, pa.string())], ["table", "head", "path"]
+            )
 
-    listed = spark.read.format("binaryFile").load(path).select("path")
-    return listed.mapInArrow(heads, "head string, path string").groupBy("head").agg(F.min("path").alias("path"), F.count("*").alias("files"))
+    listed = [spark.read.format("binaryFile").load(path).select(F.lit(name).alias("table"), "path") for name, path in paths.items()]
+    found = reduce(DataFrame.union, listed).mapInArrow(heads, "table string, head string, path string")
+    return found.groupBy("table", "head").agg(F.min("path").alias("path"), F.count("*").alias("files"))
 
 
-def stored_schemas(spark: SparkSession, path: str, fmt: str = "parquet", expected: StructType | None = None) -> list[StructType]:
-    """The different schemas of the files below ``path``, or that of the catalog table ``path``.
+def stored_schemas_of(
+    spark: SparkSession, paths: dict[str, str], fmt: str = "parquet", expected: dict[str, StructType] | None = None
+) -> dict[str, list[StructType]]:
+    """Each table's different schemas, of the files below its path or of the catalog table ``path``.
 
     Every file's footer (or header line) is read, since one file's schema says nothing of the others; Spark then gives the schema of
     one file for each different footer. Partition columns count as stored. CSV stores names only, so its types are those of ``expected``.
     """
     if fmt == "table":
-        return [spark.table(path).schema]
-    files = [row.path for row in schema_examples(spark, path, fmt).collect()]
-    types = {f.name: f.dataType for f in expected or []}
+        return {name: [spark.table(path).schema] for name, path in paths.items()}
+    types = {name: {f.name: f.dataType for f in (expected or {}).get(name, [])} for name in paths}
 
-    def schema_of(file: str) -> StructType:
+    def schema_of(example: Row) -> StructType:
         if fmt == "parquet":
-            return spark.read.option("basePath", path).parquet(file).schema
-        names = spark.read.option("header", True).csv(file).columns
-        return StructType([StructField(name, types.get(name, StringType())) for name in names])
+            return spark.read.option("basePath", paths[example.table]).parquet(example.path).schema
+        names = spark.read.option("header", True).csv(example.path).columns
+        return StructType([StructField(name, types[example.table].get(name, StringType())) for name in names])
 
+    examples = sorted(schema_examples(spark, paths, fmt).collect(), key=lambda row: row.path)
+    found: dict[str, list[StructType]] = {name: [] for name in paths}
     with ThreadPoolExecutor(16) as pool:
-        return list(pool.map(schema_of, sorted(files)))
+        for example, schema in zip(examples, pool.map(schema_of, examples), strict=True):
+            found[example.table].append(schema)
+    return found
+
+
+def stored_schemas(spark: SparkSession, path: str, fmt: str = "parquet", expected: StructType | None = None) -> list[StructType]:
+    """The different schemas of one table's files, as in ``stored_schemas_of``."""
+    return stored_schemas_of(spark, {path: path}, fmt, {path: expected} if expected else None)[path]
 
 
 def stored_raw(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, list[StructType]]:
     """The stored schemas of the six source tables, for the schema assertions."""
-    return {name: stored_schemas(spark, _raw_path(root, name, fmt), fmt, s) for name, s in schemas.RAW.items()}
+    return stored_schemas_of(spark, {name: _raw_path(root, name, fmt) for name in schemas.RAW}, fmt, schemas.RAW)
 
 
 def repair_booleans(df: DataFrame, schema: StructType) -> DataFrame:
