@@ -1,9 +1,11 @@
 """The operators against brute-force versions, over the smallest tables and a fixture of odd rows."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -73,26 +75,72 @@ def test_every_query_runs_over_the_tables(spark):
 # ---- 1 ---------------------------------------------------------------------------------
 
 
-def brute_threads(rows):
-    """rows: (conv, turn, text). Parent by (conv, turn)."""
-    def units(lines):
-        each = [" ".join(x.lower().split()) for x in lines]
-        return [x for x in dict.fromkeys([" ".join(x for x in each if x), *each]) if x]
+def pieces(lines):
+    """All runs of five words, and shorter lines, sentences and wholes, written out."""
+    words = " ".join(lines).lower().split()
+    out = {tuple(words[k : k + 5]) for k in range(len(words) - 4)} | {tuple(words)}
+    out |= {tuple(x.lower().split()) for x in lines}
+    out |= {tuple(x.split()) for x in re.split(r"(?<=[.!?])\s+", " ".join(words))}
+    return {x for x in out if 0 < len(x) <= 5}
+
 
-    parsed = {(c, t): quoting.parse(x) for c, t, x in rows}
+def brute_threads(rows):
+    """rows: (conv, turn, text). Parent by (conv, turn). Lines are told apart by their marks; introductions end in 'wrote:'."""
+    own = {(c, t): [x for x in (text or "").split("\n") if not x.startswith(">") and not x.endswith("wrote:")] for c, t, text in rows}
     parents = {}
-    for (c, t), (_, passages) in parsed.items():
+    for c, t, text in rows:
+        quoted = [(re.match(r"[> ]*", x)[0].count(">"), x.lstrip("> ")) for x in (text or "").split("\n") if x.startswith(">")]
         votes = Counter()
-        for level, lines in passages:
-            for u in units(lines):
-                owners = [t2 for (c2, t2), (own, _) in parsed.items() if c2 == c and u in units(own.splitlines())]
+        for level, group in itertools.groupby(quoted, key=lambda x: x[0]):
+            for piece in pieces([x for _, x in group]):
+                owners = [t2 for (c2, t2), lines in own.items() if c2 == c and piece in pieces(lines)]
                 if owners and min(owners) < t:
-                    votes[level, min(owners)] += len(u)
+                    votes[level, min(owners)] += len(piece)
         if votes:
             parents[c, t] = max(votes, key=lambda k: (-k[0], votes[k], k[1]))[1]
     return parents
 
 
+MESSAGES = "conv_id long, turn long, role string, text string"
+
+
+def test_generated_quotations(spark):
+    """Known replies: each message quotes a run of words of one earlier message, wrapped anew at another width."""
+    rng = random.Random(11)
+    rows, truth, said = [], {}, {}
+    for conv in range(30):
+        for turn in range(8):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(20, 60))]
+            mine = textwrap.wrap(" ".join(words), rng.randrange(30, 80))
+            lines, source = [], None
+            if turn and rng.random() < 0.8:
+                source = rng.randrange(turn)
+                start = rng.randrange(len(said[conv, source]) - 12)
+                part = said[conv, source][start : start + rng.randrange(6, 60)]
+                lines = [f"> {x}" for x in textwrap.wrap(" ".join(part).upper(), rng.randrange(30, 80))]
+                if rng.random() < 0.5:
+                    lines = ["On Mon, 3 Feb 2025 at 10:00, Some One", "<a@b.example> wrote:", "", *lines]
+            said[conv, turn] = words
+            truth[conv, turn] = (source, "\n".join(mine))
+            rows.append((conv, turn, "u", "\n".join([*lines, *mine])))
+    got = quoting.reply_order(spark.createDataFrame(rows, MESSAGES)).collect()
+    assert {(r.conv_id, r.turn): (r.parent_turn, r.text) for r in got} == truth
+
+
+def test_partly_known_quotations(spark):
+    rows = [
+        (1, 0, "a", "The committee met on Tuesday, and nobody objected to the plan. Thanks.\nYours, A."),
+        (1, 1, "b", "> and nobody objected to\n> the plan.\n> a line of my own making\n\nI did."),
+        (1, 2, "c", "Am 3. Mai 2024 schrieb A\n<a@b>:\n> Thanks.\nWelcome."),
+        (1, 3, "d", "We left on 3 May.\nBob wrote:\n>> On 2 May A wrote:\n>>> Thanks.\n>> nobody knows\nYes."),
+    ]
+    got = {r.turn: r for r in quoting.reply_order(spark.createDataFrame(rows, MESSAGES)).collect()}
+    assert [got[t].parent_turn for t in range(4)] == [None, 0, 0, 0]
+    assert got[1].text == "> a line of my own making\n\nI did."  # found in no earlier message
+    assert got[2].text == "Welcome."
+    assert got[3].text == "We left on 3 May.\n>> nobody knows\nYes."
+
+
 def test_quotations(spark):
     rows = [
         (1, 0, "user", "Hello all.\nShall we meet on Monday?\nThe room is free."),
@@ -111,6 +159,7 @@ def test_quotations(spark):
     first = {r.turn: r for r in got if r.conv_id == 1}
     assert [first[t].depth for t in range(5)] == [0, 1, 2, 1, 0]
     assert first[1].text == "Monday is fine." and first[2].text == "Not for me." and first[3].text == "Which room?"
+    assert first[4].text == "> nobody said this\nIndeed."
     order = sorted((r.position, r.turn) for r in got if r.conv_id == 1)
     assert [p for p, _ in order] == list(range(6)) and [t for _, t in order] == [0, 1, 3, 2, 4, 4]
     parts = quoting.conversations(df, 40).collect()
