@@ -64,6 +64,7 @@ def main(names: list[str]) -> None:
     for name in names or QUERIES:
         query = QUERIES[name]
         seconds[name] = timed(lambda q=query: q(space).write.format("noop").mode("overwrite").save())
+    space.close()
     headline = sum(s for name, s in seconds.items() if name in HEADLINE or name.startswith("build_"))
     print(
         json.dumps(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from uptake.llm import mixing, near, packing, secrets, toxicity
 from uptake.llm.common import free_name, table, written
+from uptake.sources.shared import remove, scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,9 +59,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The packed pieces. Once a stage's result is written, its intermediates and the result before it are deleted."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs, f"stage-{name}")
+        if k == len(STAGES) - 1:
+            return stage(spark, docs, sf_dir)
+        with scratch(spark) as made:
+            docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+            kept = made.keep_last()
+        if before:
+            remove(spark, before)
+        before = kept
     return docs

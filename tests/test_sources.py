@@ -1,12 +1,14 @@
 """Readers and writers."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.fixtures import CALENDAR, one_sku
 from uptake import schemas
+from uptake.catalog import Workspace
 from uptake.functions.calendar import day
 from uptake.plans import marts
 from uptake.sources import shared, tables, warehouse
@@ -169,3 +171,57 @@ def test_dates_survive_csv(spark, raw, tmp_path):
     row = tables.read_csv(spark, str(tmp_path / "e"), schemas.ENTITLEMENTS).first()
     assert row.start_date == dt.date(2025, 7, 1)
     assert row.is_expansion is False
+
+
+def there(path):
+    return Path(path.removeprefix("file:")).exists()
+
+
+def test_scratch_deletes_what_it_does_not_keep(spark):
+    with shared.scratch(spark) as outer:
+        with shared.scratch(spark) as inner:
+            paths = [shared.fresh_folder(spark, name) for name in ("a", "b")]
+            for path in paths:
+                spark.range(3).write.parquet(path)
+            kept = inner.keep_last()
+        assert kept == paths[1] and [there(p) for p in paths] == [False, True]
+        assert spark.read.parquet(kept).count() == 3
+        with pytest.raises(RuntimeError), shared.scratch(spark):
+            lost = shared.fresh_folder(spark, "lost")
+            spark.range(3).write.parquet(lost)
+            raise RuntimeError
+        assert not there(lost) and outer.paths == [kept]
+    assert not there(kept)
+
+
+def test_only_own_folders_are_removed(spark, tmp_path):
+    for path in (str(tmp_path), f"{shared.shared_folder(spark)}/..", shared.shared_folder(spark), f"{shared.shared_folder(spark)}/"):
+        with pytest.raises(ValueError, match="not a folder of this application"):
+            shared.remove(spark, path)
+    assert tmp_path.exists()
+
+
+def test_a_store_owns_its_tables(spark):
+    with Store(spark) as store:
+        schema = spark.range(1).schema
+        assert store.table("numbers", lambda: spark.range(5), schema).count() == 5
+        path = store._paths["numbers"]
+        assert store.has("numbers") and there(path)
+        store.drop("numbers")
+        assert not store.has("numbers") and not there(path)
+        store.drop("numbers")
+        assert store.table("numbers", lambda: spark.range(7), schema).count() == 7
+        path = store._paths["numbers"]
+    assert not there(path)
+
+
+def test_the_helper_of_the_sources_is_dropped(spark):
+    space = Workspace(spark, "/root/testdata/sf0.001")
+    rows = {name: df.count() for name, df in space.raw.items()}
+    assert not space.store.has("monthly_usage") and all(rows.values())
+    paths = list(space.store._paths.values())
+    assert len(paths) == len(rows) and all(map(there, paths))
+    space.close()
+    assert not any(map(there, paths))
+    assert space.source("customers").count() == rows["customers"]
+    space.close()

@@ -63,7 +63,14 @@ class Workspace:
         self.store = Store(spark)
 
     def source(self, name: str) -> DataFrame:
-        return self.store.table(name, lambda: self.star.table(name, self._usage(name)), schemas.RAW[name])
+        table = self.store.table(name, lambda: self.star.table(name, self._usage(name)), schemas.RAW[name])
+        if self.store.has(*FROM_USAGE):
+            self.store.drop("monthly_usage")  # a helper of the tables above, of no use once they are written
+        return table
+
+    def close(self) -> None:
+        """Deletes the written tables; the next query writes them anew."""
+        self.store.close()
 
     def _usage(self, name: str) -> DataFrame | None:
         # Contracts and both facts come from the same monthly usage, so the line items are read once.

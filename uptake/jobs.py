@@ -29,7 +29,7 @@ from pyspark.sql.types import StructType
 from uptake import register, schemas
 from uptake.params import DEFAULTS, ScoreParams
 from uptake.plans import marts, monthly, portfolio, quality
-from uptake.sources import tables, warehouse
+from uptake.sources import shared, tables, warehouse
 
 EXPORTS = ("mart_sku_month_full", "mart_feature_full")
 PARAMETERS = "mart_parameters"
@@ -206,6 +206,11 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
 def main(argv: list[str]) -> int:
     args = _arguments(argv)
     spark = SparkSession.builder.appName(f"uptake {args.job}").getOrCreate()
+    with shared.scratch(spark):  # what the job wrote for itself goes, its results lie in the folders it was given
+        return run(spark, args)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.job == "publish":
         publish(spark, args.target, args.namespace, args.months, args.folder)
         return 0
