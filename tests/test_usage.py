@@ -5,7 +5,8 @@ import re
 
 import pytest
 
-from uptake.catalog import USAGE
+from uptake import schemas
+from uptake.catalog import QUERIES, RULED_MART, USAGE, Workspace
 from uptake.sources.star import Star
 
 STAR = {
@@ -82,3 +83,11 @@ def test_derived_tables_do_not_shuffle_months(spark, folder):
     for plan in plans:
         dealt = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
         assert dealt and all(keys.count("#") == 2 for keys in dealt)  # supplier and part type
+
+
+def test_the_report_on_the_ruled_mart_builds_no_other(spark, folder):
+    with_rules = Workspace(spark, folder)
+    values = {r.test: r.val for r in QUERIES["dq_report_override"](with_rules).collect()}
+    assert values["mart_sku_month_schema"] == len(schemas.SKU_MONTH_ASSERTED)
+    assert with_rules.store.has(RULED_MART) and not with_rules.store.has("mart_customer_sku_month")
+    with_rules.close()
