@@ -8,8 +8,10 @@ import random
 import re
 import textwrap
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -361,6 +363,33 @@ def test_toxicity_edges(spark, odd, nothing):
     assert toxicity.toxicity(nothing, labels).count() == 0
 
 
+def test_memory_of_the_tasks_of_one_step():
+    """Two workers of an executor keep what they once took; counts took 159 MB here, evidence 76 MB and fingerprints 51 MB."""
+    rng = random.Random(3)
+    texts = [" ".join(f"{rng.choice('abcdefgh')}{rng.randrange(3000)}" for _ in range(400)) for _ in range(2000)]
+    column = pa.array([*texts, None, ""])
+    toxic = pa.array([k % 3 == 0 for k in range(len(column))])
+    ones = np.ones(toxicity.SLOTS, np.float32)
+    model = toxicity.Model([ones] * 2, [ones] * 2, [ones] * 2, ones, ones, np.ones(256) / 256)
+    steps = {
+        "counts": (toxicity._count_rows, pa.RecordBatch.from_arrays([column, toxic], ["text", "toxic"]), 80),
+        "evidence": (toxicity._evidence_rows(SimpleNamespace(value=model)), pa.RecordBatch.from_arrays([column, toxic], ["text", "toxic"]), 40),
+        "fingerprints": (near._fingerprints, pa.RecordBatch.from_arrays([toxic, toxic, column], ["row", "ord", "text"]), 30),
+    }
+    for name, (step, batch, limit) in steps.items():
+        tracemalloc.start()
+        for _ in step(iter([batch])):
+            pass
+        most = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+        assert most < limit, (name, most)
+    got = Counter()
+    for out in toxicity._count_rows(iter([steps["counts"][1]])):
+        got.update(dict(zip(*out.to_pydict().values(), strict=True)))
+    keys, text = toxicity.expressions(column)
+    assert got == Counter((keys.astype(np.int64) * 2 + np.array(toxic.to_pylist(), int)[text]).tolist())
+
+
 # ---- 6 ---------------------------------------------------------------------------------
 
 

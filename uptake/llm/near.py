@@ -23,6 +23,8 @@ from uptake.llm.components import connected
 from uptake.llm.hashing import U, bit_votes, pack_bits
 
 SHINGLE, SEED = 3, 42
+#: Bytes of text fingerprinted at once; their words and hashes take about thirty times as much.
+_HASHED = 1 << 20
 
 
 def shingle_hashes(text: str | None) -> list[int]:
@@ -52,7 +54,7 @@ def fingerprints_of(texts: list[str | None]) -> np.ndarray:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches, "text"):
+    for batch in chunks(batches, "text", _HASHED):
         fp = fingerprints_of(batch.column("text").to_pylist()).view(np.int64)
         yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("ord"), pa.array(fp)], ["row", "ord", "fp"])
 

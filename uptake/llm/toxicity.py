@@ -34,8 +34,8 @@ DISCOUNT = 0.75
 CURVE_TEXTS = 20_000
 THRESHOLD = 0.7
 _BLOCK = 1 << 13
-#: Bytes of text scored at once; each takes about a hundred bytes of arrays.
-_SCORED = 1 << 20
+#: Bytes of text counted and scored at once; each takes about sixty or a hundred bytes of arrays, and workers keep what they once took.
+_COUNTED, _SCORED = 1 << 20, 1 << 18
 _GAP = 32
 
 #: ASCII letters in lower case; ASCII other than letters and digits is a gap.
@@ -69,7 +69,7 @@ def slots(keys: np.ndarray) -> np.ndarray:
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each chunk's different expressions with their counts by class."""
-    for batch in chunks(batches, "text"):
+    for batch in chunks(batches, "text", _COUNTED):
         keys, text = expressions(batch.column("text"))
         toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)[text]
         both, count = np.unique(keys.astype(np.int64) * 2 + toxic, return_counts=True)
