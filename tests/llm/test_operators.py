@@ -461,6 +461,57 @@ def test_top_k_with_odd_vectors(spark, monkeypatch):
     assert mtree.top_k(df.where("false"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_routes_reach_the_driver_once_not_once_a_task(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(k, [rng.gauss(0, 1) for _ in range(4)]) for k in range(4000)]
+    rows += [(5000, [1.0, 2.0, 3.0, 4.0])] * 1000
+    for name, value in (("ROUTE_SIZE", 500), ("PAGE", 256), ("LEAF", 16)):
+        monkeypatch.setattr(mtree, name, value)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(40)
+    kept, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: kept.append(self) or collect(self))
+    found = mtree.top_k(df, F.col("vec_id") % 500 == 250)
+    met = 0
+    for frame in kept:
+        plan = frame._jdf.queryExecution().executedPlan()
+        plan = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+        plan = plan.plan() if plan.nodeName() == "ResultQueryStage" else plan
+        while plan.nodeName() != "TakeOrderedAndProject" and plan.children().size() == 1:
+            plan = plan.children().head()
+        if plan.nodeName() == "TakeOrderedAndProject":
+            met += 1
+            assert plan.limit() == 10
+            assert plan.child().execute().count() <= 100
+    assert met
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in collect(found))
+    fine = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    want = []
+    for i, q in fine:
+        if i % 500 == 250:
+            scores = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in fine if j != i)[:5]
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores)]
+    assert got == sorted(want)
+
+
+def test_routes_are_drawn_where_most_rows_are_copies(spark):
+    row, other = (1, [1, 2]), (2, [3, 4])
+    df = spark.createDataFrame([row] * 5000 + [other], "vec_id long, v array<long>").repartition(8)
+    assert sorted(mtree._drawn(df, 5001)) == [[1, 2], [3, 4]]
+    assert mtree._drawn(df.where("false"), 0) == []
+
+
+def test_blocks_leave_a_task_a_few_mb_at_a_time():
+    blocks = ((1, p, bytes(1 << 20)) for p in range(40))
+    batches = list(mtree._batches(blocks))
+    assert sum(b.num_rows for b in batches) == 40
+    assert max(b.nbytes for b in batches) < 6 << 20
+
+
+def test_components_travel_as_the_smallest_integers_that_hold_them():
+    for most, size in ((0.0, 1), (100.0, 1), (127.0**2, 2), (257.0**2, 2), (32000.0**2, 2), (40000.0**2, 4), (2.0**80, 8), (2.0**126, 8)):
+        assert mtree._narrow(most).itemsize == size
+
+
 def test_queries_of_a_block_share_the_comparisons_of_a_leaf():
     """A page and a block as tasks get them; one comparison for each query and leaf took 1.6 s and more here."""
     rng = np.random.default_rng(5)
