@@ -507,6 +507,20 @@ def test_blocks_leave_a_task_a_few_mb_at_a_time():
     assert max(b.nbytes for b in batches) < 6 << 20
 
 
+def test_a_leaf_of_copies_is_compared_a_part_at_a_time():
+    """A whole page of copies and a block of queries took 0.7 GB at once."""
+    x = np.tile(np.arange(64), (mtree.PAGE, 1))
+    space = mtree.Space(64, float((x[0] ** 2).sum()))
+    page = mtree.Page.build(np.arange(len(x)), x, space, space.candidates(x[:1])[0])
+    own = np.arange(mtree.BLOCK)
+    tracemalloc.start()
+    got = page.search(x[own], own, 5, space, np.zeros(len(own)), np.full(len(own), np.inf))
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    want = [[i, j] for i in own for j in [j for j in range(6) if j != i][:5]]
+    assert np.column_stack(got[:2]).tolist() == want
+
+
 def test_components_travel_as_the_smallest_integers_that_hold_them():
     for most, size in ((0.0, 1), (100.0, 1), (127.0**2, 2), (257.0**2, 2), (32000.0**2, 2), (40000.0**2, 4), (2.0**80, 8), (2.0**126, 8)):
         assert mtree._narrow(most).itemsize == size
