@@ -521,6 +521,10 @@ def test_a_leaf_of_copies_is_compared_a_part_at_a_time():
     assert np.column_stack(got[:2]).tolist() == want
 
 
+def test_pages_of_wide_vectors_have_fewer_entries():
+    assert [mtree._entries(w) for w in (1, 64, 128, 256, 1536)] == [mtree.PAGE] * 3 + [mtree.PAGE // 2, mtree.PAGE // 4]
+
+
 def test_components_travel_as_the_smallest_integers_that_hold_them():
     for most, size in ((0.0, 1), (100.0, 1), (127.0**2, 2), (257.0**2, 2), (32000.0**2, 2), (40000.0**2, 4), (2.0**80, 8), (2.0**126, 8)):
         assert mtree._narrow(most).itemsize == size
